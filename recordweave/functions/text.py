@@ -33,7 +33,7 @@ def blank_to_null(c: Column) -> Column:
 
 def is_missing(c: Column) -> Column:
     """True for NULL or empty text; never NULL itself."""
-    return F.coalesce(c == "", F.lit(True))
+    return F.coalesce(c.cast("string") == "", F.lit(True))
 
 
 def bounded(c: Column, length: int) -> Column:
