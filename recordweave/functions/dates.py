@@ -7,25 +7,19 @@ from pyspark.sql import functions as F
 
 from recordweave.functions.text import strip
 
-# Patterns tried, in order, after the ISO and day/month/year forms.
-DAY_FIRST_PATTERNS = ("d-M-yyyy", "d.M.yyyy", "yyyyMMdd", "d MMM yyyy")
+# Patterns tried in order when the text is not ISO.
+PATTERNS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "yyyyMMdd", "d MMM yyyy")
 
 # Patterns of the relational load, tried on the first ten characters.
 LOAD_PATTERNS = ("yyyy-M-d", "d/M/yyyy", "d-M-yyyy")
 
 
 def parse_date(c: Column) -> Column:
-    """Date from mixed text: ISO date or timestamp, d/m/Y, then the day-first patterns."""
+    """Date from mixed text: ISO date or timestamp, d/m/Y, then the other day-first patterns."""
     t = strip(c)
-    iso = t.rlike(r"^\d{4}-\d{2}-\d{2}")
-    # A cast of the text straight to date would accept trailing junk.
-    from_iso = t.try_cast("timestamp_ntz").cast("date")
-    slashed = t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")
-    return (
-        F.when(iso, from_iso)
-        .when(slashed, F.try_to_date(t, "d/M/yyyy"))
-        .otherwise(F.coalesce(*[F.try_to_date(t, p) for p in DAY_FIRST_PATTERNS]))
-    )
+    # A cast of the text straight to date would accept trailing junk, or a bare year.
+    iso = F.regexp_extract(t, r"^\d{4}-\d{2}-\d{2}.*$", 0).try_cast("timestamp_ntz")
+    return F.coalesce(iso.cast("date"), *[F.try_to_date(t, p) for p in PATTERNS])
 
 
 def parse_load_date(c: Column) -> Column:

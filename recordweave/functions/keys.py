@@ -1,4 +1,9 @@
-"""Expressions over the 11-digit person key."""
+"""Expressions over the 11-digit person key.
+
+They name their input as few times as they can: a predicate on a derived key is
+pushed below the projection that derives it, and then repeats that derivation
+once per mention.
+"""
 
 from __future__ import annotations
 
@@ -25,17 +30,13 @@ def digits(c: Column) -> Column:
 
 def key_text(c: Column) -> Column:
     """Key cell as text: trimmed, without a float suffix, missing as empty text."""
-    t = strip(c)
-    return (
-        F.when(t.isNull() | t.isin("nan", "<NA>"), F.lit(""))
-        .otherwise(F.regexp_replace(t, r"^([0-9]+)\.0+$", "$1"))
-    )
+    bare = F.regexp_replace(strip(c), r"^(?:nan|<NA>|([0-9]+)\.0+)$", "$1")
+    return F.coalesce(bare, F.lit(""))
 
 
 def normalize_key(c: Column) -> Column:
     """The digits of the key when there are exactly eleven, else NULL."""
-    d = digits(c)
-    return F.when(F.length(d) == KEY_DIGITS, d)
+    return F.get(F.regexp_extract_all(digits(c), F.lit("^[0-9]{11}$"), F.lit(0)), F.lit(0))
 
 
 def mask_key(c: Column) -> Column:
@@ -50,13 +51,12 @@ def is_usable_key(c: Column) -> Column:
 
 def rejection_reason(key: Column, shown: Column | None = None) -> Column:
     """NULL for a usable ``key``, otherwise why ``shown`` (default: the key) is unusable."""
-    d = digits(key if shown is None else shown)
-    return (
-        F.when(is_usable_key(key), F.lit(None).cast("string"))
-        .when(F.coalesce(d, F.lit("")) == "", F.lit(KEY_ABSENT))
-        .when(F.length(d) != KEY_DIGITS, F.lit(KEY_WRONG_LENGTH))
-        .otherwise(F.lit(KEY_INVALID))
+    count = F.coalesce(F.length(digits(key if shown is None else shown)), F.lit(0))
+    by_count = F.create_map(
+        F.lit(0), F.lit(KEY_ABSENT), F.lit(KEY_DIGITS), F.lit(KEY_INVALID)
     )
+    why = F.coalesce(F.try_element_at(by_count, count), F.lit(KEY_WRONG_LENGTH))
+    return F.when(~is_usable_key(key), why)
 
 
 def _check_digit(key: Column, count: int) -> Column:
@@ -65,8 +65,8 @@ def _check_digit(key: Column, count: int) -> Column:
         add,
         (F.substring(key, i + 1, 1).cast("int") * F.lit(count + 1 - i) for i in range(count)),
     )
-    rest = total % 11
-    return F.when(rest < 2, F.lit(0)).otherwise(F.lit(11) - rest)
+    # 11 minus the rest, where rests 0 and 1 both give 0.
+    return (F.lit(11) - total % 11) % 11 % 10
 
 
 def has_valid_check_digits(key: Column) -> Column:

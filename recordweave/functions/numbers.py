@@ -13,17 +13,13 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _plain_double(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-
-
-def finite(c: Column) -> Column:
-    """NULL for NaN and the infinities."""
-    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
 
 
 def decimal_comma(c: Column) -> Column:
-    """Double from text with a decimal point or comma; NULL when it is not a number."""
-    return finite(_plain_double(strip(F.replace(c, F.lit(","), F.lit(".")))))
+    """Double from text with a decimal point or comma; NULL when it is not a finite number."""
+    number = _plain_double(strip(F.replace(c, F.lit(","), F.lit("."))))
+    return F.when(F.abs(number) != float("inf"), number)
 
 
 def load_decimal(c: Column, precision: int, scale: int) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,15 +46,18 @@ def standardise(df: DataFrame, spec: SourceSpec, carried: Sequence[str] = ()) ->
             return category_code(c).alias(name)
         return blank_to_null(c).alias(name)
 
-    unread = F.lit(0)
-    for name in spec.date_columns:
-        if name in text:
-            raw = F.col(f"`{name}`")
-            unread = unread + unreadable(raw, parse_date(raw)).cast("int")
-    return df.select(
+    dates = [c for c in spec.date_columns if c in text]
+    given = {c: f"_given_{c}" for c in dates}
+    typed = df.select(
         *[cell(c) for c in df.columns],
         F.col(KEY).alias(ORIGINAL_KEY),
-        unread.alias(UNREADABLE_DATES),
+        *[F.col(f"`{c}`").alias(kept) for c, kept in given.items()],
+    )
+    unread = [unreadable(F.col(given[c]), F.col(f"`{c}`")).cast("int") for c in dates]
+    return typed.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        ORIGINAL_KEY,
+        reduce(add, unread, F.lit(0)).alias(UNREADABLE_DATES),
     )
 
 

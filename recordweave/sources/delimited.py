@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from recordweave.functions.keys import key_text
 from recordweave.functions.text import missing_to_null
@@ -23,6 +24,16 @@ FILE_ORDER = ("_file", "_block", "_row")
 _FORMAT = {"header": True, "escape": '"', "encoding": "UTF-8"}
 
 
+def clean_cells(df: DataFrame, key: str | None = "cpf") -> list[Column]:
+    """The text columns of a scan: missing spellings to NULL, the key repaired."""
+
+    def cell(name: str) -> Column:
+        c = missing_to_null(df[f"`{name}`"])
+        return (key_text(c) if name == key else c).alias(name)
+
+    return [cell(f.name) for f in df.schema if isinstance(f.dataType, StringType)]
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -41,12 +52,7 @@ def read_delimited(
     options = {**_FORMAT, "multiLine": multi_line}
     schema = spark.read.options(**options).csv(path).schema
     raw = spark.read.schema(schema).options(**options, enforceSchema=False, mode=mode).csv(path)
-
-    def cell(name: str) -> Column:
-        c = raw[f"`{name}`"]
-        return (key_text(missing_to_null(c)) if name == key else missing_to_null(c)).alias(name)
-
-    columns = [cell(name) for name in schema.names]
+    columns = clean_cells(raw, key)
     if not keep_order:
         return raw.select(*columns)
     return raw.select(

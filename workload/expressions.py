@@ -15,10 +15,18 @@ from recordweave.functions.text import (
 from recordweave.operators.standardise import standardise
 from recordweave.sources.contracts import GESTAO, consolidated_order, to_canonical
 from workload.registry import query, table
+from workload.sqltext import (
+    GESTAO_TYPED,
+    sql_category_code,
+    sql_decimal_comma,
+    sql_key_text,
+    sql_normalize_key,
+    sql_parse_date,
+    sql_parse_load_date,
+)
 from workload.standins import (
     CUSTOMER_KEY,
     EVENT_SPELLING,
-    GESTAO_SELECT,
     ORDER_DATE,
     ORDER_PRICE,
     PART_CODE,
@@ -27,60 +35,6 @@ from workload.standins import (
     padded,
 )
 
-# --- the SQL each expression must equal, as functions of a column ----------------------
-
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-
-
-def sql_key_text(c: str) -> str:
-    return (
-        f"CASE WHEN {c} IS NULL OR trim({c}) IN ('nan', '<NA>') THEN '' "
-        f"ELSE regexp_replace(trim({c}), '^([0-9]+)\\.0+$', '\\1') END"
-    )
-
-
-def sql_normalize_key(c: str) -> str:
-    d = f"regexp_replace({c}, '[^0-9]', '', 'g')"
-    return f"CASE WHEN length({d}) = 11 THEN {d} END"
-
-
-def sql_parse_date(c: str) -> str:
-    t = f"trim({c})"
-    tries = ", ".join(
-        f"try_strptime({t}, '{p}')" for p in ("%d-%m-%Y", "%d.%m.%Y", "%Y%m%d", "%d %b %Y")
-    )
-    return (
-        f"CASE WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') "
-        f"THEN CAST(try_cast({t} AS TIMESTAMP) AS DATE) "
-        f"WHEN regexp_matches({t}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') "
-        f"THEN CAST(try_strptime({t}, '%d/%m/%Y') AS DATE) "
-        f"ELSE CAST(coalesce({tries}) AS DATE) END"
-    )
-
-
-def sql_parse_load_date(c: str) -> str:
-    h = f"left(trim({c}), 10)"
-    tries = ", ".join(f"try_strptime({h}, '{p}')" for p in ("%Y-%m-%d", "%d/%m/%Y", "%d-%m-%Y"))
-    return f"CAST(coalesce({tries}) AS DATE)"
-
-
-def sql_decimal_comma(c: str) -> str:
-    n = f"trim(replace({c}, ',', '.'))"
-    value = f"try_cast({n} AS DOUBLE)"
-    return (
-        f"CASE WHEN regexp_matches({n}, '{NUMBER}') AND NOT isinf({value}) THEN {value} END"
-    )
-
-
-def sql_category_code(c: str) -> str:
-    t = f"trim({c})"
-    whole = f"try_cast(trunc(try_cast({t} AS DOUBLE)) AS BIGINT)"
-    return (
-        f"CASE WHEN {t} = '' THEN NULL WHEN regexp_matches({t}, '{NUMBER}') "
-        f"THEN coalesce(CAST({whole} AS VARCHAR), {t}) ELSE {t} END"
-    )
-
-
 # --- queries ---------------------------------------------------------------------------
 
 
@@ -207,21 +161,7 @@ def bounded_text_default(spark, sf_dir):
     )
 
 
-GESTAO_CANONICAL = f"""
-  SELECT {sql_normalize_key('cpf')} AS cpf, nullif(nome, '') AS nome,
-    {sql_parse_date('"dataNascimento"')} AS data_nascimento, nullif(orgao, '') AS sigla_orgao,
-    {sql_parse_date('"dataEntrada"')} AS data_admissao, {sql_parse_date('"dataSaida"')} AS data_saida,
-    nullif(matricula, '') AS matricula, nullif(cargo, '') AS cargo,
-    nullif("tipoVinculo", '') AS tipo_vinculo, {sql_decimal_comma('salario')} AS salario_base,
-    nullif("unidadeLotacao", '') AS lotacao, nullif(status, '') AS status_servidor,
-    nullif(sexo, '') AS sexo, nullif("estadoCivil", '') AS estado_civil, nullif(cor, '') AS cor,
-    nullif(nacionalidade, '') AS nacionalidade, nullif(email, '') AS email,
-    nullif(telefone, '') AS telefone, {sql_decimal_comma('"avaliacaoDesempenho"')} AS avaliacao_desempenho,
-    nullif("cicloAvaliacao", '') AS ciclo_avaliacao, _order
-  FROM (SELECT {GESTAO_SELECT} FROM part)"""
-
-
-@query("rename_canonical", GESTAO_CANONICAL)
+@query("rename_canonical", f"SELECT * EXCLUDE (raw_key) FROM ({GESTAO_TYPED})")
 def rename_canonical(spark, sf_dir):
     canonical = to_canonical(gestao(spark, sf_dir), GESTAO, carried=["_order"])
     typed = standardise(canonical, GESTAO, carried=["_order"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordweave.sources.delimited import clean_cells
 from workload.registry import table
 
 
@@ -145,13 +146,18 @@ def derive(spark: SparkSession, sf_dir: str, name: str, select: str) -> DataFram
     return spark.sql(f"SELECT {select.replace(chr(34), chr(96))} FROM {{t}}", t=source)
 
 
+def scanned(df: DataFrame) -> DataFrame:
+    """Text cells as a delimited scan would hand them over."""
+    return df.select(*clean_cells(df), "_order")
+
+
 def rh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, "customer", RH_SELECT)
+    return scanned(derive(spark, sf_dir, "customer", RH_SELECT))
 
 
 def esocial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, "orders", ESOCIAL_SELECT)
+    return scanned(derive(spark, sf_dir, "orders", ESOCIAL_SELECT))
 
 
 def gestao(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, "part", GESTAO_SELECT)
+    return scanned(derive(spark, sf_dir, "part", GESTAO_SELECT))
