@@ -13,7 +13,8 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _plain_double(text: Column) -> Column:
-    return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
+    # Other text never reaches the cast, which would raise and catch an exception for it.
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def decimal_comma(c: Column) -> Column:

@@ -37,7 +37,7 @@ from recordweave.operators.numbering import assign_ids
 from recordweave.operators.sampling import head_n, restrict_to_keys
 from recordweave.operators.writes import absent_rows, last_rows
 from recordweave.plans.stages import StageStore
-from recordweave.sources.tables import read_record, read_table, write_record
+from recordweave.sources.tables import empty_table, read_record, read_table, write_record
 
 # Table columns of the target model.
 CODE_SCHEMA = "id long, codigo string"
@@ -111,14 +111,16 @@ class LoadResult:
 
 
 def fixed_catalog(spark: SparkSession, name: str) -> DataFrame:
-    rows = [(i + 1, code) for i, code in enumerate(SEEDS[name])]
-    return spark.createDataFrame(rows, CODE_SCHEMA)
+    codes = F.array(*[F.lit(code) for code in SEEDS[name]])
+    return spark.range(1, numPartitions=1).select(F.posexplode(codes).alias("place", "codigo")).select(
+        (F.col("place") + 1).cast("bigint").alias("id"), "codigo"
+    )
 
 
 def empty_model(spark: SparkSession) -> dict[str, DataFrame]:
     """Seeded fixed catalogs and empty tables for everything that is loaded."""
     return {
-        name: fixed_catalog(spark, name) if name in SEEDS else spark.createDataFrame([], schema)
+        name: fixed_catalog(spark, name) if name in SEEDS else empty_table(spark, schema)
         for name, schema in SCHEMAS.items()
     }
 
@@ -229,7 +231,7 @@ def load_model(
     on_violation: Literal["fail", "quarantine"] = "fail",
     row_limit: int | None = None,
     resume: bool = False,
-    event_order: Sequence[str] = ("id_evento",),
+    event_order: Sequence[str] = ("cpf",),
     check: bool = True,
 ) -> LoadResult:
     """Load consolidated rows, and optionally events, as the next version under ``target``.
@@ -328,7 +330,7 @@ def load_model(
         ordered = chosen.withColumn("_event_order", F.struct(*event_order))
         return resolve_events(ordered, persons, new["tipo_evento"])
 
-    skipped = spark.createDataFrame([], f"cpf string, {SKIP_REASON} string")
+    skipped = empty_table(spark, f"cpf string, {SKIP_REASON} string")
     if events is not None:
         resolved = store.run("eventos_resolvidos", resolved_events, rows).table
         skipped = resolved.filter(F.col(SKIP_REASON).isNotNull()).drop(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from recordweave.sources.tables import read_record, write_record
+from recordweave.storage import delete_folder
 
 _MARKER = "stage string, settings string, shown string, seconds double, counts string, schema string"
 
@@ -46,12 +47,6 @@ def session_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder this job wrote, on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 @dataclass
 class StageStore:
     """Runs named stages in order, each written as one Parquet table plus a marker.

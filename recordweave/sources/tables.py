@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from recordweave.storage import folder_exists
+
+
+def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """No rows of a schema, known to be empty at planning time, so joins with it vanish."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    cells = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).select(*cells).limit(0)
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The table at ``path``; with a ``schema``, an absent table is an empty one."""
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if schema is not None and error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    if schema is None:
+        return spark.read.parquet(path)
+    if not folder_exists(spark, path):
+        return empty_table(spark, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -27,19 +35,17 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_record(spark: SparkSession, path: str) -> Row | None:
-    """The one-row JSON document at ``path``, or None when there is none."""
-    try:
-        return spark.read.json(path).first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The one-row JSON document at ``path``, or None when it is absent or unfinished."""
+    if not folder_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    return spark.read.json(path).first()
 
 
 def write_record(spark: SparkSession, path: str, record: Mapping[str, object], schema: str) -> None:
     """One row as a JSON document: run manifests, metrics and stage markers."""
-    row = spark.createDataFrame([dict(record)], schema)
-    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    parsed = F.from_json(F.lit(json.dumps(record, ensure_ascii=False)), schema)
+    row = spark.range(1, numPartitions=1).select(parsed.alias("r")).select("r.*")
+    row.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def append_jdbc(

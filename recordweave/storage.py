@@ -29,6 +29,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system of a path, and the path on it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote, on whatever file system it is."""
+    files, target = _located(spark, path)
+    files.delete(target, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 

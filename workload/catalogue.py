@@ -1,5 +1,5 @@
 """Imports every module that registers queries."""
 
-from workload import cleaning, expressions  # noqa: F401
+from workload import cleaning, expressions, model  # noqa: F401
 
 FLAGSHIP = "consolidate_end_to_end"

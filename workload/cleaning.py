@@ -31,7 +31,7 @@ ORDER = ["_order"]
 
 
 def _rh_split(spark, sf_dir):
-    typed = standardise(rh(spark, sf_dir), RH, carried=ORDER)
+    typed = standardise(materialize(rh(spark, sf_dir), "raw"), RH, carried=ORDER)
     return quarantine(typed, "rh", reason_on=ORIGINAL_KEY)
 
 
