@@ -7,6 +7,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from recordweave.operators.standardise import (
     annotate_duplicates,
     standardise,
 )
-from recordweave.plans.stages import StageStore
+from recordweave.plans.stages import OPEN_FOLDERS, StageStore, session_settings, side_by_side
 from recordweave.sources.contracts import KEY, SOURCES, SourceSpec, to_canonical
 from recordweave.sources.delimited import FILE_ORDER, read_delimited, write_delimited
 from recordweave.sources.tables import write_record
@@ -130,25 +131,18 @@ def consolidate(
     store = StageStore(spark, run_folder, settings, resume)
     rows = F.count(F.lit(1))
 
-    raw = {
-        spec.name: store.run(
-            f"extract_{spec.name}",
-            lambda spec=spec: extract(spark, spec, inputs[spec.name], row_limit),
-            {"rows": rows},
-        ).table
-        for spec in specs
-    }
     status = F.col(STATUS)
-    transformed = {}
-    for spec in specs:
+
+    def prepare(spec: SourceSpec) -> DataFrame:
         given = inputs[spec.name]
         carried = _carried(spec, given)
         order = [spec.renames.get(c, c) for c in given.order_by]
-        transformed[spec.name] = store.run(
+        raw = store.run(
+            f"extract_{spec.name}", lambda: extract(spark, spec, given, row_limit), {"rows": rows}
+        ).table
+        return store.run(
             f"transform_{spec.name}",
-            lambda spec=spec, order=order, carried=carried: transform(
-                raw[spec.name], spec, order, carried, reason_on_original, check_digits
-            ),
+            lambda: transform(raw, spec, order, carried, reason_on_original, check_digits),
             {
                 KEPT_ROW: F.count_if(status == KEPT_ROW),
                 DISCARDED_ROW: F.count_if(status == DISCARDED_ROW),
@@ -156,8 +150,13 @@ def consolidate(
                 "unreadable_dates": F.coalesce(F.sum(UNREADABLE_DATES), F.lit(0)),
             },
             split_by=STATUS,
+            after=[f"extract_{spec.name}"],
         ).table
 
+    with session_settings(spark, OPEN_FOLDERS):
+        tables = side_by_side(spark, [partial(prepare, spec) for spec in specs])
+    transformed = {spec.name: table for spec, table in zip(specs, tables, strict=True)}
+
     accepted, before, rejected, duplicates = {}, {}, [], []
     for spec in specs:
         table = transformed[spec.name]
@@ -175,6 +174,7 @@ def consolidate(
         "merge",
         lambda: merge_by_priority(list(accepted.values()), check_unique=False),
         {"rows": rows},
+        after=[f"transform_{spec.name}" for spec in specs],
     )
     return Consolidation(
         merged.table,

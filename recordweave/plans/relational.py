@@ -7,8 +7,9 @@ failed load leaves the current version as it was.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,7 @@ from recordweave.operators.lookup import (
 from recordweave.operators.numbering import assign_ids
 from recordweave.operators.sampling import head_n, restrict_to_keys
 from recordweave.operators.writes import absent_rows, last_rows
-from recordweave.plans.stages import StageStore
+from recordweave.plans.stages import StageStore, side_by_side
 from recordweave.sources.tables import empty_table, read_record, read_table, write_record
 
 # Table columns of the target model.
@@ -97,6 +98,8 @@ RULES = (
     MaxLength("cargo", {"nome": 256}),
 )
 
+ROW_ORDER, EVENT_ORDER = "_row_order", "_event_order"
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -153,6 +156,7 @@ def person_rows(people: DataFrame) -> DataFrame:
         bounded(_cell(people, "nacionalidade"), 64).alias("nacionalidade"),
         bounded(_cell(people, "email"), 256).alias("email"),
         bounded(_cell(people, "telefone"), 64).alias("telefone"),
+        ROW_ORDER,
     )
 
 
@@ -174,6 +178,7 @@ def employment_rows(checked: DataFrame, people: DataFrame) -> DataFrame:
             bounded(_cell(checked, "lotacao"), 4000).alias("lotacao"),
             _date(checked, "data_admissao").alias("data_admissao"),
             _date(checked, "data_saida").alias("data_saida"),
+            ROW_ORDER,
         )
     )
 
@@ -185,7 +190,12 @@ def evaluation_rows(checked: DataFrame, people: DataFrame) -> DataFrame:
     return (
         checked.filter(~is_missing(cycle) & score.isNotNull())
         .join(people.select("cpf", F.col("id").alias("pessoa_id")), "cpf")
-        .select("pessoa_id", F.left(cycle, F.lit(16)).alias("ciclo_avaliacao"), score.alias("nota"))
+        .select(
+            "pessoa_id",
+            F.left(cycle, F.lit(16)).alias("ciclo_avaliacao"),
+            score.alias("nota"),
+            ROW_ORDER,
+        )
     )
 
 
@@ -201,7 +211,7 @@ def event_rows(resolved: DataFrame) -> DataFrame:
             "indicador_retificacao"
         ),
         bounded(_cell(resolved, "numero_recibo").cast("string"), 128).alias("numero_recibo"),
-        F.col("_event_order"),
+        EVENT_ORDER,
     )
 
 
@@ -231,6 +241,7 @@ def load_model(
     on_violation: Literal["fail", "quarantine"] = "fail",
     row_limit: int | None = None,
     resume: bool = False,
+    row_order: Sequence[str] = ("cpf",),
     event_order: Sequence[str] = ("cpf",),
     check: bool = True,
 ) -> LoadResult:
@@ -239,8 +250,10 @@ def load_model(
     A full load starts from empty tables and keeps only the fixed catalogs; an
     incremental one from the current version.  Codes and persons are inserted if
     absent, employment is replaced per person, scores are updated per person and
-    cycle, events are inserted if their id is absent.  ``event_order`` decides
-    which of several events with one id is the first.
+    cycle, events are inserted if their id is absent.  Where several rows share
+    a person, ``row_order`` tells which comes first (and makes the person) and
+    which last (and makes the employment and the score); ``event_order`` does
+    the same for events with one id.
     """
     started = time.perf_counter()
     target = target.rstrip("/")
@@ -259,26 +272,28 @@ def load_model(
     rows = {"rows": F.count(F.lit(1))}
     new: dict[str, DataFrame] = {}
 
-    def save(name: str, build) -> DataFrame:
-        new[name] = store.run(name, build, rows).table
+    def save(name: str, build: Callable[[], DataFrame], after: Sequence[str] = ()) -> DataFrame:
+        new[name] = store.run(name, build, rows, after=after).table
         return new[name]
 
     def with_new(name: str, added: DataFrame, order: Sequence[str]) -> DataFrame:
         numbered = assign_ids(added, old[name], order)
         return old[name].unionByName(numbered.select(*old[name].columns))
 
-    limited = consolidated if row_limit is None else head_n(consolidated, ["cpf"], row_limit)
-    people = loadable_people(limited)
+    limited = consolidated if row_limit is None else head_n(consolidated, row_order, row_limit)
+    people = loadable_people(limited.withColumn(ROW_ORDER, F.struct(*row_order)))
 
-    for name in SEEDS:
-        save(name, lambda name=name: old[name])
-    for name, column, code in (("orgao", "sigla_orgao", "sigla"), ("cargo", "cargo", "nome")):
-        save(
-            name,
-            lambda name=name, column=column, code=code: with_new(
-                name, new_codes(people, column, old[name], code), [code]
-            ),
-        )
+    def catalog(name: str, column: str, code: str) -> DataFrame:
+        return save(name, lambda: with_new(name, new_codes(people, column, old[name], code), [code]))
+
+    side_by_side(
+        spark,
+        [
+            *[partial(save, name, lambda name=name: old[name]) for name in SEEDS],
+            partial(catalog, "orgao", "sigla_orgao", "sigla"),
+            partial(catalog, "cargo", "cargo", "nome"),
+        ],
+    )
 
     catalogs = [
         Catalog(new["orgao"], "sigla", "sigla_orgao", "orgao_id"),
@@ -287,7 +302,8 @@ def load_model(
         Catalog(new["status_servidor"], "codigo", "status_servidor", "status_servidor_id"),
     ]
     checked = check_domains(people, catalogs)
-    violations = store.run("violacoes", lambda: checked.violations, rows).table
+    codes = [*SEEDS, "orgao", "cargo"]
+    violations = store.run("violacoes", lambda: checked.violations.drop(ROW_ORDER), rows, after=codes).table
     if on_violation == "fail":
         require_no_violations(violations, "cpf", [c.refers for c in catalogs])
     ok = checked.ok
@@ -295,23 +311,24 @@ def load_model(
     persons = save(
         "pessoa",
         lambda: with_new(
-            "pessoa", absent_rows(old["pessoa"], person_rows(ok), ["cpf"], ["cpf"]), ["cpf"]
+            "pessoa",
+            absent_rows(old["pessoa"], person_rows(ok), ["cpf"], [ROW_ORDER]).drop(ROW_ORDER),
+            ["cpf"],
         ),
+        after=codes,
     )
 
     def employment() -> DataFrame:
-        incoming = last_rows(employment_rows(ok, persons), ["pessoa_id"], ["pessoa_id"])
+        incoming = last_rows(employment_rows(ok, persons), ["pessoa_id"], [ROW_ORDER])
         numbered = assign_ids(incoming, old["vinculo"], ["pessoa_id"])
         kept = old["vinculo"].join(numbered.select("pessoa_id"), "pessoa_id", "left_anti")
         columns = old["vinculo"].columns
         return kept.select(*columns).unionByName(numbered.select(*columns))
 
-    save("vinculo", employment)
-
     def evaluations() -> DataFrame:
         key = ["pessoa_id", "ciclo_avaliacao"]
         table = old["avaliacao_desempenho"]
-        incoming = last_rows(evaluation_rows(ok, persons), key, ["nota"])
+        incoming = last_rows(evaluation_rows(ok, persons), key, [ROW_ORDER])
         added = assign_ids(incoming.join(table.select(*key), key, "left_anti"), table, key)
         scores = incoming.select(*key, F.col("nota").alias("_new"))
         updated = table.join(scores, key, "left").select(
@@ -319,35 +336,42 @@ def load_model(
         )
         return updated.unionByName(added.select(*updated.columns))
 
-    save("avaliacao_desempenho", evaluations)
-
     def resolved_events() -> DataFrame:
         chosen = events
         if row_limit is not None:
             keyed = events.withColumn("_key", normalize_key(F.col("cpf")))
             sample = people.select(F.col("cpf").alias("_key"))
             chosen = restrict_to_keys(keyed, sample, "_key").drop("_key")
-        ordered = chosen.withColumn("_event_order", F.struct(*event_order))
+        ordered = chosen.withColumn(EVENT_ORDER, F.struct(*event_order))
         return resolve_events(ordered, persons, new["tipo_evento"])
 
-    skipped = empty_table(spark, f"cpf string, {SKIP_REASON} string")
-    if events is not None:
-        resolved = store.run("eventos_resolvidos", resolved_events, rows).table
-        skipped = resolved.filter(F.col(SKIP_REASON).isNotNull()).drop(
-            "pessoa_id", "tipo_evento_id", "_date", "_event_order"
-        )
+    def load_events() -> DataFrame:
+        if events is None:
+            save("evento", lambda: old["evento"])
+            return empty_table(spark, f"cpf string, {SKIP_REASON} string")
+        resolved = store.run("eventos_resolvidos", resolved_events, rows, after=["pessoa"]).table
+        key, order = ["id_evento_origem"], [EVENT_ORDER]
         save(
             "evento",
             lambda: with_new(
                 "evento",
-                absent_rows(
-                    old["evento"], event_rows(resolved), ["id_evento_origem"], ["_event_order"]
-                ).drop("_event_order"),
-                ["id_evento_origem"],
+                absent_rows(old["evento"], event_rows(resolved), key, order).drop(*order),
+                key,
             ),
+            after=["eventos_resolvidos"],
         )
-    else:
-        save("evento", lambda: old["evento"])
+        return resolved.filter(F.col(SKIP_REASON).isNotNull()).drop(
+            "pessoa_id", "tipo_evento_id", "_date", EVENT_ORDER
+        )
+
+    _, _, skipped = side_by_side(
+        spark,
+        [
+            partial(save, "vinculo", employment, ["pessoa"]),
+            partial(save, "avaliacao_desempenho", evaluations, ["pessoa"]),
+            load_events,
+        ],
+    )
 
     if check:
         require_integrity(audit(RULES, new))

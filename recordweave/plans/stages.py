@@ -5,16 +5,21 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from recordweave.sources.tables import read_record, write_record
 from recordweave.storage import delete_folder
 
+T = TypeVar("T")
+
 _MARKER = "stage string, settings string, shown string, seconds double, counts string, schema string"
 
 
@@ -31,11 +36,15 @@ class Stage:
     reused: bool
 
 
+# A few output folders open at once save sorting every task by the split column.
+OPEN_FOLDERS = {"spark.sql.maxConcurrentOutputFileWriters": "8"}
+
+
 @contextmanager
-def session_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
-    names = {name.replace("__", "."): value for name, value in settings.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
+def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for the length of a block."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield
@@ -47,13 +56,20 @@ def session_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
+    """Run independent stages at once, so that one's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [future.result() for future in running]
+
+
 @dataclass
 class StageStore:
-    """Runs named stages in order, each written as one Parquet table plus a marker.
+    """Runs named stages, each written as one Parquet table plus a marker.
 
     The marker is written after the table, so a stage cut short is run again.
     It keeps the settings of the run, the observed row counts and the schema.
-    Once a stage has run, the ones after it run too, whatever markers they have.
+    A stage is taken from disk only when the stages it comes ``after`` were.
     """
 
     spark: SparkSession
@@ -65,9 +81,9 @@ class StageStore:
 
     def __post_init__(self) -> None:
         self.folder = self.folder.rstrip("/")
+        self._reused: set[str] = set()
         if not self.resume:
             self.clear()
-        self._may_reuse = self.resume
 
     @property
     def fingerprint(self) -> str:
@@ -101,16 +117,19 @@ class StageStore:
         build: Callable[[], DataFrame],
         counters: Mapping[str, Column],
         split_by: str | None = None,
+        after: Sequence[str] = (),
     ) -> Stage:
         """The stage's table, from disk when it is finished, otherwise built and written.
 
         Counters are observed directly under the write, where every partition
         counts exactly once even if executors are lost.
         """
-        stage = self._finished(name) if self._may_reuse else None
+        may_reuse = self.resume and self._reused.issuperset(after)
+        stage = self._finished(name) if may_reuse else None
         if stage is None:
-            self._may_reuse = False
             stage = self._write(name, build, counters, split_by)
+        else:
+            self._reused.add(name)
         self.seconds[name] = stage.seconds
         self.counts[name] = stage.counts
         return stage
@@ -129,9 +148,7 @@ class StageStore:
         writer = watched.write.mode("overwrite")
         if split_by:
             writer = writer.partitionBy(split_by)
-        # A few output folders are open at once, which saves sorting every task by them.
-        with session_settings(self.spark, spark__sql__maxConcurrentOutputFileWriters="8"):
-            writer.parquet(self.path(name))
+        writer.parquet(self.path(name))
         counts = {n: int(v or 0) for n, v in seen.get.items()}
         seconds = round(time.perf_counter() - started, 3)
         marker = {

@@ -1,6 +1,6 @@
 """Quarantine, dedupe, merge and profile queries."""
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from recordweave.plans.consolidate import (
     consolidate,
     transform,
 )
+from recordweave.plans.stages import side_by_side
 from recordweave.sources.contracts import ESOCIAL, GESTAO, RH, SOURCES, to_canonical
 from recordweave.storage import materialize, new_folder
 from workload.registry import query, table
@@ -220,12 +221,13 @@ RAW = {RH.name: rh, ESOCIAL.name: esocial, GESTAO.name: gestao}
 
 def transformed(spark, sf_dir) -> dict[str, DataFrame]:
     """Every source with its row status, written once because several results read it."""
-    out = {}
-    for spec in SOURCES:
+
+    def prepare(spec) -> DataFrame:
         raw = materialize(RAW[spec.name](spark, sf_dir), "raw")
-        rows = transform(to_canonical(raw, spec, ORDER), spec, ORDER, ORDER)
-        out[spec.name] = materialize(rows, "transformed")
-    return out
+        return materialize(transform(to_canonical(raw, spec, ORDER), spec, ORDER, ORDER), "transformed")
+
+    tables = side_by_side(spark, [partial(prepare, spec) for spec in SOURCES])
+    return {spec.name: df for spec, df in zip(SOURCES, tables, strict=True)}
 
 
 def _count_sql(source: str) -> str:
