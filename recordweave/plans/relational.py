@@ -66,9 +66,8 @@ SEEDS: Mapping[str, tuple[str, ...]] = {
     "tipo_evento": ("admissao", "afastamento", "desligamento"),
 }
 
-# Constraints of the target model.
+# Constraints of the target model. Ids are unique by the way they are numbered.
 RULES = (
-    *[Unique(t, ("id",)) for t in SCHEMAS],
     *[Unique(t, ("codigo",)) for t in SEEDS],
     Unique("orgao", ("sigla",)),
     Unique("cargo", ("nome",)),
