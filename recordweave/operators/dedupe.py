@@ -33,8 +33,11 @@ _RANK, _ROWS, _WINNER = "_rank", "_rows", "_winner"
 def keep_one(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest_by: str | None = None
 ) -> DataFrame:
-    """The surviving row of every key. NULL keys count as one key."""
-    order = [F.col(latest_by).desc_nulls_last()] if latest_by else []
+    """The surviving row of every key. NULL keys count as one key.
+
+    Without its date column the latest row is not known and the first is kept.
+    """
+    order = [F.col(latest_by).desc_nulls_last()] if latest_by in df.columns else []
     window = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).asc() for c in order_by])
     return (
         df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
@@ -45,10 +48,10 @@ def repeated_keys(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest_by: str | None = None
 ) -> DataFrame:
     """Keys with more than one row, their row count and the id of the surviving row."""
-    if latest_by is None and len(order_by) == 1:
+    latest = _latest_first(df, latest_by) if latest_by in df.columns else []
+    if not latest and len(order_by) == 1:
         winner = F.min(order_by[0])
     else:
-        latest = _latest_first(df, latest_by) if latest_by else []
         ranked = [c.alias(f"_o{i}") for i, c in enumerate([*latest, *map(F.col, order_by)])]
         winner = F.min(F.struct(*ranked)).getField(f"_o{len(ranked) - 1}")
     return (
@@ -77,7 +80,9 @@ def mark_kept(
 def discarded(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest_by: str | None = None
 ) -> DataFrame:
-    """The rows that :func:`keep_one` drops."""
+    """The rows that :func:`keep_one` drops; none when there is no key column to compare."""
+    if not set(keys).issubset(df.columns):
+        return df.limit(0)
     joined = _with_winners(df, keys, order_by, latest_by, None, "inner")
     return joined.filter(F.col(_WINNER) != F.col(order_by[-1])).select(
         *[F.col(f"`{c}`") for c in df.columns]

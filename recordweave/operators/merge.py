@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -37,23 +37,25 @@ def merge_by_priority(
 ) -> DataFrame:
     """One row per key of any source; each cell is the first non-NULL by source order.
 
-    The sources are stacked and aggregated, so one shuffle on the key serves any
-    number of sources.  Keys are unique per source, hence no group holds more
-    rows than there are sources.
+    The rows of each source travel as one struct, stacked and shuffled once by
+    key for any number of sources, and the cells are picked from the structs side
+    by side.  Keys are unique per source, so rows cannot be combined before the
+    shuffle and no group holds more rows than there are sources; spreading them
+    by key first saves a sort of every source ahead of it.
     """
     if check_unique:
         require_unique_keys(sources, key)
-    columns = list(dict.fromkeys(c for s in sources for c in s.columns))
     stacked = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [s.withColumn(_SOURCE, F.lit(i)) for i, s in enumerate(sources)],
+        [
+            s.select(F.col(key), F.struct(*_quoted(c for c in s.columns if c != key)).alias(_row(i)))
+            for i, s in enumerate(sources)
+        ],
+    )
+    found = [F.first(_row(i), ignorenulls=True).alias(_row(i)) for i in range(len(sources))]
+    return _first_given(
+        stacked.repartition(F.col(key)).groupBy(key).agg(*found), sources, key, "{row}.`{column}`"
     )
-    cells = [
-        F.expr(f"min_by(`{c}`, {_SOURCE}) FILTER (WHERE `{c}` IS NOT NULL)").alias(c)
-        for c in columns
-        if c != key
-    ]
-    return stacked.groupBy(key).agg(*cells).select(*_quoted(consolidated_order(columns)))
 
 
 def merge_by_joins(
@@ -62,23 +64,35 @@ def merge_by_joins(
     """The same result from full outer joins: two shuffles per joined source."""
     if check_unique:
         require_unique_keys(sources, key)
-    columns = list(dict.fromkeys(c for s in sources for c in s.columns))
     renamed = [
-        s.select(
-            F.col(key),
-            *[F.col(f"`{c}`").alias(f"_{i}_{c}") for c in s.columns if c != key],
-        )
+        s.select(F.col(key), *[F.col(f"`{c}`").alias(f"{_row(i)}_{c}") for c in s.columns if c != key])
         for i, s in enumerate(sources)
     ]
     joined = reduce(lambda a, b: a.join(b, key, "full_outer"), renamed)
-    cells = {
-        c: F.coalesce(*[F.col(f"`_{i}_{c}`") for i, s in enumerate(sources) if c in s.columns])
-        for c in columns
-        if c != key
-    }
-    return joined.select(
-        *[F.col(key) if c == key else cells[c].alias(c) for c in consolidated_order(columns)]
-    )
+    return _first_given(joined, sources, key, "`{row}_{column}`")
+
+
+def _row(source: int) -> str:
+    return f"_row{source}"
+
+
+def _first_given(
+    side_by_side: DataFrame, sources: Sequence[DataFrame], key: str, cell: str
+) -> DataFrame:
+    """Per column, the first non-NULL of the sources that have it, in canonical order."""
+
+    def pick(column: str):
+        if column == key:
+            return F.col(key)
+        cells = [
+            F.col(cell.format(row=_row(i), column=column))
+            for i, s in enumerate(sources)
+            if column in s.columns
+        ]
+        return F.coalesce(*cells).alias(column)
+
+    columns = {c for s in sources for c in s.columns}
+    return side_by_side.select(*[pick(c) for c in consolidated_order(columns)])
 
 
 def union_audit(frames: Sequence[DataFrame]) -> DataFrame:
@@ -86,5 +100,5 @@ def union_audit(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _quoted(columns: Sequence[str]) -> list[str]:
+def _quoted(columns: Iterable[str]) -> list[str]:
     return [f"`{c}`" for c in columns]

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from recordweave.operators.lookup import broadcast_if_small
 from recordweave.operators.numbering import number_rows
 
-# Above this many rows a top-n through one task is no longer cheap.
-TOP_N_ROWS = 100_000
+# Above this many rows a top-n, which ends in one task, is no longer cheap.
+TOP_N_ROWS = 10_000
 
 
 def head_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -80,5 +80,6 @@ def upsert_latest(
 
 def cascade_delete(child: DataFrame, removed: DataFrame, reference: str, id_col: str = "id") -> DataFrame:
     """Child rows that do not belong to a removed parent."""
-    gone = removed.select(F.col(id_col).alias(reference)).distinct()
+    # Not made distinct: a plain shuffled side lets adaptive execution split a hot parent.
+    gone = removed.select(F.col(id_col).alias(reference))
     return child.join(gone, reference, "left_anti").select(*child.columns)

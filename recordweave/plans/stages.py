@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from recordweave.sources.tables import read_record, write_record
-from recordweave.storage import delete_folder
+from recordweave.storage import delete_folder, temporary_tables
 
 T = TypeVar("T")
 
@@ -142,13 +142,14 @@ class StageStore:
         split_by: str | None,
     ) -> Stage:
         started = time.perf_counter()
-        df = build()
-        seen = Observation(name)
-        watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()])
-        writer = watched.write.mode("overwrite")
-        if split_by:
-            writer = writer.partitionBy(split_by)
-        writer.parquet(self.path(name))
+        with temporary_tables(self.spark):
+            df = build()
+            seen = Observation(name)
+            watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()])
+            writer = watched.write.mode("overwrite")
+            if split_by:
+                writer = writer.partitionBy(split_by)
+            writer.parquet(self.path(name))
         counts = {n: int(v or 0) for n, v in seen.get.items()}
         seconds = round(time.perf_counter() - started, 3)
         marker = {

@@ -9,24 +9,32 @@ columns prunable and needs no recomputation of its lineage.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_open = threading.local()
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for intermediate tables; shared storage on a cluster."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="recordweave-")
-    spark.conf.set(CHECKPOINT_SETTING, local)
-    return local
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="recordweave-")
 
 
 def _located(spark: SparkSession, path: str):
@@ -50,9 +58,27 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, after the block, the intermediate tables this thread writes inside it.
+
+    For blocks that end with their result written elsewhere.  Outside of one,
+    intermediate tables stay, as checkpoints do, since lazy frames still read them.
+    """
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        written, _open.paths = _open.paths, outer
+        for path in written:
+            delete_folder(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as an intermediate table and return the table read back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -133,6 +133,13 @@ def test_order_by_several_columns(spark, rows):
     assert rows(discarded(frame, ["k"], order), "row") == [(1,), (7,)]
 
 
+def test_missing_columns(spark, rows):
+    frame = spark.createDataFrame([("a", 1), ("a", 2)], "k string, i int")
+    assert rows(keep_one(frame, ["k"], ["i"], latest_by="absent"), "i") == [(1,)]
+    assert rows(discarded(frame, ["k"], ["i"], latest_by="absent"), "i") == [(2,)]
+    assert rows(discarded(frame, ["absent"], ["i"])) == []
+
+
 def test_several_key_columns(spark, rows):
     frame = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("a", 1, 3)], "k string, l int, i int")
     assert rows(discarded(frame, ["k", "l"], ["i"]), "i") == [(3,)]

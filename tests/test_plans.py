@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from recordweave.plans.stages import ResumeError, StageStore
 from recordweave.sources.contracts import CONSOLIDATED_COLUMNS, ESOCIAL, GESTAO, RH
 from recordweave.sources.delimited import read_delimited
 from recordweave.sources.tables import read_record
+from recordweave.storage import checkpoint_root
 
 K1, K2, K3, K4 = (f"{i}" * 11 for i in (1, 2, 3, 4))
 
@@ -163,6 +165,26 @@ def test_resume_reuses_finished_stages(spark, inputs, tmp_path, monkeypatch):
     assert len(written) == 7
 
 
+def test_intermediate_tables_are_deleted(spark, inputs, tmp_path):
+    scratch = pathlib.Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(scratch.iterdir())
+    run = consolidate(spark, inputs, str(tmp_path / "run"))
+    load(spark, run, str(tmp_path / "model"))
+    assert set(scratch.iterdir()) == before
+
+
+def test_checkpoint_folder_comes_from_the_session():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    assert checkpoint_root(Session(spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session(spark_master="yarn"))
+    local = checkpoint_root(Session(spark_master="local[2]"))
+    assert local == checkpoint_root(Session(spark_master="local[2]"))
+
+
 def test_clear(spark, inputs, tmp_path):
     folder = tmp_path / "run"
     consolidate(spark, inputs, str(folder))
