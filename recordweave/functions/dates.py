@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from recordweave.functions.text import strip
 
+# The usual form, which needs no rewriting.
+PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}$"
+
 # Shapes read as a date: ISO with anything after it, day-first with one separator, compact.
 SHAPES = r"^(?:\d{4}-\d{2}-\d{2}.*|\d{1,2}([/.-])\d{1,2}\1\d{4}|\d{8})$"
 LOAD_SHAPES = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([/-])\d{1,2}\1\d{4})$"
@@ -30,11 +33,12 @@ def _year_first(text: Column, shapes: str) -> Column:
 def parse_date(c: Column) -> Column:
     """Date from mixed text: ISO date or timestamp, or day first in one of the closed forms."""
     t = strip(c)
+    plain = t.rlike(PLAIN_ISO)
     dashed = F.regexp_replace(_year_first(t, SHAPES), _COMPACT, "$1-$2-$3")
     # Through a timestamp, since a cast straight to date would accept trailing junk.
     numeric = dashed.try_cast("timestamp_ntz").cast("date")
     named = F.when(t.rlike(MONTH_NAME_SHAPE), F.try_to_date(t, "d MMM yyyy"))
-    return F.coalesce(numeric, named)
+    return F.when(plain, t.try_cast("date")).otherwise(F.coalesce(numeric, named))
 
 
 def parse_load_date(c: Column) -> Column:

@@ -13,7 +13,7 @@ from recordweave.functions.dates import parse_load_date
 from recordweave.functions.keys import normalize_key
 from recordweave.functions.text import is_missing
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 VIOLATION = "violacao"
 SKIP_REASON = "motivo_descarte"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordweave.functions.keys import (
     KEY_BAD_CHECK_DIGITS,
     has_valid_check_digits,
+    is_usable_key,
     rejection_reason,
 )
 from recordweave.operators.standardise import SOURCE
@@ -60,3 +61,12 @@ def quarantine(
     check_digits: bool = False,
 ) -> Split:
     return split_rejected(with_reason(df, key, reason_on, check_digits), source)
+
+
+def drop_unusable(df: DataFrame, key: str = KEY) -> tuple[DataFrame, int]:
+    """The rows with a usable key, and how many others there were.
+
+    The count is a job of its own over the key column; rows keep being lazy.
+    """
+    usable = is_usable_key(F.col(key))
+    return df.filter(usable), df.filter(~usable).count()

@@ -36,8 +36,8 @@ KEPT_ROW, DISCARDED_ROW, REJECTED_ROW = "kept", "discarded", "rejected"
 class SourceInput:
     """Rows of one source: delimited files, or a frame with its row order.
 
-    ``order_by`` ends in a unique column; columns outside the contract are only
-    used for the order.
+    ``order_by`` ends in a unique column. Columns outside the contract, for open
+    contracts those starting with an underscore, are only used for the order.
     """
 
     path: str | Sequence[str] | None = None
@@ -216,12 +216,18 @@ def _metrics(store: StageStore, specs: Sequence[SourceSpec], elapsed: float) ->
     }
 
 
-def export(spark: SparkSession, result: Consolidation, folder: str) -> Mapping[str, str]:
-    """Write every output as delimited text, plus the report, metrics and a manifest."""
+def export(
+    spark: SparkSession, result: Consolidation, folder: str, sort_by_key: bool = False
+) -> Mapping[str, str]:
+    """Write every output as delimited text, plus the report, metrics and a manifest.
+
+    ``sort_by_key`` puts the consolidated rows in key order across its files.
+    """
     folder = folder.rstrip("/")
+    consolidated = result.consolidated
     frames = {
         **result.accepted,
-        "pessoas_consolidado": result.consolidated,
+        "pessoas_consolidado": consolidated.orderBy(KEY) if sort_by_key else consolidated,
         "rejeitados": result.rejected,
         "duplicados": result.duplicates,
         "duplicidade": result.report(),

@@ -36,7 +36,7 @@ from recordweave.operators.lookup import (
 )
 from recordweave.operators.numbering import assign_ids
 from recordweave.operators.sampling import head_n, restrict_to_keys
-from recordweave.operators.writes import absent_rows, last_rows
+from recordweave.operators.writes import absent_rows, cascade_delete, last_rows
 from recordweave.plans.stages import StageStore, side_by_side
 from recordweave.sources.tables import empty_table, read_record, read_table, write_record
 
@@ -214,6 +214,17 @@ def event_rows(resolved: DataFrame) -> DataFrame:
     )
 
 
+def without_people(tables: Tables, removed: DataFrame) -> dict[str, DataFrame]:
+    """The model after deleting persons by id, together with everything that refers to them."""
+    people = tables["pessoa"].join(removed.select("id"), "id", "left_anti")
+    children = {
+        rule.table: cascade_delete(tables[rule.table], removed, rule.column)
+        for rule in RULES
+        if isinstance(rule, Reference) and rule.parent == "pessoa"
+    }
+    return {**tables, "pessoa": people.select(*tables["pessoa"].columns), **children}
+
+
 # --- the load -------------------------------------------------------------------------
 
 

@@ -36,7 +36,7 @@ from recordweave.operators.profile import (
     require_unique,
     source_coverage,
 )
-from recordweave.operators.quarantine import quarantine
+from recordweave.operators.quarantine import drop_unusable, quarantine
 from recordweave.operators.sampling import (
     head_n,
     proportional_quotas,
@@ -83,6 +83,8 @@ def test_quarantine_loses_no_row(spark, rows):
         (None, "rh", "cpf_ausente"),
     ]
     assert split.valid.count() + split.rejected.count() == len(keys)
+    usable, dropped = drop_unusable(frame)
+    assert rows(usable) == [("12345678901",)] and dropped == 4
 
 
 def test_quarantine_of_wrong_check_digits(spark, rows):

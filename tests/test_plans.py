@@ -10,7 +10,7 @@ from recordweave.operators.lookup import SKIP_REASON, DomainError
 from recordweave.operators.merge import merge_by_joins
 from recordweave.operators.profile import duplicate_profile
 from recordweave.plans.consolidate import SourceInput, consolidate, export
-from recordweave.plans.relational import RULES, current_version, load_model, read_model
+from recordweave.plans.relational import RULES, current_version, load_model, read_model, without_people
 from recordweave.plans.stages import ResumeError, StageStore
 from recordweave.sources.contracts import CONSOLIDATED_COLUMNS, ESOCIAL, GESTAO, RH
 from recordweave.sources.delimited import read_delimited
@@ -193,7 +193,9 @@ def test_clear(spark, inputs, tmp_path):
 
 
 def test_export(spark, run, tmp_path):
-    outputs = export(spark, run, str(tmp_path / "out"))
+    outputs = export(spark, run, str(tmp_path / "out"), sort_by_key=True)
+    in_order = read_delimited(spark, outputs["pessoas_consolidado"]).orderBy("_file", "_block", "_row")
+    assert [r.cpf for r in in_order.collect()] == [K1, K2, K3, K4]
     back = read_delimited(spark, outputs["pessoas_consolidado"], keep_order=False)
     assert back.count() == 4 and back.columns == list(CONSOLIDATED_COLUMNS)
     assert read_delimited(spark, outputs["duplicados"], keep_order=False).count() == 4
@@ -247,6 +249,9 @@ def test_full_load(spark, run, target, rows):
     ]
     assert audit(RULES, t).filter("violations > 0").count() == 0
     assert current_version(spark, target) == 1
+    rest = without_people(t, t["pessoa"].filter(F.col("cpf") == K1))
+    assert rows(rest["pessoa"], "id") == [(2,), (3,)] and rest["evento"].count() == 0
+    assert audit(RULES, rest).filter("violations > 0").count() == 0
 
 
 def test_violations_stop_the_load(spark, run, target):
