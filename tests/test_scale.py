@@ -1,12 +1,17 @@
 """Plan shapes and hot keys: what must hold when the tables are much larger."""
 
+import hashlib
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
 from recordweave.operators.dedupe import discarded, keep_one, mark_kept
+from recordweave.operators.lookup import resolve_events
 from recordweave.operators.merge import merge_by_joins, merge_by_priority
 from recordweave.operators.numbering import number_rows
 from recordweave.operators.profile import duplicate_profile, source_coverage
+from recordweave.operators.sampling import proportional_quotas, stratified_sample
 from recordweave.operators.writes import insert_if_absent
 
 
@@ -124,3 +129,77 @@ def test_results_do_not_depend_on_partitioning(spark, hot, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_merge_against_brute_force(spark):
+    random = Random(7)
+    columns = [["a", "b"], ["b", "c"], ["a", "c", "d"]]
+    tables = [
+        {
+            f"{k:03d}": {c: random.choice([None, f"{i}{c}{k}"]) for c in names}
+            for k in random.sample(range(200), 120)
+        }
+        for i, names in enumerate(columns)
+    ]
+    frames = [
+        spark.createDataFrame(
+            [(k, *[row[c] for c in names]) for k, row in table.items()],
+            ", ".join(f"{c} string" for c in ["cpf", *names]),
+        )
+        for table, names in zip(tables, columns, strict=True)
+    ]
+    want = set()
+    for key in set().union(*tables):
+        cells = [
+            next((t[key][c] for t in tables if key in t and t[key].get(c) is not None), None)
+            for c in "abcd"
+        ]
+        want.add((key, *cells))
+    for merge in (merge_by_priority, merge_by_joins):
+        assert {tuple(r) for r in merge(frames).collect()} == want
+
+
+def test_sample_of_a_hot_group_against_brute_force(spark, hot):
+    group = F.when(F.col("k") == "hot", "hot").otherwise(F.left("k", F.lit(2)))
+    frame = hot.select("i", group.alias("g"))
+    sample = {(r.g, r.i) for r in stratified_sample(frame, "g", "i", 9_000).collect()}
+    members = {}
+    for r in frame.collect():
+        members.setdefault(r.g, []).append((hashlib.md5(str(r.i).encode()).hexdigest(), r.i))
+    quota = {r.g: r.quota for r in proportional_quotas(frame, "g", 9_000).collect()}
+    assert sum(quota.values()) == 9_000 and quota["hot"] == 3_000
+    assert sample == {(g, i) for g, ids in members.items() for _, i in sorted(ids)[: quota[g]]}
+
+
+def test_events_of_a_hot_person_are_split(spark):
+    """Adaptive execution splits the event side of the person join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+        events = spark.range(0, 60_000, 1, 8).select(
+            F.lpad(key.cast("string"), 11, "0").alias("cpf"),
+            F.lit("admissao").alias("tipo_evento"),
+            F.col("id").cast("string").alias("id_evento"),
+            F.lit("2024-01-31").alias("data_evento"),
+        )
+        people = spark.range(5000).select(
+            F.col("id"), F.lpad(F.col("id").cast("string"), 11, "0").alias("cpf")
+        )
+        types = spark.range(1).select(F.col("id"), F.lit("admissao").alias("codigo"))
+        resolved = resolve_events(events, people, types)
+        chosen = resolved.select("pessoa_id", "id_evento")
+        collected = chosen.collect()
+        assert len(collected) == 60_000
+        assert sum(r.pessoa_id == 7 for r in collected) >= 20_000
+        assert "skew=true" in plan(chosen)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
