@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordweave.operators.lookup import broadcast_if_small
 from recordweave.operators.numbering import number_rows
+from recordweave.storage import materialize
 
 # Above this many rows a top-n, which ends in one task, is no longer cheap.
 TOP_N_ROWS = 10_000
@@ -35,7 +36,12 @@ def proportional_quotas(df: DataFrame, group: str, n: int) -> DataFrame:
     if n <= 0:
         raise ValueError("n must be positive")
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.count()
+    return _quotas(materialize(counts, "counts"), group, n)
+
+
+def _quotas(counts: DataFrame, group: str, n: int) -> DataFrame:
+    """Quotas from a table of (group, rows)."""
+    total = counts.agg(F.sum("rows")).first()[0] or 0
     if n >= total:
         return counts.withColumn("quota", F.col("rows"))
     scaled = F.col("rows").cast("decimal(19,0)") * F.lit(n).cast("decimal(19,0)")
@@ -60,11 +66,16 @@ def stratified_sample(
     runs out; buckets before it are taken entirely, and only rows of that one
     bucket (about 1/65536 of the group) are ranked.
     """
-    quotas = proportional_quotas(df, group, n).select(F.col(group).alias("_g"), "quota")
+    if n <= 0:
+        raise ValueError("n must be positive")
     hashed = df.withColumn(
         "_hash", F.md5(F.concat(F.lit(seed), F.col(row_id).cast("string")).cast("binary"))
     ).withColumn("_bucket", F.left("_hash", F.lit(4)))
-    sizes = hashed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = materialize(
+        hashed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "sizes"
+    )
+    counts = materialize(sizes.groupBy(group).agg(F.sum("_n").alias("rows")), "counts")
+    quotas = _quotas(counts, group, n).select(F.col(group).alias("_g"), "quota")
     upto = Window.partitionBy(group).orderBy("_bucket")
     reached = sizes.withColumn("_upto", F.sum("_n").over(upto))
     limits = (
@@ -76,7 +87,8 @@ def stratified_sample(
             (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_open"),
         )
     )
-    limited = hashed.join(broadcast_if_small(limits), hashed[group].eqNullSafe(F.col("_g")))
+    small = broadcast_if_small(materialize(limits, "limits"))
+    limited = hashed.join(small, hashed[group].eqNullSafe(F.col("_g")))
     whole = limited.filter(F.col("_bucket") < F.col("_last"))
     place = Window.partitionBy(group).orderBy("_hash", row_id)
     partial = (
