@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from recordweave.llm import language_id
 from recordweave.llm.simhash_gray import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +29,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
+
+
+@_query
+def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    sample = language_id.learn(docs, ~language_id.held_out())
+    found = language_id.identify(docs, sample)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "bits")
