@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.llm import language_id
+from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.simhash_gray import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +38,9 @@ def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = language_id.learn(docs, ~language_id.held_out())
     found = language_id.identify(docs, sample)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "bits")
+
+
+@_query
+def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
