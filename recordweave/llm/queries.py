@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordweave.llm import language_id
 from recordweave.llm.decontaminate import contaminated
+from recordweave.llm.secret_scan import scan_secrets
 from recordweave.llm.simhash_gray import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +45,8 @@ def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
+
+
+@_query
+def op2_decoding_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
