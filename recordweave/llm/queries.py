@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordweave.llm import language_id
 from recordweave.llm.decontaminate import contaminated
+from recordweave.llm.packing import pack
 from recordweave.llm.secret_scan import scan_secrets
 from recordweave.llm.simhash_gray import simhash_groups
 
@@ -50,3 +51,8 @@ def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_decoding_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
