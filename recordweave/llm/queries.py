@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recordweave.llm import language_id
 from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.packing import pack
+from recordweave.llm.robust_outliers import quality
 from recordweave.llm.secret_scan import scan_secrets
 from recordweave.llm.simhash_gray import simhash_groups
 
@@ -56,3 +57,8 @@ def op2_decoding_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
