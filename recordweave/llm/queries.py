@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm import language_id
+from recordweave.llm import jump_shards, language_id
 from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.packing import pack
 from recordweave.llm.robust_outliers import quality
@@ -62,3 +62,11 @@ def op5_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jump_shards.shard(_table(spark, sf_dir, "documents"))
+
+
+SQL["op9_jump_shards"] = jump_shards.ORACLE_SQL
