@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordweave.llm import jump_shards, language_id
+from recordweave.llm import chat_format, jump_shards, language_id
 from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.packing import pack
 from recordweave.llm.robust_outliers import quality
@@ -70,3 +70,35 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op9_jump_shards"] = jump_shards.ORACLE_SQL
+
+
+#: Said by both turns of the conversation that is added to the table: it holds the template's own marks.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@_query
+def op6_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
+    )
+    role = F.when(F.col("id") == 0, "user").otherwise(chat_format.LOSS_ROLE)
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TRICKY).alias("text")
+    )
+    formatted = chat_format.format_conversations(chat_format.text_parts(turns.unionByName(extra)))
+    return chat_format.read_back(formatted)
+
+
+SQL["op6_content_parts"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       -- 16 marks a turn, and one more character for each that is escaped
+       CAST(sum(16 + length(replace(replace(role || text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
