@@ -89,7 +89,7 @@ def op6_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(formatted)
 
 
-SQL["op6_content_parts"] = f"""
+SQL["op6_content_parts"] = rf"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')

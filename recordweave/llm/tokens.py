@@ -5,28 +5,30 @@ characters, and neither normaliser looks across one.  So a text's ids are the id
 that was met before needs no second encoding.  Where blanks stand beside other white space
 the pieces stay together.
 
-A new piece that is a plain word of Latin letters, perhaps with marks of punctuation behind it, is one
-pre-token and a second one; these go straight to the tokenizer's model.  Every other piece
-goes through the whole tokenizer.
+Texts in Latin letters with single blanks and line breaks are cut further, at every change between letters and
+others, since a run of letters is a pre-token of its own unless an apostrophe comes before it.  A new word of
+Latin letters goes straight to the tokenizer's model.  Every other piece goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-import numpy as np  # noqa: E402
 import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Pieces a worker remembers, and the longest piece it does.
 CACHE_PIECES = 500_000
 CACHE_LENGTH = 64
-_BESIDE = re.compile(r"\s\s|^ | $")
-_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)")
+_WITH_BLANK = re.compile(rf" ?[{_LETTERS}]+|[^{_LETTERS}]+?(?= ?[{_LETTERS}]|\Z)")
+_WITHOUT_BLANK = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS} ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -47,24 +49,22 @@ class Encoder(dict):
         probe = self.tokenizer.normalizer.normalize_str("A é") if self.tokenizer.normalizer else "A é"
         self.lower = probe == "a é"
         self.keeps_blank = self._whole(" a") != self._whole("a")
-        self.plain = False
-        self.plain = all(self._whole(p) == self._straight(p) for p in (" Éab,", "ab", " a.", "Zß!?"))
+        self.plain = all(self._whole(p) == self._straight(p) for p in (" Éab", "ab", " a", "Zß"))
+        self.cut = _WITH_BLANK if self.keeps_blank else _WITHOUT_BLANK
 
     def _whole(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def _straight(self, piece: str) -> bytes | None:
         """Ids of a plain word, None for other pieces."""
         parts = _PLAIN.fullmatch(piece)
         if not parts:
             return None
-        blank, word, marks = parts.groups()
-        if marks and (known := self.get(blank + word)) is not None:
-            return known + self[marks]
+        blank, word = parts.groups()
         made = (blank if self.keeps_blank else "") + (word.lower() if self.lower else word)
-        made = made.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(made)], "<u4").tobytes()
-        return ids + self[marks] if marks else ids
+        if blank or not made.isascii():
+            made = made.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(made)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = self._straight(piece) if self.plain else None
@@ -74,12 +74,13 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
+    def pieces(self, text: str) -> list[str]:
+        apart = "  " not in text and " \n" not in text and "\n " not in text and "\n\n" not in text and text[:1] != " " and text[-1:] != " "
+        if self.plain and apart and _is_latin(text) and text.replace("\n", "").isprintable():
+            # no white space beside other white space, no contraction, no special token: words stand alone
+            return self.cut.findall(text.lower() if self.lower else text)
         parts = text.split(" ")
         pieces = [parts[0], *[" " + p for p in parts[1:]]]
-        if not _BESIDE.search(text):
-            return pieces
         # a cut needs a visible character on either side
         out, open_ = [], True
         for piece in pieces:
@@ -98,6 +99,15 @@ class Encoder(dict):
         return [b"".join(map(self.__getitem__, self.pieces(t))) for t in texts]
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all is Latin-1, whose lower case goes letter by letter, without what parts words or marks special tokens."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "'" not in text and "<" not in text
+
+
 @lru_cache(maxsize=4)
 def encoder(name: str) -> Encoder:
     """The encoder of a file of the public tokenizers (or of a path), read once in a worker."""
