@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recordweave.operators.lookup import broadcast_if_small
 from recordweave.storage import materialize
 
 #: Words are what stands between these characters (space and the ASCII controls tab to carriage return).
@@ -79,4 +80,22 @@ def number_within(
     )
 
 
-__all__ = ["SLICE_ROWS", "WORD_BREAK", "materialize", "number_within", "ship_package", "slices"]
+def text_key(id_col: str, text_col: str | None, hash_col: str | None = None) -> Column:
+    """A row's id and the hash of its text, as a struct that can be compared even where the id is null."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")) if text_col else None
+    hashed = F.xxhash64(text) if text is not None else F.col(hash_col)
+    number = F.col(f"`{id_col}`").cast("bigint")
+    return F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0)).alias("id"), hashed.alias("hash"))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not in ``gone`` (columns ``_doc``, ``_hash``), all columns kept.
+
+    The list is broadcast if it is small; otherwise both sides are shuffled by id and hash.
+    """
+    keys = gone.select(text_key("_doc", None, "_hash").alias("_gone"))
+    keyed = docs.withColumn("_key", text_key(id_col, text_col))
+    return keyed.join(broadcast_if_small(keys.distinct()), F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
+
+
+__all__ = ["SLICE_ROWS", "WORD_BREAK", "materialize", "number_within", "ship_package", "slices", "text_key", "without"]

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import materialize, ship_package, slices
+from recordweave.llm.common import materialize, ship_package, slices, without
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -257,6 +257,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs`` without any benchmark item, all columns kept, compared by id and text hash."""
     hits = contaminated(docs, benchmark, id_col, text_col, **settings)
     gone = materialize(hits.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    match = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_doc")) & (hashed == F.col("_hash"))
-    return docs.join(gone, match, "left_anti")
+    return without(docs, gone, id_col, text_col)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import materialize, ship_package, slices
+from recordweave.llm.common import materialize, ship_package, slices, without
 
 #: Bounds of the labelled sample: symbols of all languages together, symbols of one at most, and excerpts of one.
 SAMPLE_SYMBOLS = 1 << 19
@@ -257,6 +257,4 @@ def keep_identified(docs: DataFrame, sample: Sample, id_col: str = "doc_id", tex
         identify(docs, sample, id_col, text_col).where("rejected").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(),
         "rejected",
     )
-    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    match = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_doc")) & (hashed == F.col("_hash"))
-    return docs.join(gone, match, "left_anti")
+    return without(docs, gone, id_col, text_col)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.llm import chat_format, jump_shards, language_id
 from recordweave.llm.decontaminate import contaminated
+from recordweave.llm.mixing_coder import read_ids, write_ids
 from recordweave.llm.packing import pack
 from recordweave.llm.robust_outliers import quality
 from recordweave.llm.secret_scan import scan_secrets
 from recordweave.llm.simhash_gray import simhash_groups
+from recordweave.llm.warc import RECORD_NAME, read_warc, write_warc
+from recordweave.storage import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,3 +105,39 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(16 + length(replace(replace(role || text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+@_query
+def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_warc(_table(spark, sf_dir, "pages"), folder)
+    records = read_warc(spark, folder).where("reason IS NULL")
+
+    def page(name: str) -> Column:
+        number = F.regexp_extract(name, f"<{RECORD_NAME}(-?[0-9]+)>", 1)
+        return F.when(number != "", number).cast("bigint")
+
+    return records.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+        page("refers_to").alias("refers_to"),
+    )
+
+
+SQL["op10_warc_salvage"] = """
+WITH bodies AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM bodies
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first < page_id OR page_id IS NULL AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id OR page_id IS NULL THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@_query
+def op3_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "ids")
+    files = write_ids(_table(spark, sf_dir, "documents"), folder)
+    return read_ids(spark, folder, files)

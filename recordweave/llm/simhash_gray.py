@@ -31,8 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import materialize, ship_package, slices
+from recordweave.llm.common import materialize, ship_package, slices, text_key, without
 from recordweave.llm.components import local_components, star_components
+from recordweave.operators.lookup import broadcast_if_small
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -231,8 +232,6 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, max_run: int = MAX_RUN)
     deeper.  Such nodes are few (each has more than ``max_run`` members), and their list is
     broadcast only under a measured size.
     """
-    from recordweave.operators.lookup import broadcast_if_small
-
     ship_package(fps.sparkSession)
     found, masks, dealt = None, {0: upper_masks(max_bits)}, fps.select("fp", F.lit(0).cast("bigint").alias("within"))
     while True:
@@ -296,21 +295,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     The row with the smallest id stays (among rows without any id, that with the smallest text hash); of
     repeated rows of that id and text, one.
     """
-    groups = materialize(simhash_groups(docs, id_col, text_col, **settings), "groups")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("s")
-    chosen = groups.groupBy("root").agg(first).select("s.doc_id", "s.text_hash")
-    times = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
-    chosen = chosen.alias("c").join(
-        times.alias("t"), [F.col("c.doc_id").eqNullSafe(F.col("t.doc_id")), F.col("c.text_hash") == F.col("t.text_hash")]
-    ).select(F.col("c.doc_id").alias("_doc"), F.col("c.text_hash").alias("_hash"), F.col("times").alias("_times"))
-    chosen = materialize(chosen, "survivors")
-    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    kept = docs.withColumn("_text_hash", hashed).join(
-        chosen, (F.col("_text_hash") == F.col("_hash")) & F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_doc"))
+    groups = simhash_groups(docs, id_col, text_col, **settings)
+    pairs = materialize(
+        groups.groupBy("doc_id", "text_hash").agg(F.min("root").alias("root"), F.count(F.lit(1)).alias("times")), "pairs"
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = pairs.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    first = materialize(first.select("root", F.col("first.doc_id").alias("first_doc"), F.col("first.text_hash").alias("first_hash")), "firsts")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = pairs.join(broadcast_if_small(first), "root").where(~stays).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    kept = without(docs, materialize(gone, "gone"), id_col, text_col)
+    again = materialize(
+        pairs.where("times > 1").join(gone, (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("text_hash") == F.col("_hash")), "left_anti")
+        .select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")),
+        "repeated",
     )
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = kept.where("_times > 1")
-    if not chosen.where("_times > 1").isEmpty():
-        once = repeated.dropDuplicates(["_doc", "_hash"])
-        return kept.where("_times = 1").select(*columns).unionByName(once.select(*columns))
-    return kept.select(*columns)
+    if again.isEmpty():
+        return kept
+    keyed = kept.withColumn("_key", text_key(id_col, text_col))
+    once = keyed.join(broadcast_if_small(again), F.col("_key") == text_key("_doc", None, "_hash"), "left_semi").dropDuplicates(["_key"])
+    return without(kept, again, id_col, text_col).unionByName(once.drop("_key"))
