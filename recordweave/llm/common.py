@@ -80,22 +80,36 @@ def number_within(
     )
 
 
-def text_key(id_col: str, text_col: str | None, hash_col: str | None = None) -> Column:
+def fresh(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``frame`` has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def text_key(number: Column, hashed: Column) -> Column:
     """A row's id and the hash of its text, as a struct that can be compared even where the id is null."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")) if text_col else None
-    hashed = F.xxhash64(text) if text is not None else F.col(hash_col)
-    number = F.col(f"`{id_col}`").cast("bigint")
+    number = number.cast("bigint")
     return F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0)).alias("id"), hashed.alias("hash"))
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id and text hash are not in ``gone`` (columns ``_doc``, ``_hash``), all columns kept.
+def keyed(docs: DataFrame, id_col: str, text_col: str | None, name: str, hash_col: str | None = None) -> DataFrame:
+    """``docs`` with the key of every row in column ``name``, from its text or from a hash it has."""
+    hashed = F.col(hash_col) if hash_col else F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return docs.withColumn(name, text_key(F.col(f"`{id_col}`"), hashed))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str | None, hash_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not in ``gone`` (columns ``doc_id``, ``text_hash``), all columns kept.
 
     The list is broadcast if it is small; otherwise both sides are shuffled by id and hash.
     """
-    keys = gone.select(text_key("_doc", None, "_hash").alias("_gone"))
-    keyed = docs.withColumn("_key", text_key(id_col, text_col))
-    return keyed.join(broadcast_if_small(keys.distinct()), F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
+    name = fresh(docs, "_key")
+    keys = gone.select(text_key(F.col("doc_id"), F.col("text_hash")).alias(name)).distinct()
+    return keyed(docs, id_col, text_col, name, hash_col).join(broadcast_if_small(keys), name, "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns]
+    )
 
 
-__all__ = ["SLICE_ROWS", "WORD_BREAK", "materialize", "number_within", "ship_package", "slices", "text_key", "without"]
+__all__ = ["SLICE_ROWS", "WORD_BREAK", "fresh", "keyed", "materialize", "number_within", "ship_package", "slices", "text_key", "without"]

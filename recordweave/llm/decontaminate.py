@@ -256,5 +256,5 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` without any benchmark item, all columns kept, compared by id and text hash."""
     hits = contaminated(docs, benchmark, id_col, text_col, **settings)
-    gone = materialize(hits.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    gone = materialize(hits.select("doc_id", "text_hash").distinct(), "contaminated")
     return without(docs, gone, id_col, text_col)

@@ -213,7 +213,7 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float], lis
     rest = cost.copy()
     rest[np.arange(len(texts)), best] = np.inf
     second = rest.min(axis=1) if len(model.names) > 1 else np.full(len(texts), np.inf)
-    score = np.clip(1 - least / second, 0, 1)
+    score = np.clip(1 - least / np.where(second > 0, second, 1), 0, 1)
     found = letters > 0
     names = [model.names[i] if f else UNDETERMINED for i, f in zip(best, found, strict=True)]
     strange = ~found | ((sizes >= MIN_SYMBOLS) & (least > MAX_BITS))
@@ -254,7 +254,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def keep_identified(docs: DataFrame, sample: Sample, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is in one of the languages, all columns kept, the text compared by id and hash."""
     gone = materialize(
-        identify(docs, sample, id_col, text_col).where("rejected").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(),
+        identify(docs, sample, id_col, text_col).where("rejected").select("doc_id", "text_hash").distinct(),
         "rejected",
     )
     return without(docs, gone, id_col, text_col)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordweave.llm.common import materialize, ship_package, slices, text_key, without
+from recordweave.llm.common import fresh, keyed, materialize, ship_package, slices, text_key, without
 from recordweave.llm.components import local_components, star_components
 from recordweave.operators.lookup import broadcast_if_small
 
@@ -303,15 +303,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     first = pairs.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
     first = materialize(first.select("root", F.col("first.doc_id").alias("first_doc"), F.col("first.text_hash").alias("first_hash")), "firsts")
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash"))
-    gone = pairs.join(broadcast_if_small(first), "root").where(~stays).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    gone = pairs.join(broadcast_if_small(first), "root").where(~stays).select("doc_id", "text_hash")
     kept = without(docs, materialize(gone, "gone"), id_col, text_col)
-    again = materialize(
-        pairs.where("times > 1").join(gone, (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("text_hash") == F.col("_hash")), "left_anti")
-        .select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")),
-        "repeated",
-    )
+    again = materialize(without(pairs.where("times > 1"), gone, "doc_id", None, "text_hash").select("doc_id", "text_hash"), "repeated")
     if again.isEmpty():
         return kept
-    keyed = kept.withColumn("_key", text_key(id_col, text_col))
-    once = keyed.join(broadcast_if_small(again), F.col("_key") == text_key("_doc", None, "_hash"), "left_semi").dropDuplicates(["_key"])
-    return without(kept, again, id_col, text_col).unionByName(once.drop("_key"))
+    name = fresh(docs, "_key")
+    keys = again.select(text_key(F.col("doc_id"), F.col("text_hash")).alias(name))
+    once = keyed(kept, id_col, text_col, name).join(broadcast_if_small(keys), name, "left_semi").dropDuplicates([name])
+    return without(kept, again, id_col, text_col).unionByName(once.select(*[F.col(f"`{c}`") for c in docs.columns]))

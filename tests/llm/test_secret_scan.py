@@ -1,0 +1,123 @@
+import base64
+import bz2
+import gzip
+import hashlib
+import lzma
+import random
+import re
+import zlib
+from urllib.parse import quote
+
+import pytest
+
+from recordweave.llm import secret_scan as secret
+
+KEY = "AKIA" + "Q1W2E3R4T5Y6U7I8"
+_BASE = (
+    ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+     r"""[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+)
+
+
+def base(text):
+    """The base rules as they are worded."""
+    found = []
+    for kind, pattern in _BASE:
+        for m in re.finditer(pattern, text):
+            if (len(m[2]) if kind == "assign" else len(m[0])) >= {"assign": 8, "access": 16, "hex": 32}[kind]:
+                found.append((kind, m.start(), m.end()))
+    return found
+
+
+def test_base_equals_its_wording():
+    random.seed(1)
+    parts = ["password", "PassWD", "token", "api_key", "APIKEY", "ſecret", "toKen", ":", "=", " ", '"', "'", "abcdefgh", "x", KEY, "AKIA", "A1",
+             "0123456789abcdef", "f", "\n", "é", "secret", "-", "\t"]
+    for _ in range(4000):
+        text = "".join(random.choice(parts) for _ in range(random.randint(0, 14)))
+        assert sorted(secret.scan(text)) == sorted(base(text)), text
+
+
+def spans(text):
+    found, more, unfinished = secret.find(text)
+    assert not unfinished
+    return found, {(kind, text[a:b]) for kind, a, b, _ in more}
+
+
+WRAPS = {
+    "url": lambda s: "".join(f"%{b:02X}" for b in s.encode()),
+    "url twice": lambda s: quote(quote(s, safe=""), safe="").replace("A", "%41"),
+    "escapes": lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+    "references": lambda s: "".join(f"&#{ord(c)};" for c in s),
+    "base64": lambda s: base64.b64encode(f"the key is {s} ok".encode()).decode(),
+    "base64 of url": lambda s: base64.b64encode(WRAPS["url"](s).encode()).decode(),
+    "gzip": lambda s: base64.b64encode(gzip.compress(f"the key is {s} ok".encode())).decode(),
+    "zlib": lambda s: base64.urlsafe_b64encode(zlib.compress(f"the key is {s} ok".encode())).decode(),
+    "bzip2": lambda s: base64.b64encode(bz2.compress(f"the key is {s} ok".encode())).decode(),
+    "xz": lambda s: base64.b64encode(lzma.compress(f"the key is {s} ok".encode())).decode(),
+    "gzip in zlib": lambda s: base64.b64encode(zlib.compress(gzip.compress(f"the key is {s} ok".encode()))).decode(),
+    "all": lambda s: quote(base64.b64encode(gzip.compress(WRAPS["base64"](s).encode())).decode(), safe=""),
+}
+
+
+@pytest.mark.parametrize("name", sorted(WRAPS))
+def test_wrapped_secrets_are_found_in_place(name):
+    wrapped = WRAPS[name](KEY)
+    text = f"é before, {wrapped} after"
+    found, more = spans(text)
+    assert found == [] and {k for k, _ in more} == {"access"}
+    for _, part in more:
+        assert part in wrapped and len(part) > 16
+
+
+def test_in_place_decoding_is_exact():
+    text = f"x {WRAPS['url'](KEY)} y"
+    assert spans(text)[1] == {("access", WRAPS["url"](KEY))}
+    assert spans("a secret&#61;abcd1234&quot; b")[1] == {("assign", "secret&#61;abcd1234")}
+
+
+def test_a_stream_that_holds_itself_ends():
+    layer = "%2525" * 50 + base64.b64encode(b"%25" * 20).decode()
+    found, more, unfinished = secret.find(layer)
+    assert (found, more, unfinished) == ([], [], False)
+
+
+def test_same_layer_is_taken_once():
+    text = WRAPS["base64"](KEY)
+    assert len([x for x, _ in secret.layers(text)]) == 2
+
+
+def test_a_bomb_is_reported():
+    bomb = base64.b64encode(zlib.compress(b"a" * (8 << 20))).decode()
+    assert secret.find(bomb, layer_bytes=1 << 20)[2]
+    assert not secret.find(bomb)[2]
+
+
+def test_damaged_and_invalid_layers():
+    packed = base64.b64encode(gzip.compress(b"x" * 100)[:20]).decode()
+    for text in (packed, "%ff%fe%zz%", "\\ud800 \\uZZZZ &nosuch; &#1114112;", "A" * 17, "=" * 40, "+/" * 30):
+        secret.find(text)
+
+
+def test_rows(edge, docs_of):
+    found = {(r.doc_id, r.n_assign): r for r in secret.scan_secrets(edge).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert all(r.base_sha256 == empty and r.spans == "" for r in found.values())
+    text = f"é token=abcdefgh1 {KEY} {WRAPS['base64'](KEY)}"
+    row = secret.scan_secrets(docs_of([(1, text)])).first()
+    first = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(base(text), key=lambda s: s[1]))
+    assert (row.n_assign, row.n_access, row.n_hex, row.n_decoded) == (1, 1, 0, 1)
+    assert row.base_sha256 == hashlib.sha256(first.encode()).hexdigest() and row.spans.startswith(first)
+    assert secret.scan_secrets(docs_of([])).count() == 0
+
+
+def test_redaction_keeps_rows_and_columns(edge, docs_of):
+    done = secret.redact_secrets(edge, length_col="n_chars")
+    assert done.schema == edge.schema or done.columns == edge.columns
+    assert sorted(map(str, done.collect())) == sorted(map(str, edge.collect()))
+    text = f"a token=abcdefgh1 b {WRAPS['url'](KEY)} c"
+    row = secret.redact_secrets(docs_of([(1, text), (2, "clean")]), length_col="n_chars").where("doc_id = 1").first()
+    assert row.text == "a [REDACTED] b [REDACTED] c" and row.n_chars == len(row.text)
+    assert secret.redact("abcdef", [("hex", 1, 3), ("hex", 2, 4), ("hex", 4, 5)]) == "a[REDACTED][REDACTED]f"
