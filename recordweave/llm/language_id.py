@@ -55,19 +55,26 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     rows = docs.where(usable & F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.xxhash64(text).alias("hash"), text.alias("text")
     )
-    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("hash").alias("texts"))
+    most = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     names = sorted(r.lang for r in most)
     if not names:
         return Sample((), ())
     share = min(LANGUAGE_SYMBOLS, SAMPLE_SYMBOLS // len(names))
     width = max(32, share // LANGUAGE_EXCERPTS)
+    # short texts fill less than their excerpt, so more of them are fetched than a full share takes
+    fetched = 4 * LANGUAGE_EXCERPTS
     middle = F.greatest(F.lit(1), F.floor((F.length("text") - F.lit(width)) / 2).cast("int"))
-    cut = rows.where(F.col("lang").isin(names)).select("lang", "hash", F.substring("text", middle, F.lit(width)).alias("text"))
-    # copies have one hash: dense ranks count distinct texts, and a row number of one per hash keeps a single copy
+    # only hashes below a bound that some thousand distinct texts of a language are under get as far as the shuffle
+    bound = F.create_map(*[
+        x for r in most for x in (F.lit(r.lang), F.lit(min((1 << 63) - 1, int((1 << 63) * 16 * fetched / max(1, r.texts)))))
+    ])
+    low = F.shiftrightunsigned("hash", 1) <= bound[F.col("lang")]
+    cut = rows.where(low).select("lang", "hash", F.substring("text", middle, F.lit(width)).alias("text"))
+    # copies have one hash and count once
     first = cut.groupBy("lang", "hash").agg(F.min("text").alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    # short texts fill less than their excerpt, so more of them are fetched than a full share takes
-    chosen = first.withColumn("rank", rank).where(F.col("rank") <= 4 * LANGUAGE_EXCERPTS).orderBy("lang", "rank").collect()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 1), "hash"))
+    chosen = first.withColumn("rank", rank).where(F.col("rank") <= fetched).orderBy("lang", "rank").collect()
     texts = {n: "" for n in names}
     for row in chosen:
         if len(texts[row.lang]) < share:
