@@ -44,22 +44,27 @@ _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 _WORD, _EDGE = np.uint64(16), np.uint64(48)
 #: The order-0 frequencies of a segment sum to two to this power.
 _SHARE_BITS = 18
-_COUNT_STEP, _COUNT_MOST = 24, 1 << 12
+#: Counts begin here, and stay below the limit for a whole block, so that they need no halving.
+_COUNT_START, _COUNT_LIMIT = (8, 4, 8), 1 << 14
 _CONTEXTS = 128
-#: What each choice adds to the counts of order 2, order 1, neither, and to their sum.
-_ADDED = np.array([[_COUNT_STEP if i == j or j == 3 else 0 for j in range(4)] for i in range(3)], np.int32)
 _SEGMENT, _FILE = b"RWS1", b"RWF1"
 
 
 class Predictions:
     """The order-1 and order-2 tables of all blocks, and the counts that mix them."""
 
-    def __init__(self, lanes: int) -> None:
+    def __init__(self, lanes: int, block: int) -> None:
+        step = min(24, (_COUNT_LIMIT - sum(_COUNT_START)) // block)
+        if step < 1:
+            raise ValueError(f"a block may have {_COUNT_LIMIT - sum(_COUNT_START)} ids at most")
+        # what each choice adds to the counts of order 2, order 1, neither, and to their sum
+        self.added = np.array([[step if i == j or j == 3 else 0 for j in range(4)] for i in range(3)], np.int32)
         at = np.arange(lanes)
         self.first, self.second = np.zeros(lanes << _HASH_1, np.int32), np.zeros(lanes << _HASH_2, np.int32)
         self.first_at, self.second_at, self.count_at = at << _HASH_1, at << _HASH_2, at * _CONTEXTS
-        self.counts = np.empty((lanes * _CONTEXTS, 4), np.int32)
-        self.counts[:] = (_COUNT_STEP, _COUNT_STEP // 2, _COUNT_STEP, 5 * _COUNT_STEP // 2)
+        # four numbers of 32 bits a context, moved as one value of 128 bits, which NumPy gathers and scatters much faster than rows
+        start = np.array([*_COUNT_START, sum(_COUNT_START)], np.int32)
+        self.counts = np.repeat(start.view(np.complex128), lanes * _CONTEXTS)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
@@ -71,23 +76,18 @@ class Predictions:
         self.e1, self.e2 = self.first.take(self.i1), self.second.take(self.i2)
         self.p1, self.p2 = self.e1 >> 3, self.e2 >> 3
         self.context = self.count_at[:k] + ((self.e2 & 7) << 4 | (self.e1 & 7) << 1 | (self.p1 == self.p2))
-        self.row = self.counts.take(self.context, axis=0)
+        self.row = self.counts.take(self.context).view(np.int32).reshape(k, 4)
         parts = self.row.T.astype(np.uint64)
         self.c2, self.c0, self.total = parts[0], parts[2], parts[3]
         self.edge = parts[0] + parts[1]
 
     def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
         """Take in the ids that came, and which prediction they were (0: order 2, 1: order 1, 2: neither)."""
-        row = self.row + _ADDED.take(choice, axis=0)
-        full = np.flatnonzero(row[:, 3] > _COUNT_MOST)
-        if len(full):
-            row[full] = (row[full] + 1) >> 1
-            row[full, 3] = row[full, :3].sum(axis=1)
-        self.counts[self.context] = row
+        self.counts[self.context] = (self.row + self.added.take(choice, axis=0)).view(np.complex128).ravel()
+        fresh = ids << 3 | 1
         for table, place, entry, guess in ((self.first, self.i1, self.e1, self.p1), (self.second, self.i2, self.e2, self.p2)):
-            trust = entry & 7
-            missed = np.where(trust > 1, entry - trust + (trust >> 1), ids << 3 | 1)
-            table[place] = np.where(guess == ids, entry + (trust < 7), missed)
+            missed = np.where(entry & 6, entry & -8 | 1, fresh)  # an entry that has earned trust loses it first
+            table[place] = np.where(guess == ids, np.minimum(entry + 1, entry | 7), missed)
         k = len(ids)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
@@ -148,10 +148,12 @@ class RangeCoder:
 
 def _order_0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids that occur, and frequencies of at least one that sum to the total."""
-    found, times = np.unique(ids, return_counts=True)
+    times = np.bincount(ids)
+    found = np.flatnonzero(times)
+    times = times[found]
     share = np.maximum(1, times * ((1 << _SHARE_BITS) - len(found)) // times.sum())
     share[share.argmax()] += (1 << _SHARE_BITS) - share.sum()
-    return found.astype(np.int64), share
+    return found, share
 
 
 def _blocks(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,9 +170,10 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
     order, running = _blocks(lengths)
     known, share = _order_0(ids) if len(ids) else (np.empty(0, np.int64), np.empty(0, np.int64))
     below = np.concatenate([[0], np.cumsum(share)])
-    place = np.searchsorted(known, ids)  # of every id in the order-0 table
+    place_of = np.zeros(int(known[-1]) + 1 if len(known) else 1, np.int64)
+    place_of[known] = np.arange(len(known))  # of every id in the order-0 table
     first = starts[order]
-    model, coder = Predictions(len(order)), RangeCoder(len(order), room=3 * block + 64)
+    model, coder = Predictions(len(order), block), RangeCoder(len(order), room=3 * block + 64)
     share_of, below_of = share.astype(np.uint64), below.astype(np.uint64)
     bits = np.uint64(_SHARE_BITS)
     for step, k in enumerate(running.tolist()):
@@ -179,7 +182,7 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
         model.predict(k)
         by_2 = model.p2 == now
         choice = np.where(by_2, 0, 2 - (model.p1 == now))
-        spot = place.take(spots)
+        spot = place_of.take(now)
         rest = choice == 2
         low = np.where(rest, (model.edge << bits) + below_of.take(spot) * model.c0, np.where(by_2, np.uint64(0), model.c2 << bits))
         size = np.where(rest, share_of.take(spot) * model.c0, np.where(by_2, model.c2, model.edge - model.c2) << bits)
@@ -194,7 +197,7 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
     sums = [zlib.crc32(raw[4 * s : 4 * (s + n)]) for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
     table = np.stack([known, share]).astype("<u4").tobytes()
     directory = np.stack([lengths, words[back], np.array(sums, np.int64)]).astype("<u4").tobytes()
-    head = struct.pack("<III", len(starts), len(known), zlib.crc32(table + directory))
+    head = struct.pack("<IIII", block, len(starts), len(known), zlib.crc32(table + directory))
     return _SEGMENT + head + table + directory + b"".join(parts)
 
 
@@ -202,8 +205,8 @@ def decode_segment(data: bytes, at: int = 0, only: np.ndarray | None = None) ->
     """The ids of the segment that begins at ``at``, and where it ends.  ``only`` picks blocks by number."""
     if data[at : at + 4] != _SEGMENT:
         raise ValueError("no segment here")
-    count, size, check = struct.unpack_from("<III", data, at + 4)
-    at += 16
+    block, count, size, check = struct.unpack_from("<IIII", data, at + 4)
+    at += 20
     if zlib.crc32(data[at : at + 8 * size + 12 * count]) != check:
         raise ValueError("segment header is damaged")
     known, share = np.frombuffer(data, "<u4", 2 * size, at).reshape(2, size).astype(np.int64)
@@ -220,8 +223,9 @@ def decode_segment(data: bytes, at: int = 0, only: np.ndarray | None = None) ->
     places = np.cumsum(lengths) - lengths
     first = places[order]
     ids = np.zeros(int(lengths.sum()), np.int64)
-    model, coder = Predictions(len(order)), RangeCoder(len(order), stream, starts[order])
+    model, coder = Predictions(len(order), block), RangeCoder(len(order), stream, starts[order])
     share_of, below_of = share.astype(np.uint64), below.astype(np.uint64)
+    spot_at = np.repeat(np.arange(size), share)  # the id's place for every value below the total
     bits = np.uint64(_SHARE_BITS)
     for step, k in enumerate(running.tolist()):
         model.predict(k)
@@ -235,7 +239,7 @@ def decode_segment(data: bytes, at: int = 0, only: np.ndarray | None = None) ->
         who = np.flatnonzero(rest)
         if len(who):
             c0 = model.c0[who]
-            spot = np.searchsorted(below_of, (value[who] - least_0[who]) // c0, side="right") - 1
+            spot = spot_at[(value[who] - least_0[who]) // c0]
             now[who] = known[spot]
             low[who] = least_0[who] + below_of[spot] * c0
             size[who] = share_of[spot] * c0
