@@ -18,7 +18,7 @@ from recordweave.storage import materialize
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Rows a task handles at once inside an Arrow batch, so that long texts do not pile up as Python objects.
 SLICE_ROWS = 128
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _shipped: set[str] = set()
 

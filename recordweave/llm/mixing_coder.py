@@ -291,17 +291,16 @@ def decode_file(data: bytes) -> Iterator[tuple[int | None, int, bytes]]:
     known = np.frombuffer(table, np.uint8, count)
     numbers = np.frombuffer(table, "<i8", count, count)
     counts = np.frombuffer(table, "<u4", count, 9 * count)
-    at, held, before = 0, b"", 0
+    at, held, used, before = 0, memoryview(b""), 0, 0
     for is_known, number, need in zip(known.tolist(), numbers.tolist(), counts.tolist(), strict=True):
-        parts = []
-        missing = 4 * need - len(held)
-        while missing > 0:
-            parts.append(held)
+        parts, missing = [], 4 * need
+        while missing > len(held) - used:
+            parts.append(held[used:])
+            missing -= len(held) - used
             ids, at = decode_segment(data, at)
-            held = ids.astype("<u4").tobytes()
-            missing -= len(held)
-        parts.append(held[: len(held) + missing] if missing < 0 else held)
-        held = held[len(held) + missing :] if missing < 0 else b""
+            held, used = memoryview(ids.astype("<u4").tobytes()), 0
+        parts.append(held[used : used + missing])
+        used += missing
         yield (number if is_known else None), before, b"".join(parts)
         before += need
 

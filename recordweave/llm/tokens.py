@@ -23,7 +23,7 @@ import public_tokenizers  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Pieces a worker remembers, and the longest piece it does.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 CACHE_LENGTH = 64
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)")
