@@ -11,8 +11,12 @@ a key together:
 * when the dropped rows are wanted too, only the keys and order columns are
   aggregated, with partial results before the shuffle, to the repeated keys and
   the row that survives for each.  Full rows are then matched with that list.
-  As a rule it is small and broadcast, so full rows are not shuffled at all;
-  otherwise they are shuffled once, and adaptive execution splits a hot key.
+  Under a measured size it is broadcast, and full rows are not shuffled at all;
+  above it they are shuffled once, and adaptive execution splits a hot key.
+
+NULL in an order column sorts first everywhere.  Rows of one key that tie in all order
+columns can't be told apart: ``keep_one`` takes any one of them, the others mark all of them as
+kept, and the consolidation refuses the source.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from recordweave.operators.lookup import broadcast_if_small
 from recordweave.storage import materialize
 
 KEPT = "_kept"
-_RANK, _ROWS, _WINNER = "_rank", "_rows", "_winner"
+_RANK, _ROWS, _WINNER, _SPREAD = "_rank", "_rows", "_winner", "_spread"
 
 
 def keep_one(
@@ -47,20 +51,23 @@ def keep_one(
 def repeated_keys(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest_by: str | None = None
 ) -> DataFrame:
-    """Keys with more than one row, their row count and the id of the surviving row."""
-    latest = _latest_first(df, latest_by) if latest_by in df.columns else []
-    if not latest and len(order_by) == 1:
-        winner = F.min(order_by[0])
-    else:
-        ranked = [c.alias(f"_o{i}") for i, c in enumerate([*latest, *map(F.col, order_by)])]
-        winner = F.min(F.struct(*ranked)).getField(f"_o{len(ranked) - 1}")
+    """Keys with more than one row, their row count and the order columns of the surviving row.
+
+    The order columns are compared as one struct, NULL first, just as ``keep_one`` sorts them.
+    """
+    place = _place(df, order_by, latest_by)
     return (
         df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias(_ROWS), winner.alias(_WINNER))
+        .agg(F.count(F.lit(1)).alias(_ROWS), F.min(place).alias(_WINNER))
         .filter(F.col(_ROWS) > 1)
     )
 
 
+def _place(df: DataFrame, order_by: Sequence[str], latest_by: str | None) -> Column:
+    latest = _latest_first(df, latest_by) if latest_by in df.columns else []
+    return F.struct(*[c.alias(f"_o{i}") for i, c in enumerate([*latest, *map(F.col, order_by)])])
+
+
 def mark_kept(
     df: DataFrame,
     keys: Sequence[str],
@@ -73,7 +80,7 @@ def mark_kept(
     The flag means nothing on rows that are not eligible.
     """
     joined = _with_winners(df, keys, order_by, latest_by, eligible, "left")
-    kept = F.coalesce(F.col(_WINNER) == F.col(order_by[-1]), F.lit(True))
+    kept = F.col(_ROWS).isNull() | (F.col(_WINNER) == _place(df, order_by, latest_by))
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], kept.alias(KEPT))
 
 
@@ -84,7 +91,7 @@ def discarded(
     if not set(keys).issubset(df.columns):
         return df.limit(0)
     joined = _with_winners(df, keys, order_by, latest_by, None, "inner")
-    return joined.filter(F.col(_WINNER) != F.col(order_by[-1])).select(
+    return joined.filter(F.col(_WINNER) != _place(df, order_by, latest_by)).select(
         *[F.col(f"`{c}`") for c in df.columns]
     )
 
@@ -98,11 +105,13 @@ def _with_winners(
     how: str,
 ) -> DataFrame:
     competing = df if eligible is None else df.filter(eligible)
-    repeated = materialize(repeated_keys(competing, keys, order_by, latest_by), "repeated")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    )
-    return df.join(broadcast_if_small(repeated), same_key, how)
+    repeated = materialize(repeated_keys(competing, keys, order_by, latest_by), "repeated").withColumn(_SPREAD, F.lit(0))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    if eligible is not None:
+        # Rows that do not compete often share a NULL key: a number from the whole row spreads them, and matches none.
+        numbered = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 16))
+        same_key.append(F.when(eligible, F.lit(0)).otherwise(numbered.cast("int")) == F.col(_SPREAD))
+    return df.join(broadcast_if_small(repeated), reduce(lambda a, b: a & b, same_key), how)
 
 
 def _latest_first(df: DataFrame, column: str) -> list[Column]:

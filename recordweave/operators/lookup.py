@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordweave.functions.dates import parse_load_date
@@ -59,13 +59,18 @@ class Checked(NamedTuple):
     violations: DataFrame
 
 
-def check_domains(df: DataFrame, catalogs: Sequence[Catalog]) -> Checked:
-    """Rows whose codes are all in their catalogs, with ids; the others with the first bad column."""
-    looked_up = attach_ids(df, catalogs)
-    first_bad = F.coalesce(
-        *[F.when(F.col(c.id_as).isNull(), F.lit(c.refers)) for c in catalogs]
-    )
-    marked = looked_up.withColumn(VIOLATION, first_bad)
+def mark_violations(df: DataFrame, catalogs: Sequence[Catalog], limits: Mapping[str, Column] | None = None) -> DataFrame:
+    """All rows with the ids of their codes and the first bad column, NULL if none is.
+
+    A column is bad if a catalog lacks its code, or if its entry of ``limits`` holds: a value the target can't take.
+    """
+    bad = [F.when(F.col(c.id_as).isNull(), F.lit(c.refers)) for c in catalogs]
+    bad += [F.when(condition, F.lit(column)) for column, condition in (limits or {}).items()]
+    return attach_ids(df, catalogs).withColumn(VIOLATION, F.coalesce(*bad))
+
+
+def split_checked(marked: DataFrame, catalogs: Sequence[Catalog]) -> Checked:
+    """The good rows with ids, and the others with the first bad column."""
     ids = [c.id_as for c in catalogs]
     return Checked(
         marked.filter(F.col(VIOLATION).isNull()).drop(VIOLATION),
@@ -73,15 +78,20 @@ def check_domains(df: DataFrame, catalogs: Sequence[Catalog]) -> Checked:
     )
 
 
+def check_domains(df: DataFrame, catalogs: Sequence[Catalog], limits: Mapping[str, Column] | None = None) -> Checked:
+    """Rows whose codes are all in their catalogs, with ids; the others with the first bad column."""
+    return split_checked(mark_violations(df, catalogs, limits), catalogs)
+
+
 class DomainError(ValueError):
-    """Rows refer to codes that no catalog has."""
+    """Rows refer to codes that no catalog has, or hold values the target can't take."""
 
 
 def require_no_violations(violations: DataFrame, key: str, refers: Sequence[str]) -> None:
     bad = violations.take(5)
     if bad:
         shown = "; ".join(f"{r[key]}: {r[VIOLATION]}={r[r[VIOLATION]]!r}" for r in bad)
-        raise DomainError(f"codes outside the catalogs of {list(refers)} ({shown})")
+        raise DomainError(f"values outside the catalogs or limits of {list(refers)} ({shown})")
 
 
 # Reasons an event is not loaded, in the order they are checked.
@@ -90,11 +100,15 @@ EVENT_SKIPS: Mapping[str, str] = {
     "person": "pessoa_desconhecida",
     "type": "tipo_evento_desconhecido",
     "id": "id_evento_ausente",
+    "long_id": "id_evento_longo",
     "date": "data_evento_ausente",
     "bad_date": "data_evento_invalida",
 }
 
 
+EVENT_ID_LENGTH = 128
+
+
 def resolve_events(events: DataFrame, people: DataFrame, types: DataFrame) -> DataFrame:
     """Every event with person id, type id, date, and why it cannot be loaded (NULL if it can).
 
@@ -104,7 +118,10 @@ def resolve_events(events: DataFrame, people: DataFrame, types: DataFrame) -> Da
     """
     out = events.columns
     keyed = events.withColumn("_key", normalize_key(F.col("cpf")))
-    known = people.select(F.col("cpf").alias("_key"), F.col("id").alias("pessoa_id"))
+    # Events without a usable key are spread by a text no key equals, instead of all meeting as NULL.
+    spread = F.concat(F.lit("?"), F.xxhash64(*[F.col(f"`{c}`") for c in out]).cast("string"))
+    keyed = keyed.withColumn("_joined", F.coalesce("_key", spread))
+    known = people.select(F.col("cpf").alias("_joined"), F.col("id").alias("pessoa_id"))
     codes = types.select(F.col("codigo").alias("tipo_evento"), F.col("id").alias("tipo_evento_id"))
     given = F.col("data_evento")
     as_text = dict(events.dtypes)["data_evento"] == "string"
@@ -115,12 +132,13 @@ def resolve_events(events: DataFrame, people: DataFrame, types: DataFrame) -> Da
         .when(F.col("pessoa_id").isNull(), F.lit(EVENT_SKIPS["person"]))
         .when(F.col("tipo_evento_id").isNull(), F.lit(EVENT_SKIPS["type"]))
         .when(is_missing(F.col("id_evento")), F.lit(EVENT_SKIPS["id"]))
+        .when(F.length(F.col("id_evento").cast("string")) > EVENT_ID_LENGTH, F.lit(EVENT_SKIPS["long_id"]))
         .when(no_date, F.lit(EVENT_SKIPS["date"]))
         .when(date.isNull(), F.lit(EVENT_SKIPS["bad_date"]))
     )
     return (
         keyed.join(broadcast_if_small(codes), "tipo_evento", "left")
-        .join(known, "_key", "left")
+        .join(known, "_joined", "left")
         .select(
             *[F.col(f"`{c}`") for c in out],
             "pessoa_id",

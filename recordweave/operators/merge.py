@@ -32,11 +32,20 @@ def require_unique_keys(sources: Sequence[DataFrame], key: str = KEY) -> None:
         raise DuplicateKeyError(f"duplicate keys before merge ({shown})")
 
 
+def refuse_repeats(most: int) -> None:
+    """Raise if a source had ``most`` > 1 rows for a key."""
+    if most > 1:
+        raise DuplicateKeyError(f"duplicate keys before merge (a source has {most} rows for one key)")
+
+
 def merge_by_priority(
-    sources: Sequence[DataFrame], key: str = KEY, check_unique: bool = True
+    sources: Sequence[DataFrame], key: str = KEY, check_unique: bool = True, most_as: str | None = None
 ) -> DataFrame:
     """One row per key of any source; each cell is the first non-NULL by source order.
 
+    ``most_as`` adds the largest number of rows any source has for the key, counted in the
+    same shuffle, for a check that needs no job of its own (see ``refuse_repeats``).
+
     The rows of each source travel as one struct, stacked and shuffled once by
     key for any number of sources, and the cells are picked from the structs side
     by side.  Keys are unique per source, so rows cannot be combined before the
@@ -53,9 +62,11 @@ def merge_by_priority(
         ],
     )
     found = [F.first(_row(i), ignorenulls=True).alias(_row(i)) for i in range(len(sources))]
-    return _first_given(
-        stacked.repartition(F.col(key)).groupBy(key).agg(*found), sources, key, "{row}.`{column}`"
-    )
+    if most_as:
+        counts = [F.count(_row(i)) for i in range(len(sources))]
+        found.append((F.greatest(*counts) if len(counts) > 1 else counts[0]).alias(most_as))
+    grouped = stacked.repartition(F.col(key)).groupBy(key).agg(*found)
+    return _first_given(grouped, sources, key, "{row}.`{column}`", [most_as] if most_as else [])
 
 
 def merge_by_joins(
@@ -77,7 +88,7 @@ def _row(source: int) -> str:
 
 
 def _first_given(
-    side_by_side: DataFrame, sources: Sequence[DataFrame], key: str, cell: str
+    side_by_side: DataFrame, sources: Sequence[DataFrame], key: str, cell: str, further: Sequence[str] = ()
 ) -> DataFrame:
     """Per column, the first non-NULL of the sources that have it, in canonical order."""
 
@@ -92,7 +103,7 @@ def _first_given(
         return F.coalesce(*cells).alias(column)
 
     columns = {c for s in sources for c in s.columns}
-    return side_by_side.select(*[pick(c) for c in consolidated_order(columns)])
+    return side_by_side.select(*[pick(c) for c in consolidated_order(columns)], *further)
 
 
 def union_audit(frames: Sequence[DataFrame]) -> DataFrame:

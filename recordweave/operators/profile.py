@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordweave.sources.contracts import KEY
@@ -80,17 +80,50 @@ def duplicate_report(
     consolidated: DataFrame | None = None,
     key: str = KEY,
 ) -> DataFrame:
-    """Profiles of every source, before and after dedupe, coverage and the result."""
-    sections = [(name, duplicate_profile(df, key)) for name, df in sources.items()]
-    sections += [
-        (f"{name}_before_dedupe", duplicate_profile(df, key))
-        for name, df in (before or {}).items()
+    """Profiles of every source, before and after dedupe, coverage and the result.
+
+    The keys of all frames are stacked and counted per frame in one shuffle; every section but that of the
+    result follows from these counts.
+    """
+    frames = [*sources.items(), *[(f"{name}_before_dedupe", df) for name, df in (before or {}).items()]]
+    stacked = reduce(
+        DataFrame.union, [df.select(F.lit(i).alias("_frame"), F.col(key).alias("_key")) for i, (_, df) in enumerate(frames)]
+    )
+    counted = stacked.groupBy("_key").agg(*[F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(frames))])
+    known = F.col("_key").isNotNull()
+    sections: list[tuple[str, dict[str, Column]]] = []
+    for i, (name, _) in enumerate(frames):
+        n = F.col(f"_n{i}")
+        total = F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
+        distinct = F.count_if(known & (n > 0))
+        sections.append((name, {
+            "rows": total,
+            "distinct_keys": distinct,
+            "repeated_key_rows": F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).cast("bigint"),
+            "excess_rows": total - distinct,
+            "later_repeats": total - F.count_if(n > 0),
+        }))
+    held = [F.col(f"_n{i}") > 0 for i in range(len(sources))]
+    alone = [
+        reduce(lambda a, b: a & b, [~other for j, other in enumerate(held) if j != i], known & own) for i, own in enumerate(held)
+    ]
+    sections.append(("coverage", {
+        "any_source": F.count_if(known & reduce(lambda a, b: a | b, held)),
+        **{f"only_{name}": F.count_if(own) for name, own in zip(sources, alone, strict=True)},
+    }))
+    wide = counted.agg(*[c.alias(f"{name}.{metric}") for name, metrics in sections for metric, c in metrics.items()])
+    entries = [
+        F.struct(
+            F.lit(100 * (i + 1) + j).alias("position"), F.lit(name).alias("section"), F.lit(metric).alias("metric"),
+            F.col(f"`{name}.{metric}`").cast("bigint").alias("value"),
+        )
+        for i, (name, metrics) in enumerate(sections)
+        for j, metric in enumerate(metrics)
     ]
-    sections.append(("coverage", source_coverage(sources, key)))
-    if consolidated is not None:
-        sections.append(("consolidated", duplicate_profile(consolidated, key)))
-    parts = [to_long(wide, name, 100 * (i + 1)) for i, (name, wide) in enumerate(sections)]
-    return reduce(DataFrame.union, parts)
+    report = wide.select(F.inline(F.array(*entries)))
+    if consolidated is None:
+        return report
+    return report.union(to_long(duplicate_profile(consolidated, key), "consolidated", 100 * (len(sections) + 1)))
 
 
 def require_unique(profile: DataFrame, what: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from recordweave.functions.keys import (
@@ -63,10 +63,11 @@ def quarantine(
     return split_rejected(with_reason(df, key, reason_on, check_digits), source)
 
 
-def drop_unusable(df: DataFrame, key: str = KEY) -> tuple[DataFrame, int]:
-    """The rows with a usable key, and how many others there were.
+def drop_unusable(df: DataFrame, key: str = KEY) -> tuple[DataFrame, Observation]:
+    """The rows with a usable key, and an observation of how many others there were (``dropped``).
 
-    The count is a job of its own over the key column; rows keep being lazy.
+    The rows are counted as they pass, so the number is there once the frame has been written or read.
     """
-    usable = is_usable_key(F.col(key))
-    return df.filter(usable), df.filter(~usable).count()
+    usable = F.coalesce(is_usable_key(F.col(key)), F.lit(False))
+    seen = Observation()
+    return df.observe(seen, F.count_if(~usable).alias("dropped")).filter(usable), seen

@@ -6,20 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from recordweave.operators.lookup import broadcast_if_small
 from recordweave.operators.numbering import number_rows
 from recordweave.storage import materialize
 
-# Above this many rows a top-n, which ends in one task, is no longer cheap.
-TOP_N_ROWS = 10_000
-
-
 def head_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the given order; large ``n`` by distributed numbering."""
-    if n <= TOP_N_ROWS:
-        return df.orderBy(*order_by).limit(n)
-    return number_rows(df, order_by, "_place").filter(F.col("_place") <= n).drop("_place")
+    """The first ``n`` rows in the given order, found the same way for every ``n``.
+
+    Only the order columns are sorted, by range; the place of the n-th of them is the bound, and rows up to
+    it are taken where they are.  No task collects the rows, and full rows are not shuffled.  Rows that tie in all order
+    columns come in the order of a hash of the whole row; of equal rows at the bound as many are taken as fit.
+    """
+    hashable = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, MapType)]
+    names = [f"_o{i}" for i in range(len(order_by) + 1)]
+    order = [*[F.col(c) for c in order_by], F.xxhash64(*hashable)]
+    spot = F.struct(*[c.alias(name) for name, c in zip(names, order, strict=True)])
+    numbered = number_rows(df.select(spot.alias("s")).select("s.*"), names, "_place")
+    here = F.struct(*names)
+    last = numbered.filter(F.col("_place") == n).select(here)
+    placed = df.withColumn("_reached", spot)
+    whole = placed.filter(F.coalesce(F.col("_reached") < last.scalar(), F.lit(True)))
+    tied = numbered.filter(here == last.scalar()).agg(F.count(F.lit(1)).alias("rows"), F.min("_place").alias("first")).first()
+    at = placed.filter(F.coalesce(F.col("_reached") == last.scalar(), F.lit(False)))
+    if tied["rows"] == 0:  # fewer rows than asked for
+        return df
+    if tied["rows"] == n - tied["first"] + 1:
+        return placed.filter(F.col("_reached") <= last.scalar()).select(*df.columns)
+    equal = number_rows(at, [F.rand(0)], "_turn").filter(F.col("_turn") <= n - tied["first"] + 1)
+    return whole.select(*df.columns).unionByName(equal.select(*df.columns))
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -89,11 +105,8 @@ def stratified_sample(
     )
     small = broadcast_if_small(materialize(limits, "limits"))
     limited = hashed.join(small, hashed[group].eqNullSafe(F.col("_g")))
-    whole = limited.filter(F.col("_bucket") < F.col("_last"))
-    place = Window.partitionBy(group).orderBy("_hash", row_id)
-    partial = (
-        limited.filter(F.col("_bucket") == F.col("_last"))
-        .withColumn("_place", F.row_number().over(place))
-        .filter(F.col("_place") <= F.col("_open"))
-    )
-    return whole.select(*df.columns).union(partial.select(*df.columns))
+    # Rows of earlier buckets are ranked too, which costs little: they are part of the sample, and no bucket is large.
+    place = Window.partitionBy(group, "_bucket").orderBy("_hash", row_id)
+    ranked = limited.filter(F.col("_bucket") <= F.col("_last")).withColumn("_place", F.row_number().over(place))
+    chosen = ranked.filter((F.col("_bucket") < F.col("_last")) | (F.col("_place") <= F.col("_open")))
+    return chosen.select(*df.columns)

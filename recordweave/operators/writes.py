@@ -7,7 +7,7 @@ hot key cannot swell one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,39 +43,70 @@ def last_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
     return keep_one(df.withColumn(_PLACE, place), keys, [], latest_by=_PLACE).drop(_PLACE)
 
 
+Number = Callable[[DataFrame], DataFrame]
+
+
+def replaced_rows(
+    incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], number: Number | None = None
+) -> DataFrame:
+    """The rows that replace those of their keys: the last incoming row of each.
+
+    ``number`` adds what inserted rows need, such as their ids.
+    """
+    new = last_rows(incoming, keys, order_by)
+    return number(new) if number else new
+
+
 def replace_by_key(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    number: Number | None = None,
 ) -> DataFrame:
     """Delete the keys that come in, then insert the last incoming row of each."""
-    new = last_rows(incoming, keys, order_by)
+    new = replaced_rows(incoming, keys, order_by, number)
     kept = existing.join(new.select(*keys), list(keys), "left_anti")
     return kept.select(*existing.columns).unionByName(new.select(*existing.columns))
 
 
-def upsert_latest(
+def upserted_rows(
     existing: DataFrame,
     incoming: DataFrame,
     keys: Sequence[str],
     values: Sequence[str],
     order_by: Sequence[str],
+    number: Number | None = None,
 ) -> DataFrame:
-    """Update ``values`` where the key exists, insert otherwise; the last incoming row wins.
+    """The rows an upsert changes or adds: ``values`` from the last incoming row of each key.
 
-    Columns of the existing table other than ``values`` are kept on update.
+    All other columns of a row that exists are kept, NULL too.  Columns that incoming rows lack are NULL in
+    inserted rows unless ``number`` adds them.
     """
-    new = last_rows(incoming, keys, order_by).withColumn("_came", F.lit(True))
-    others = [c for c in existing.columns if c not in keys]
-    joined = existing.alias("old").join(new.alias("new"), list(keys), "full_outer")
-
-    def cell(name: str):
-        old, fresh = F.col(f"old.{name}"), F.col(f"new.{name}") if name in new.columns else None
-        if fresh is None:
-            return old
-        if name in values:
-            return F.when(F.col("new._came"), fresh).otherwise(old).alias(name)
-        return F.coalesce(old, fresh).alias(name)
-
-    return joined.select(*keys, *[cell(c) for c in others]).select(*existing.columns)
+    new = last_rows(incoming, keys, order_by)
+    fresh = new.select(*keys, *[F.col(f"`{v}`").alias(f"_new_{v}") for v in values])
+    updated = existing.join(fresh, list(keys)).select(
+        *[F.col(f"_new_{c}").alias(c) if c in values else F.col(f"`{c}`") for c in existing.columns]
+    )
+    absent = new.join(existing.select(*keys), list(keys), "left_anti")
+    added = number(absent) if number else absent
+    kinds = {f.name: f.dataType for f in existing.schema}
+    cells = [F.col(f"`{c}`") if c in added.columns else F.lit(None).cast(kinds[c]).alias(c) for c in existing.columns]
+    return updated.unionByName(added.select(*cells))
+
+
+def upsert_latest(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    order_by: Sequence[str],
+    number: Number | None = None,
+) -> DataFrame:
+    """Update ``values`` where the key exists, insert otherwise; the last incoming row wins."""
+    touched = upserted_rows(existing, incoming, keys, values, order_by, number)
+    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
+    return kept.select(*existing.columns).unionByName(touched)
 
 
 def cascade_delete(child: DataFrame, removed: DataFrame, reference: str, id_col: str = "id") -> DataFrame:

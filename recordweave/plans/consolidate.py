@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from functools import partial
 
@@ -13,22 +13,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.operators.dedupe import KEPT, mark_kept
-from recordweave.operators.merge import merge_by_priority, union_audit
+from recordweave.operators.merge import merge_by_priority, refuse_repeats, union_audit
 from recordweave.operators.profile import duplicate_report
 from recordweave.operators.quarantine import REJECT_REASON, split_rejected, with_reason
 from recordweave.operators.sampling import head_n
 from recordweave.operators.standardise import (
     ORIGINAL_KEY,
     UNREADABLE_DATES,
+    UNREADABLE_NUMBERS,
     annotate_duplicates,
     standardise,
 )
-from recordweave.plans.stages import OPEN_FOLDERS, StageStore, session_settings, side_by_side
+from recordweave.plans.stages import (
+    OPEN_FOLDERS,
+    StageStore,
+    describe_frame,
+    session_settings,
+    side_by_side,
+)
 from recordweave.sources.contracts import KEY, SOURCES, SourceSpec, to_canonical
 from recordweave.sources.delimited import FILE_ORDER, read_delimited, write_delimited
 from recordweave.sources.tables import write_record
 
-STATUS = "_status"
+STATUS, MOST = "_status", "_most"
 KEPT_ROW, DISCARDED_ROW, REJECTED_ROW = "kept", "discarded", "rejected"
 
 
@@ -51,8 +58,10 @@ class SourceInput:
             return self.frame
         return read_delimited(spark, self.path, KEY, self.multi_line, self.mode)
 
-    def describe(self) -> object:
-        return self.path if self.frame is None else self.frame.columns
+    def describe(self) -> dict[str, object]:
+        """Everything about the input that can change a result."""
+        given = self.path if self.frame is None else describe_frame(self.frame)
+        return {"given": given, "order_by": self.order_by, "multi_line": self.multi_line, "mode": self.mode}
 
 
 @dataclass(frozen=True)
@@ -124,7 +133,8 @@ def consolidate(
     started = time.perf_counter()
     settings = {
         "row_limit": row_limit,
-        "sources": {s.name: inputs[s.name].describe() for s in specs},
+        # a list: the order of the sources is their priority
+        "sources": [{"spec": asdict(s), "input": inputs[s.name].describe()} for s in specs],
         "reason_on_original": reason_on_original,
         "check_digits": check_digits,
     }
@@ -148,6 +158,7 @@ def consolidate(
                 DISCARDED_ROW: F.count_if(status == DISCARDED_ROW),
                 REJECTED_ROW: F.count_if(status == REJECTED_ROW),
                 "unreadable_dates": F.coalesce(F.sum(UNREADABLE_DATES), F.lit(0)),
+                "unreadable_numbers": F.coalesce(F.sum(UNREADABLE_NUMBERS), F.lit(0)),
             },
             split_by=STATUS,
             after=[f"extract_{spec.name}"],
@@ -160,7 +171,7 @@ def consolidate(
     accepted, before, rejected, duplicates = {}, {}, [], []
     for spec in specs:
         table = transformed[spec.name]
-        hidden = [*_carried(spec, inputs[spec.name]), UNREADABLE_DATES, STATUS]
+        hidden = [*_carried(spec, inputs[spec.name]), UNREADABLE_DATES, UNREADABLE_NUMBERS, STATUS]
         clean = [*hidden, ORIGINAL_KEY, REJECT_REASON]
         accepted[spec.name] = table.filter(status == KEPT_ROW).drop(*clean)
         before[spec.name] = table.filter(status != REJECTED_ROW).drop(*clean)
@@ -172,9 +183,12 @@ def consolidate(
 
     merged = store.run(
         "merge",
-        lambda: merge_by_priority(list(accepted.values()), check_unique=False),
-        {"rows": rows},
+        lambda: merge_by_priority(list(accepted.values()), check_unique=False, most_as=MOST),
+        {"rows": rows, "most": F.max(MOST)},
         after=[f"transform_{spec.name}" for spec in specs],
+        hidden=[MOST],
+        # Two rows of a key are left only where the order column ties.
+        check=lambda counts: refuse_repeats(counts["most"]),
     )
     return Consolidation(
         merged.table,
@@ -208,6 +222,7 @@ def _metrics(store: StageStore, specs: Sequence[SourceSpec], elapsed: float) ->
         "rows_discarded": {name: c[DISCARDED_ROW] for name, c in of.items()},
         "rows_rejected": {name: c[REJECTED_ROW] for name, c in of.items()},
         "unreadable_dates": {name: c["unreadable_dates"] for name, c in of.items()},
+        "unreadable_numbers": {name: c["unreadable_numbers"] for name, c in of.items()},
         "rows_rejected_total": sum(c[REJECTED_ROW] for c in of.values()),
         "rows_consolidated": consolidated,
         "stage_seconds": dict(store.seconds),

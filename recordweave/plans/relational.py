@@ -1,7 +1,11 @@
 """The normalised relational model: catalogs, person, employment, evaluation and event.
 
-Every load produces a new version folder and switches to it at the end, so a
-failed load leaves the current version as it was.
+Every load writes a version folder and switches to it at the end, so a failed load
+leaves the current version as it was.  The folder of an incremental load holds only the rows
+that came in: new catalog entries, persons and events, and the employments and scores that were replaced or
+updated.  A version is read as its base, the last whole load, with the folders after it laid over: rows of
+tables that only grow are stacked, of the others the one of the highest version counts.  After ``COMPACT_AFTER``
+folders a load writes everything again and is the next base.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import functions as F
 
 from recordweave.functions.dates import parse_load_date
 from recordweave.functions.keys import normalize_key
-from recordweave.functions.numbers import load_decimal
+from recordweave.functions.numbers import exceeds_decimal, load_decimal
 from recordweave.functions.text import blank_to_null, bounded, is_missing, name_or_default
 from recordweave.operators.integrity import (
     MaxLength,
@@ -28,17 +32,28 @@ from recordweave.operators.integrity import (
     require_integrity,
 )
 from recordweave.operators.lookup import (
+    EVENT_ID_LENGTH,
     SKIP_REASON,
     Catalog,
-    check_domains,
+    mark_violations,
     require_no_violations,
     resolve_events,
+    split_checked,
 )
+from recordweave.operators.dedupe import keep_one
 from recordweave.operators.numbering import assign_ids
 from recordweave.operators.sampling import head_n, restrict_to_keys
-from recordweave.operators.writes import absent_rows, cascade_delete, last_rows
-from recordweave.plans.stages import StageStore, side_by_side
-from recordweave.sources.tables import empty_table, read_record, read_table, write_record
+from recordweave.operators.writes import (
+    absent_rows,
+    cascade_delete,
+    replace_by_key,
+    replaced_rows,
+    upsert_latest,
+    upserted_rows,
+)
+from recordweave.plans.stages import StageStore, describe_frame, side_by_side
+from recordweave.sources.tables import empty_table, read_record, write_record
+from recordweave.storage import delete_folder
 
 # Table columns of the target model.
 CODE_SCHEMA = "id long, codigo string"
@@ -97,6 +112,17 @@ RULES = (
     MaxLength("cargo", {"nome": 256}),
 )
 
+# Precision and scale of numbers, length of a cycle.
+SALARY, SCORE, CYCLE_LENGTH = (14, 2), (4, 1), 16
+
+# Key of the tables whose rows are replaced or updated; the others only grow.
+MUTABLE: Mapping[str, tuple[str, ...]] = {
+    "vinculo": ("pessoa_id",),
+    "avaliacao_desempenho": ("pessoa_id", "ciclo_avaliacao"),
+}
+VERSION = "_version"
+COMPACT_AFTER = 32
+
 ROW_ORDER, EVENT_ORDER = "_row_order", "_event_order"
 
 Tables = Mapping[str, DataFrame]
@@ -167,13 +193,27 @@ def new_codes(rows: DataFrame, column: str, existing: DataFrame, code: str) -> D
     )
 
 
+def value_limits(people: DataFrame) -> dict[str, Column]:
+    """Readable values that the target columns can't hold.  Cutting a key or dropping a number would lose rows unrecorded."""
+    cycle = _cell(people, "ciclo_avaliacao").cast("string")
+    score = _cell(people, "avaliacao_desempenho")
+    too_high = exceeds_decimal(score, *SCORE)
+    scored = load_decimal(score, *SCORE).isNotNull() | too_high
+    limits = {
+        "salario_base": exceeds_decimal(_cell(people, "salario_base"), *SALARY),
+        "avaliacao_desempenho": ~is_missing(cycle) & too_high,
+        "ciclo_avaliacao": scored & (F.length(cycle) > CYCLE_LENGTH),
+    }
+    return {name: limit for name, limit in limits.items() if name in people.columns}
+
+
 def employment_rows(checked: DataFrame, people: DataFrame) -> DataFrame:
     return (
         checked.join(people.select("cpf", F.col("id").alias("pessoa_id")), "cpf")
         .select(
             "pessoa_id", "orgao_id", "cargo_id", "tipo_vinculo_id", "status_servidor_id",
             bounded(_cell(checked, "matricula").cast("string"), 128).alias("matricula"),
-            load_decimal(_cell(checked, "salario_base"), 14, 2).alias("salario_base"),
+            load_decimal(_cell(checked, "salario_base"), *SALARY).alias("salario_base"),
             bounded(_cell(checked, "lotacao"), 4000).alias("lotacao"),
             _date(checked, "data_admissao").alias("data_admissao"),
             _date(checked, "data_saida").alias("data_saida"),
@@ -185,13 +225,13 @@ def employment_rows(checked: DataFrame, people: DataFrame) -> DataFrame:
 def evaluation_rows(checked: DataFrame, people: DataFrame) -> DataFrame:
     """Only rows with both a cycle and a score."""
     cycle = _cell(checked, "ciclo_avaliacao").cast("string")
-    score = load_decimal(_cell(checked, "avaliacao_desempenho"), 4, 1)
+    score = load_decimal(_cell(checked, "avaliacao_desempenho"), *SCORE)
     return (
         checked.filter(~is_missing(cycle) & score.isNotNull())
         .join(people.select("cpf", F.col("id").alias("pessoa_id")), "cpf")
         .select(
             "pessoa_id",
-            F.left(cycle, F.lit(16)).alias("ciclo_avaliacao"),
+            cycle.alias("ciclo_avaliacao"),
             score.alias("nota"),
             ROW_ORDER,
         )
@@ -202,7 +242,7 @@ def event_rows(resolved: DataFrame) -> DataFrame:
     """Loadable events in target form."""
     return resolved.filter(F.col(SKIP_REASON).isNull()).select(
         "pessoa_id",
-        bounded(F.col("id_evento").cast("string"), 128).alias("id_evento_origem"),
+        bounded(F.col("id_evento").cast("string"), EVENT_ID_LENGTH).alias("id_evento_origem"),
         "tipo_evento_id",
         F.col("_date").alias("data_evento"),
         bounded(_cell(resolved, "codigo_categoria").cast("string"), 32).alias("codigo_categoria"),
@@ -233,13 +273,45 @@ def current_version(spark: SparkSession, target: str) -> int:
     return 0 if record is None else record["version"]
 
 
+def base_of(spark: SparkSession, target: str, version: int) -> int:
+    """The whole load a version builds on."""
+    record = read_record(spark, f"{target}/v{version}/base")
+    return version if record is None else record["base"]
+
+
 def read_model(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
     """The tables of a version, by default the current one; seeds and empty tables before any."""
     version = current_version(spark, target) if version is None else version
     if version == 0:
         return empty_model(spark)
-    base = f"{target}/v{version}/stages"
-    return {name: read_table(spark, f"{base}/{name}") for name in SCHEMAS}
+    return _laid_over(spark, target, base_of(spark, target, version), version)
+
+
+def _laid_over(spark: SparkSession, target: str, base: int, version: int) -> dict[str, DataFrame]:
+    """The tables from the folders of all versions from ``base`` on."""
+    tables = {name: fixed_catalog(spark, name) for name in SEEDS}
+    for name in SCHEMAS.keys() - SEEDS.keys():
+        folders = [f"{target}/v{v}/stages/{name}" for v in range(base, version + 1)]
+        if name not in MUTABLE:
+            tables[name] = spark.read.schema(SCHEMAS[name]).parquet(*folders)
+            continue
+        rows = spark.read.schema(f"{SCHEMAS[name]}, {VERSION} long").parquet(*folders)
+        latest = rows if len(folders) == 1 else keep_one(rows, MUTABLE[name], [], latest_by=VERSION)
+        tables[name] = latest.drop(VERSION)
+    return {name: tables[name] for name in SCHEMAS}
+
+
+def drop_versions(spark: SparkSession, target: str, keep: int) -> list[int]:
+    """Delete the folders that neither the current version nor the ``keep`` versions before it read; their numbers."""
+    current = current_version(spark, target)
+    first = min((base_of(spark, target, v) for v in range(max(1, current - keep), current + 1)), default=1)
+    gone = []
+    for version in range(first - 1, 0, -1):
+        if read_record(spark, f"{target}/v{version}/base") is None:
+            break  # removed before
+        delete_folder(spark, f"{target}/v{version}")
+        gone.append(version)
+    return gone
 
 
 def load_model(
@@ -254,6 +326,7 @@ def load_model(
     row_order: Sequence[str] = ("cpf",),
     event_order: Sequence[str] = ("cpf",),
     check: bool = True,
+    compact_after: int = COMPACT_AFTER,
 ) -> LoadResult:
     """Load consolidated rows, and optionally events, as the next version under ``target``.
 
@@ -263,32 +336,51 @@ def load_model(
     cycle, events are inserted if their id is absent.  Where several rows share
     a person, ``row_order`` tells which comes first (and makes the person) and
     which last (and makes the employment and the score); ``event_order`` does
-    the same for events with one id.
+    the same for events with one id.  The audit of an incremental load looks at the rows
+    that came in, and at the keys of all.
     """
     started = time.perf_counter()
     target = target.rstrip("/")
     before = current_version(spark, target)
     current = read_model(spark, target, before)
-    empty = empty_model(spark)
-    old = current if incremental else {**empty, **{name: current[name] for name in SEEDS}}
+    old = current if incremental else empty_model(spark)
+    version = before + 1
+    base = base_of(spark, target, before) if incremental and before else version
+    if version - base >= compact_after:
+        base = version
+    whole = base == version
     settings = {
         "row_limit": row_limit,
         "incremental": incremental,
         "on_violation": on_violation,
         "base_version": before,
+        "base": base,
+        "row_order": list(row_order),
+        "event_order": list(event_order),
+        "consolidated": describe_frame(consolidated),
+        "events": None if events is None else describe_frame(events),
     }
-    version = before + 1
     store = StageStore(spark, f"{target}/v{version}", settings, resume)
     rows = {"rows": F.count(F.lit(1))}
-    new: dict[str, DataFrame] = {}
+    new: dict[str, DataFrame] = {name: old[name] for name in SEEDS}
+    fresh: dict[str, DataFrame] = {}
 
     def save(name: str, build: Callable[[], DataFrame], after: Sequence[str] = ()) -> DataFrame:
-        new[name] = store.run(name, build, rows, after=after).table
-        return new[name]
+        """Write the rows of this version; return the whole table."""
+
+        def versioned() -> DataFrame:
+            df = build()
+            return df.withColumn(VERSION, F.lit(version).cast("bigint")) if name in MUTABLE else df
+
+        written = store.run(name, versioned, rows, after=after).table
+        fresh[name] = written.drop(VERSION)
+        if name not in MUTABLE:
+            new[name] = fresh[name] if whole else old[name].unionByName(fresh[name])
+        return new.get(name, fresh[name])
 
     def with_new(name: str, added: DataFrame, order: Sequence[str]) -> DataFrame:
-        numbered = assign_ids(added, old[name], order)
-        return old[name].unionByName(numbered.select(*old[name].columns))
+        numbered = assign_ids(added, old[name], order).select(*old[name].columns)
+        return old[name].unionByName(numbered) if whole else numbered
 
     limited = consolidated if row_limit is None else head_n(consolidated, row_order, row_limit)
     people = loadable_people(limited.withColumn(ROW_ORDER, F.struct(*row_order)))
@@ -299,7 +391,6 @@ def load_model(
     side_by_side(
         spark,
         [
-            *[partial(save, name, lambda name=name: old[name]) for name in SEEDS],
             partial(catalog, "orgao", "sigla_orgao", "sigla"),
             partial(catalog, "cargo", "cargo", "nome"),
         ],
@@ -311,12 +402,14 @@ def load_model(
         Catalog(new["tipo_vinculo"], "codigo", "tipo_vinculo", "tipo_vinculo_id"),
         Catalog(new["status_servidor"], "codigo", "status_servidor", "status_servidor_id"),
     ]
-    checked = check_domains(people, catalogs)
-    codes = [*SEEDS, "orgao", "cargo"]
-    violations = store.run("violacoes", lambda: checked.violations.drop(ROW_ORDER), rows, after=codes).table
+    codes = ["orgao", "cargo"]
+    limits = value_limits(people)
+    # Written once: persons, employment, evaluations and the violations all read it.
+    marked = store.run("verificados", lambda: mark_violations(people, catalogs, limits), rows, after=codes).table
+    ok, bad = split_checked(marked, catalogs)
+    violations = bad.drop(ROW_ORDER)
     if on_violation == "fail":
-        require_no_violations(violations, "cpf", [c.refers for c in catalogs])
-    ok = checked.ok
+        require_no_violations(violations, "cpf", [*[c.refers for c in catalogs], *limits])
 
     persons = save(
         "pessoa",
@@ -325,26 +418,22 @@ def load_model(
             absent_rows(old["pessoa"], person_rows(ok), ["cpf"], [ROW_ORDER]).drop(ROW_ORDER),
             ["cpf"],
         ),
-        after=codes,
+        after=["verificados"],
     )
 
     def employment() -> DataFrame:
-        incoming = last_rows(employment_rows(ok, persons), ["pessoa_id"], [ROW_ORDER])
-        numbered = assign_ids(incoming, old["vinculo"], ["pessoa_id"])
-        kept = old["vinculo"].join(numbered.select("pessoa_id"), "pessoa_id", "left_anti")
-        columns = old["vinculo"].columns
-        return kept.select(*columns).unionByName(numbered.select(*columns))
+        table, key = old["vinculo"], MUTABLE["vinculo"]
+        number = partial(assign_ids, existing=table, order_by=key)
+        incoming = employment_rows(ok, persons)
+        if whole:
+            return replace_by_key(table, incoming, key, [ROW_ORDER], number)
+        return replaced_rows(incoming, key, [ROW_ORDER], number).select(*table.columns)
 
     def evaluations() -> DataFrame:
-        key = ["pessoa_id", "ciclo_avaliacao"]
-        table = old["avaliacao_desempenho"]
-        incoming = last_rows(evaluation_rows(ok, persons), key, [ROW_ORDER])
-        added = assign_ids(incoming.join(table.select(*key), key, "left_anti"), table, key)
-        scores = incoming.select(*key, F.col("nota").alias("_new"))
-        updated = table.join(scores, key, "left").select(
-            "id", *key, F.coalesce("_new", "nota").alias("nota")
-        )
-        return updated.unionByName(added.select(*updated.columns))
+        table, key = old["avaliacao_desempenho"], MUTABLE["avaliacao_desempenho"]
+        number = partial(assign_ids, existing=table, order_by=key)
+        write = upsert_latest if whole else upserted_rows
+        return write(table, evaluation_rows(ok, persons), key, ["nota"], [ROW_ORDER], number)
 
     def resolved_events() -> DataFrame:
         chosen = events
@@ -357,7 +446,7 @@ def load_model(
 
     def load_events() -> DataFrame:
         if events is None:
-            save("evento", lambda: old["evento"])
+            save("evento", lambda: old["evento"] if whole else old["evento"].limit(0))
             return empty_table(spark, f"cpf string, {SKIP_REASON} string")
         resolved = store.run("eventos_resolvidos", resolved_events, rows, after=["pessoa"]).table
         key, order = ["id_evento_origem"], [EVENT_ORDER]
@@ -383,9 +472,11 @@ def load_model(
         ],
     )
 
+    write_record(spark, f"{target}/v{version}/base", {"base": base}, "base long")
+    tables = _laid_over(spark, target, base, version)
     if check:
-        require_integrity(audit(RULES, new))
+        require_integrity(audit(RULES, tables, None if whole else {**tables, **fresh}))
     write_record(spark, f"{target}/current", {"version": version}, "version long")
     return LoadResult(
-        new, violations, skipped, dict(store.counts), round(time.perf_counter() - started, 3), version
+        tables, violations, skipped, dict(store.counts), round(time.perf_counter() - started, 3), version
     )

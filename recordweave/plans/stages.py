@@ -63,6 +63,12 @@ def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[
         return [future.result() for future in running]
 
 
+def describe_frame(df: DataFrame) -> dict[str, str]:
+    """What tells one input frame from another for a resumed run: its schema and the files under it."""
+    files = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+    return {"schema": df.schema.json(), "files": files}
+
+
 @dataclass
 class StageStore:
     """Runs named stages, each written as one Parquet table plus a marker.
@@ -118,16 +124,19 @@ class StageStore:
         counters: Mapping[str, Column],
         split_by: str | None = None,
         after: Sequence[str] = (),
+        hidden: Sequence[str] = (),
+        check: Callable[[Mapping[str, int]], None] | None = None,
     ) -> Stage:
         """The stage's table, from disk when it is finished, otherwise built and written.
 
         Counters are observed directly under the write, where every partition
-        counts exactly once even if executors are lost.
+        counts exactly once even if executors are lost.  Columns in ``hidden`` are
+        for the counters only and not written.  ``check`` sees the counts before the stage counts as finished, and may raise.
         """
         may_reuse = self.resume and self._reused.issuperset(after)
         stage = self._finished(name) if may_reuse else None
         if stage is None:
-            stage = self._write(name, build, counters, split_by)
+            stage = self._write(name, build, counters, split_by, hidden, check)
         else:
             self._reused.add(name)
         self.seconds[name] = stage.seconds
@@ -140,17 +149,21 @@ class StageStore:
         build: Callable[[], DataFrame],
         counters: Mapping[str, Column],
         split_by: str | None,
+        hidden: Sequence[str],
+        check: Callable[[Mapping[str, int]], None] | None,
     ) -> Stage:
         started = time.perf_counter()
         with temporary_tables(self.spark):
             df = build()
             seen = Observation(name)
-            watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()])
+            watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()]).drop(*hidden)
             writer = watched.write.mode("overwrite")
             if split_by:
                 writer = writer.partitionBy(split_by)
             writer.parquet(self.path(name))
         counts = {n: int(v or 0) for n, v in seen.get.items()}
+        if check:
+            check(counts)
         seconds = round(time.perf_counter() - started, 3)
         marker = {
             "stage": name,
@@ -158,8 +171,8 @@ class StageStore:
             "shown": json.dumps(self.settings, sort_keys=True, default=str),
             "seconds": seconds,
             "counts": json.dumps(counts),
-            "schema": df.schema.json(),
+            "schema": watched.schema.json(),
         }
         write_record(self.spark, f"{self.folder}/markers/{name}", marker, _MARKER)
-        table = self.spark.read.schema(df.schema).parquet(self.path(name))
+        table = self.spark.read.schema(watched.schema).parquet(self.path(name))
         return Stage(name, table, counts, seconds, False)

@@ -57,8 +57,9 @@ def append_jdbc(
     connections: int = 8,
 ) -> None:
     """Append to a database table, with a bounded number of parallel connections."""
+    # A shuffle, so that only the writing tasks are few and not the stage before them.
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.mode("append")
         .option("batchsize", batch_rows)
         .jdbc(url, table, properties=dict(properties or {}))
@@ -66,7 +67,19 @@ def append_jdbc(
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    split_by: str = "id",
+    bounds: tuple[int, int] | None = None,
+    connections: int = 8,
 ) -> DataFrame:
-    """A catalog or key map of the target database."""
-    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+    """A catalog or key map of the target database; with ``bounds`` of a number column, over several connections."""
+    given = dict(properties or {})
+    if bounds is None:
+        return spark.read.jdbc(url, table, properties=given)
+    low, high = bounds
+    return spark.read.jdbc(
+        url, table, column=split_by, lowerBound=low, upperBound=high, numPartitions=connections, properties=given
+    )

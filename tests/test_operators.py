@@ -65,7 +65,7 @@ def test_standardise(spark):
     assert row == {
         "cpf": "12345678901", "data_nascimento": dt.date(2020, 1, 31), "data_evento": None,
         "codigo_categoria": "301", "nome": None, "cpf_original": "123.456.789-01",
-        "_unreadable_dates": 1,
+        "_unreadable_dates": 1, "_unreadable_numbers": 0,
     }
     with pytest.raises(ContractError):
         standardise(raw.drop("cpf"), ESOCIAL)
@@ -84,7 +84,7 @@ def test_quarantine_loses_no_row(spark, rows):
     ]
     assert split.valid.count() + split.rejected.count() == len(keys)
     usable, dropped = drop_unusable(frame)
-    assert rows(usable) == [("12345678901",)] and dropped == 4
+    assert rows(usable) == [("12345678901",)] and dropped.get["dropped"] == 4
 
 
 def test_quarantine_of_wrong_check_digits(spark, rows):
@@ -125,6 +125,13 @@ def test_flag_agrees_with_both_halves(events, rows):
     assert rows(some.filter(F.col(KEPT) & (F.col("k") == "a")).filter("i <> 1"), "i") == [(2,)]
 
 
+def test_null_in_the_order_column_sorts_first_everywhere(spark, rows):
+    frame = spark.createDataFrame([("k", 1, "a"), ("k", None, "b"), ("k", 2, "c"), ("m", None, "d"), (None, 3, "e")], "key string, o int, v string")
+    assert rows(keep_one(frame, ["key"], ["o"]), "v") == [("b",), ("d",), ("e",)]
+    assert rows(discarded(frame, ["key"], ["o"]), "v") == [("a",), ("c",)]
+    assert rows(mark_kept(frame, ["key"], ["o"]).filter("_kept"), "v") == [("b",), ("d",), ("e",)]
+
+
 def test_order_by_several_columns(spark, rows):
     frame = spark.createDataFrame(
         [("a", "f2", 0, 1), ("a", "f1", 9, 7), ("a", "f1", 2, 8), ("b", "f1", 0, 3)],
@@ -241,13 +248,17 @@ def test_stratified_sample(spark):
     assert stratified_sample(frame, "g", "id", 5000).count() == 900
 
 
-def test_head_and_semi(spark, rows, monkeypatch):
-    from recordweave.operators import sampling
-
+def test_head_and_semi(spark, rows):
     frame = spark.range(50).select((49 - F.col("id")).alias("v"))
     assert rows(head_n(frame, ["v"], 3)) == [(0,), (1,), (2,)]
-    monkeypatch.setattr(sampling, "TOP_N_ROWS", 1)
-    assert rows(head_n(frame, ["v"], 3)) == [(0,), (1,), (2,)]
+    assert head_n(frame, ["v"], 50).count() == head_n(frame, ["v"], 99).count() == 50
+    assert head_n(frame.limit(0), ["v"], 3).count() == 0
+    tied = spark.createDataFrame([(None, "a"), (1, "b"), (1, "c"), (1, "d"), (1, "d"), (1, "d"), (2, "e")], "v int, c string")
+    for n in range(1, 9):
+        head = sorted(str(r[0]) for r in head_n(tied, ["v"], n).select("v").collect())
+        assert head == sorted(map(str, [None, 1, 1, 1, 1, 1, 2][:n]))
+    plan = head_n(frame, ["v"], 3)._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
     child = spark.createDataFrame([(0, "x"), (0, "y"), (9, "z")], "v int, c string")
     assert rows(restrict_to_keys(child, head_n(frame, ["v"], 3), "v"), "c") == [("x",), ("y",)]
 
@@ -328,6 +339,9 @@ def test_upsert(spark, rows):
     got = upsert_latest(old, new, key, ["score"], ["i"])
     assert rows(got) == [(1, "2023", 4.5), (1, "2024", 4.0), (2, "2023", 5.0)]
     assert rows(upsert_latest(got, new, key, ["score"], ["i"])) == rows(got)
+    noted = spark.createDataFrame([(1, "2023", None, 3.0)], "p int, cycle string, note string, score double")
+    fresh = spark.createDataFrame([(1, "2023", "new", 4.0, 1), (2, "2023", "own", 5.0, 1)], "p int, cycle string, note string, score double, i int")
+    assert rows(upsert_latest(noted, fresh, key, ["score"], ["i"])) == [(1, "2023", None, 4.0), (2, "2023", "own", 5.0)]
 
 
 def test_cascade_delete(spark, rows):

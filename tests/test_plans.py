@@ -1,18 +1,27 @@
 import datetime as dt
 import json
 import pathlib
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from recordweave.operators.integrity import audit
 from recordweave.operators.lookup import SKIP_REASON, DomainError
-from recordweave.operators.merge import merge_by_joins
+from recordweave.operators.merge import DuplicateKeyError, merge_by_joins
 from recordweave.operators.profile import duplicate_profile
 from recordweave.plans.consolidate import SourceInput, consolidate, export
-from recordweave.plans.relational import RULES, current_version, load_model, read_model, without_people
+from recordweave.plans.relational import (
+    RULES,
+    base_of,
+    current_version,
+    drop_versions,
+    load_model,
+    read_model,
+    without_people,
+)
 from recordweave.plans.stages import ResumeError, StageStore
-from recordweave.sources.contracts import CONSOLIDATED_COLUMNS, ESOCIAL, GESTAO, RH
+from recordweave.sources.contracts import CONSOLIDATED_COLUMNS, ESOCIAL, GESTAO, RH, SOURCES, SourceSpec
 from recordweave.sources.delimited import read_delimited
 from recordweave.sources.tables import read_record
 from recordweave.storage import checkpoint_root
@@ -289,6 +298,29 @@ def test_incremental_load_modes(spark, run, target, rows):
     assert t["evento"].count() == 1
 
 
+def test_an_incremental_load_writes_what_comes_in(spark, run, target, rows):
+    load(spark, run, target)
+    one = run.consolidated.filter(F.col("cpf") == K4).withColumn("avaliacao_desempenho", F.lit(2.0))
+    result = load_model(spark, one, None, target, incremental=True)
+    written = {name: result.counts[name]["rows"] for name in ("orgao", "cargo", "pessoa", "vinculo", "avaliacao_desempenho", "evento")}
+    assert written == {"orgao": 0, "cargo": 0, "pessoa": 0, "vinculo": 1, "avaliacao_desempenho": 1, "evento": 0}
+    assert {n: t.count() for n, t in result.tables.items()} == {n: t.count() for n, t in read_model(spark, target, 1).items()}
+    assert audit(RULES, result.tables).filter("violations > 0").count() == 0
+    scores = {r.pessoa_id: str(r.nota) for r in result.tables["avaliacao_desempenho"].collect()}
+    assert scores == {1: "3.0", 3: "2.0"}
+
+
+def test_folders_are_put_together_and_old_versions_removed(spark, run, target, rows):
+    load(spark, run, target)
+    for _ in range(3):
+        result = load(spark, run, target, incremental=True, compact_after=2)
+    assert [base_of(spark, target, v) for v in (1, 2, 3, 4)] == [1, 1, 3, 3]
+    before = {name: rows(table) for name, table in result.tables.items()}
+    assert drop_versions(spark, target, 0) == [2, 1]
+    assert drop_versions(spark, target, 0) == []
+    assert {name: rows(table) for name, table in read_model(spark, target).items()} == before
+
+
 def test_full_load_forgets_earlier_rows(spark, run, target, rows):
     load(spark, run, target)
     only = run.consolidated.filter(F.col("cpf") == K4)
@@ -314,6 +346,51 @@ def test_repeated_persons_first_row_makes_the_person_last_the_employment(spark,
     assert rows(jobs, "nome") == [("Z",)]
 
 
+def test_tied_order_is_refused(spark, inputs, tmp_path):
+    frame = spark.createDataFrame([(K1, "Ana", 1), (K1, "Bia", 1)], "cpf string, nome string, n int")
+    given = {**inputs, "gestao": SourceInput(frame=frame, order_by=("n",))}
+    spec = [s for s in SOURCES if s.name != "gestao"] + [SourceSpec(name="gestao")]
+    with pytest.raises(DuplicateKeyError):
+        consolidate(spark, given, str(tmp_path / "tied"), specs=spec)
+    with pytest.raises(DuplicateKeyError):
+        consolidate(spark, given, str(tmp_path / "tied"), specs=spec, resume=True)
+
+
+def test_resume_refuses_other_settings(spark, inputs, tmp_path):
+    from dataclasses import replace
+
+    folder = str(tmp_path / "settings")
+    consolidate(spark, inputs, folder)
+    for change in (
+        {"specs": SOURCES[::-1]},
+        {"specs": [replace(s, date_columns=()) for s in SOURCES]},
+        {"specs": [replace(s, latest_by=None) for s in SOURCES]},
+        {"inputs": {**inputs, "rh": replace(inputs["rh"], mode="PERMISSIVE")}},
+        {"inputs": {**inputs, "rh": replace(inputs["rh"], multi_line=True)}},
+        {"check_digits": True},
+        {"row_limit": 1},
+    ):
+        options = {"inputs": inputs, **change}
+        with pytest.raises(ResumeError):
+            consolidate(spark, options.pop("inputs"), folder, resume=True, **options)
+
+
+def test_values_the_target_cannot_hold_are_recorded(spark, run, target, rows):
+    wide = run.consolidated.withColumn("salario_base", F.when(F.col("cpf") == K1, 1e13).otherwise(F.col("salario_base")))
+    wide = wide.withColumn("avaliacao_desempenho", F.when(F.col("cpf") == K4, 1234.5).otherwise(F.col("avaliacao_desempenho")))
+    result = load_model(spark, wide, None, target, on_violation="quarantine", check=False)
+    assert rows(result.violations, "cpf", "violacao") == [(K1, "salario_base"), (K3, "sigla_orgao"), (K4, "avaliacao_desempenho")]
+    with pytest.raises(DomainError):
+        load_model(spark, wide, None, target, check=False)
+
+
+def test_long_event_ids_are_skipped_with_a_reason(spark, run, target, rows):
+    events = run.accepted["esocial"].filter(F.col("cpf") == K1)
+    twins = reduce(lambda a, b: a.unionByName(b), [events.withColumn("id_evento", F.lit("x" * 128 + end)) for end in ("a", "b")])
+    result = load_model(spark, run.consolidated, twins, target, on_violation="quarantine", check=False, event_order=("id_evento",))
+    assert rows(result.skipped_events, SKIP_REASON) == [("id_evento_longo",)] * 2
+
+
 def test_interrupted_load_resumes(spark, run, target, monkeypatch):
     original = StageStore._write
 

@@ -5,11 +5,12 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordweave.operators.dedupe import discarded, keep_one
+from recordweave.operators.dedupe import KEPT, discarded, keep_one, mark_kept
 from recordweave.operators.merge import merge_by_joins, merge_by_priority, union_audit
 from recordweave.operators.profile import duplicate_profile, duplicate_report, source_coverage
-from recordweave.operators.quarantine import quarantine, split_rejected
+from recordweave.operators.quarantine import drop_unusable, quarantine, split_rejected
 from recordweave.operators.standardise import ORIGINAL_KEY, annotate_duplicates, standardise
+from recordweave.operators.numbering import number_rows
 from recordweave.plans.consolidate import (
     DISCARDED_ROW,
     KEPT_ROW,
@@ -17,14 +18,16 @@ from recordweave.plans.consolidate import (
     STATUS,
     SourceInput,
     consolidate,
+    export,
     transform,
 )
 from recordweave.plans.stages import side_by_side
 from recordweave.sources.contracts import ESOCIAL, GESTAO, RH, SOURCES, to_canonical
-from recordweave.storage import materialize, new_folder
+from recordweave.sources.delimited import FILE_ORDER, read_delimited, write_delimited
+from recordweave.storage import delete_folder, materialize, new_folder
 from workload.registry import query, table
 from workload.sqltext import CONSOLIDATED_CTES, SOURCE_CTES
-from workload.standins import derive, esocial, gestao, padded, rh
+from workload.standins import ESOCIAL_SELECT, GESTAO_SELECT, RH_SELECT, derive, esocial, gestao, padded, rh
 
 ORDER = ["_order"]
 
@@ -74,6 +77,38 @@ _CHECKED_KEY = (
 )
 
 
+@query(
+    "drop_unusable",
+    f"""WITH {SOURCE_CTES} SELECT count(*) FILTER (WHERE reason IS NULL) AS usable,
+      count(*) FILTER (WHERE reason IS NOT NULL) AS dropped FROM rh_ranked""",
+)
+def drop_unusable_query(spark, sf_dir):
+    """Rows without a usable key are dropped, and counted as they pass."""
+    typed = standardise(rh(spark, sf_dir), RH, carried=ORDER)
+    usable, seen = drop_unusable(typed)
+    kept = materialize(usable, "usable")
+    return kept.agg(F.count(F.lit(1)).alias("usable")).withColumn("dropped", F.lit(seen.get["dropped"]).cast("bigint"))
+
+
+# Spellings that keep eleven digits but are no key: the number sign, letters, a group too many.
+_INVALID_KEY = f"""CASE c_nationkey WHEN 0 THEN '#' || {padded('c_custkey')} WHEN 1 THEN {padded('c_custkey')} || 'x'
+  WHEN 2 THEN '12' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE {padded('c_custkey')} END"""
+
+
+@query(
+    "invalid_keys",
+    f"""SELECT c_custkey, cpf, 'customer' AS fonte, motivo_rejeicao FROM (
+      SELECT c_custkey, cpf, CASE WHEN regexp_full_match(cpf, '[0-9]{{11}}') THEN NULL
+        WHEN coalesce(regexp_replace(cpf, '[^0-9]', '', 'g'), '') = '' THEN 'cpf_ausente'
+        WHEN length(regexp_replace(cpf, '[^0-9]', '', 'g')) <> 11 THEN 'cpf_quantidade_digitos_invalida'
+        ELSE 'cpf_invalido' END AS motivo_rejeicao
+      FROM (SELECT c_custkey, {_INVALID_KEY} AS cpf FROM customer)) WHERE motivo_rejeicao IS NOT NULL""",
+)
+def invalid_keys(spark, sf_dir):
+    keys = derive(spark, sf_dir, "customer", f"c_custkey, {_INVALID_KEY} AS cpf")
+    return quarantine(keys, "customer").rejected
+
+
 @query(
     "check_digit_quarantine",
     f"""SELECT c_custkey, cpf, 'customer' AS fonte, motivo_rejeicao FROM (
@@ -133,6 +168,35 @@ def dedupe_latest_discarded(spark, sf_dir):
     return discarded(events, ["user_id"], ["event_id"], latest_by="day")
 
 
+# Every third event has no place in its order; the others are unique.
+_PLACE_SELECT = "event_id, user_id, CASE WHEN event_id % 3 > 0 THEN event_id END AS place"
+_FIRST_NULL = """(SELECT user_id, count(*) AS rows, count_if(place IS NULL) AS unplaced
+  FROM (SELECT *, CASE WHEN event_id % 3 > 0 THEN event_id END AS place FROM events) GROUP BY user_id)"""
+
+
+@query(
+    "dedupe_partition_check",
+    f"""SELECT CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(greatest(unplaced, 1)) AS BIGINT) AS kept,
+      CAST(sum(rows - greatest(unplaced, 1)) AS BIGINT) AS discarded, CAST(0 AS BIGINT) AS in_both,
+      count(*) AS survivors, CAST(0 AS BIGINT) AS survivors_not_kept FROM {_FIRST_NULL}""",
+)
+def dedupe_partition_check(spark, sf_dir):
+    """An order column with NULLs splits the same way on all three paths; rows that tie at the front are all kept."""
+    events = derive(spark, sf_dir, "events", _PLACE_SELECT)
+    marked = materialize(mark_kept(events, ["user_id"], ["place"]), "marked")
+    kept = marked.filter(F.col(KEPT))
+    dropped = discarded(events, ["user_id"], ["place"])
+    survivors = keep_one(events, ["user_id"], ["place"])
+    counted = {
+        "rows": events, "kept": kept, "discarded": dropped,
+        "in_both": kept.join(dropped, "event_id", "left_semi"),
+        "survivors": survivors,
+        "survivors_not_kept": survivors.join(kept, "event_id", "left_anti"),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counted.items()]
+    return reduce(DataFrame.union, parts).agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in counted])
+
+
 # --- merge -----------------------------------------------------------------------------
 
 _MERGE_SELECTS = {
@@ -332,7 +396,7 @@ def duplicate_report_query(spark, sf_dir):
 
 
 def _canonical(df: DataFrame) -> DataFrame:
-    return df.drop("_order", "_unreadable_dates", STATUS, ORIGINAL_KEY, "motivo_rejeicao")
+    return df.drop("_order", "_unreadable_dates", "_unreadable_numbers", STATUS, ORIGINAL_KEY, "motivo_rejeicao")
 
 
 # --- the whole job ---------------------------------------------------------------------
@@ -350,3 +414,82 @@ def consolidated(spark, sf_dir):
 @query("consolidate_end_to_end", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
 def consolidate_end_to_end(spark, sf_dir):
     return consolidated(spark, sf_dir).consolidated
+
+
+@query("resume_consolidation", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
+def resume_consolidation(spark, sf_dir):
+    """A run that was cut before its last two stages and goes on from there."""
+    inputs = {name: SourceInput(frame=raw(spark, sf_dir), order_by=("_order",)) for name, raw in RAW.items()}
+    folder = new_folder(spark, "run")
+    consolidate(spark, inputs, folder)
+    for stage in ("merge", "transform_gestao"):
+        delete_folder(spark, f"{folder}/markers/{stage}")
+    return consolidate(spark, inputs, folder, resume=True).consolidated
+
+
+# --- delimited files, in and out ---------------------------------------------------------
+
+_SOURCE_TABLES = {RH.name: ("customer", RH_SELECT), ESOCIAL.name: ("orders", ESOCIAL_SELECT), GESTAO.name: ("part", GESTAO_SELECT)}
+_FILES = 4
+
+
+def _from_files(spark, sf_dir):
+    """The job over delimited files: each source in several files, whose order and line order decide which row comes first."""
+    folder = new_folder(spark, "sources")
+    inputs = {}
+    for name, (source, select) in _SOURCE_TABLES.items():
+        rows = derive(spark, sf_dir, source, select).repartitionByRange(_FILES, "_order").sortWithinPartitions("_order")
+        write_delimited(rows.drop("_order"), f"{folder}/{name}")
+        inputs[name] = SourceInput(path=f"{folder}/{name}")
+    return consolidate(spark, inputs, new_folder(spark, "run"))
+
+
+@query("delimited_consolidation", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
+def delimited_consolidation(spark, sf_dir):
+    return _from_files(spark, sf_dir).consolidated
+
+
+@query(
+    "delimited_export",
+    f"""WITH {CONSOLIDATED_CTES} SELECT row_number() OVER (ORDER BY cpf) AS place, cpf, nome, cargo, sigla_orgao,
+      CAST(data_admissao AS VARCHAR) AS data_admissao, id_evento FROM consolidated""",
+)
+def delimited_export(spark, sf_dir):
+    """The sorted export, read back in the order of its files and lines."""
+    folder = new_folder(spark, "export")
+    export(spark, consolidated(spark, sf_dir), folder, sort_by_key=True)
+    back = read_delimited(spark, f"{folder}/pessoas_consolidado")
+    chosen = back.select("cpf", "nome", "cargo", "sigla_orgao", "data_admissao", "id_evento", *FILE_ORDER)
+    return number_rows(chosen, FILE_ORDER, "place").drop(*FILE_ORDER)
+
+
+@query(
+    "run_outputs",
+    f"WITH {CONSOLIDATED_CTES} "
+    + " UNION ALL ".join(
+        f"SELECT '{metric}' AS metric, '{n}' AS source, (SELECT count(*) FROM {n}_ranked WHERE {where}) AS value"
+        for n in _NAMES
+        for metric, where in (
+            ("rows_read", "true"), ("rows_accepted", "reason IS NULL AND place = 1"),
+            ("rows_discarded", "reason IS NULL AND place > 1"), ("rows_rejected", "reason IS NOT NULL"),
+        )
+    )
+    + " UNION ALL SELECT 'rows_consolidated', 'manifest', (SELECT count(*) FROM consolidated)"
+    + " UNION ALL SELECT 'rows_rejected_total', 'manifest', ("
+    + " + ".join(f"(SELECT count(*) FROM {n}_ranked WHERE reason IS NOT NULL)" for n in _NAMES)
+    + ")",
+)
+def run_outputs(spark, sf_dir):
+    """The counts a run observed, as its metrics and manifest on disk state them."""
+    folder = new_folder(spark, "export")
+    export(spark, consolidated(spark, sf_dir), folder)
+    names = ("rows_read", "rows_accepted", "rows_discarded", "rows_rejected")
+    schema = ", ".join(f"{n} map<string,bigint>" for n in names)
+    metrics = spark.read.json(f"{folder}/metrics").select(F.from_json("metrics", schema).alias("m")).select("m.*")
+    long = [metrics.select(F.lit(n).alias("metric"), F.explode(n).alias("source", "value")) for n in names]
+    manifest = spark.read.json(f"{folder}/manifest")
+    long += [
+        manifest.select(F.lit(n).alias("metric"), F.lit("manifest").alias("source"), F.col(n).cast("bigint").alias("value"))
+        for n in ("rows_consolidated", "rows_rejected_total")
+    ]
+    return reduce(DataFrame.union, long)

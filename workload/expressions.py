@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from recordweave.functions.dates import parse_date, parse_load_date, unreadable
 from recordweave.functions.keys import key_text, mask_key, normalize_key
-from recordweave.functions.numbers import category_code, decimal_comma, load_decimal, rounded
+from recordweave.functions.numbers import category_code, decimal_comma, exceeds_decimal, load_decimal, rounded
 from recordweave.functions.text import (
     blank_to_null,
     bounded,
@@ -16,6 +16,7 @@ from recordweave.operators.standardise import standardise
 from recordweave.sources.contracts import GESTAO, consolidated_order, to_canonical
 from workload.registry import query, table
 from workload.sqltext import (
+    NUMBER,
     GESTAO_TYPED,
     sql_category_code,
     sql_decimal_comma,
@@ -109,6 +110,23 @@ def load_decimal_query(spark, sf_dir):
     )
 
 
+@query(
+    "load_decimal_text",
+    f"""SELECT o_orderkey, CASE WHEN readable THEN try_cast(value AS DECIMAL(7,2)) END AS amount,
+      readable AND try_cast(value AS DECIMAL(7,2)) IS NULL AS too_large
+    FROM (SELECT o_orderkey, coalesce(regexp_matches(trim(raw), '{NUMBER}'), false) AS readable,
+        try_cast(trim(raw) AS DOUBLE) AS value
+      FROM (SELECT o_orderkey, {ORDER_PRICE} AS raw FROM orders))""",
+)
+def load_decimal_text(spark, sf_dir):
+    raw = derive(spark, sf_dir, "orders", f"o_orderkey, {ORDER_PRICE} AS raw")
+    return raw.select(
+        "o_orderkey",
+        load_decimal(F.col("raw"), 7, 2).alias("amount"),
+        exceeds_decimal(F.col("raw"), 7, 2).alias("too_large"),
+    )
+
+
 @query(
     "category_code",
     f"""SELECT p_partkey, {sql_category_code('raw')} AS code

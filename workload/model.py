@@ -30,7 +30,7 @@ from recordweave.operators.writes import (
 )
 from recordweave.plans.relational import event_rows, fixed_catalog, load_model, new_codes
 from recordweave.sources.tables import empty_table
-from recordweave.storage import materialize, new_folder
+from recordweave.storage import delete_folder, materialize, new_folder
 from workload.cleaning import consolidated
 from workload.registry import query, table
 from workload.sqltext import CONSOLIDATED_CTES, sql_parse_load_date
@@ -294,22 +294,23 @@ def replace_by_key_query(spark, sf_dir):
 
 
 _PAIR = "o_custkey, o_orderpriority"
+_NOTE = "CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS note"
 
 
 @query(
     "upsert_latest",
     f"""WITH old AS ({_first_sql(_BEFORE, _PAIR)}), new AS ({_first_sql(_AFTER, _PAIR, 'DESC')})
-    SELECT o_custkey, o_orderpriority, coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
-      coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice
-    FROM old o FULL OUTER JOIN new n USING (o_custkey, o_orderpriority)""",
+    SELECT o_custkey, o_orderpriority, CASE WHEN o.found THEN o.note ELSE n.note END AS note,
+      CASE WHEN n.found THEN n.o_totalprice ELSE o.o_totalprice END AS o_totalprice
+    FROM (SELECT *, {_NOTE}, true AS found FROM old) o
+    FULL OUTER JOIN (SELECT *, {_NOTE}, true AS found FROM new) n USING (o_custkey, o_orderpriority)""",
 )
 def upsert_latest_query(spark, sf_dir):
+    """Prices are updated; the note of a row that exists is kept, also where it is NULL."""
     key = ["o_custkey", "o_orderpriority"]
-    old, new = _old_and_new(spark, sf_dir, key)
-    columns = [*key, "o_orderkey", "o_totalprice"]
-    return upsert_latest(
-        old.select(*columns), new.select(*columns, "o_orderdate"), key, ["o_totalprice"], _ORDER
-    )
+    old, new = (df.selectExpr("*", _NOTE) for df in _old_and_new(spark, sf_dir, key))
+    columns = [*key, "note", "o_totalprice"]
+    return upsert_latest(old.select(*columns), new.select(*columns, *_ORDER), key, ["o_totalprice"], _ORDER)
 
 
 @query(
@@ -424,6 +425,99 @@ def relational_model(spark, sf_dir):
     return person.join(job, "pessoa_id").join(scores, "pessoa_id", "left")
 
 
+@query(
+    "resume_load",
+    f"""WITH {_LOADABLE}
+    SELECT p.id, p.cpf, coalesce(p.nome, 'NOME NÃO INFORMADO') AS nome, o.id AS orgao_id,
+      CAST(p.salario_base AS DECIMAL(14,2)) AS salario_base
+    FROM pessoa p JOIN orgao o ON p.sigla_orgao = o.sigla""",
+)
+def resume_load(spark, sf_dir):
+    """A load that was cut after its checked rows and goes on from there."""
+    run = consolidated(spark, sf_dir)
+    target = new_folder(spark, "model")
+    given = (spark, run.consolidated, run.accepted["esocial"], target)
+    load_model(*given, on_violation="quarantine")
+    delete_folder(spark, f"{target}/current")
+    for stage in ("pessoa", "vinculo", "evento"):
+        delete_folder(spark, f"{target}/v1/markers/{stage}")
+    t = load_model(*given, on_violation="quarantine", resume=True).tables
+    jobs = t["vinculo"].select(F.col("pessoa_id").alias("id"), "orgao_id", "salario_base")
+    return t["pessoa"].select("id", "cpf", "nome").join(jobs, "id")
+
+
+# The first load has half of the persons; the second all of them, with other names, salaries, scores and receipts.
+_HALF = "right(cpf, 1) < '5'"
+
+
+@query(
+    "incremental_values",
+    f"""WITH {_LOADABLE}, eventos AS (SELECT cpf, numero_recibo FROM esocial_kept WHERE data_evento IS NOT NULL)
+    SELECT p.cpf, coalesce(CASE WHEN {_HALF.replace('cpf', 'p.cpf')} THEN p.nome ELSE p.nome || ' X' END, 'NOME NÃO INFORMADO') AS nome,
+      CAST(p.salario_base + 1 AS DECIMAL(14,2)) AS salario_base,
+      CASE WHEN p.avaliacao_desempenho IS NOT NULL AND p.ciclo_avaliacao IS NOT NULL
+        THEN CAST(1.5 AS DECIMAL(4,1)) END AS nota,
+      CASE WHEN {_HALF.replace('cpf', 'p.cpf')} THEN e.numero_recibo ELSE e.numero_recibo || '-2' END AS numero_recibo
+    FROM pessoa p LEFT JOIN eventos e ON p.cpf = e.cpf""",
+)
+def incremental_values(spark, sf_dir):
+    """Persons and events keep what came first; employments and scores have what came last."""
+    run = consolidated(spark, sf_dir)
+    target = new_folder(spark, "model")
+    people, events = run.consolidated, run.accepted["esocial"]
+    load_model(spark, people.filter(_HALF), events, target, on_violation="quarantine")
+    changed = people.withColumns({
+        "nome": F.concat("nome", F.lit(" X")),
+        "salario_base": F.col("salario_base") + 1,
+        "avaliacao_desempenho": F.when(F.col("avaliacao_desempenho").isNotNull(), 1.5),
+    })
+    receipts = events.withColumn("numero_recibo", F.concat("numero_recibo", F.lit("-2")))
+    t = load_model(spark, changed, receipts, target, incremental=True, on_violation="quarantine").tables
+    person = t["pessoa"].select(F.col("id").alias("pessoa_id"), "cpf", "nome")
+    return (
+        person.join(t["vinculo"].select("pessoa_id", "salario_base"), "pessoa_id")
+        .join(t["avaliacao_desempenho"].select("pessoa_id", "nota"), "pessoa_id", "left")
+        .join(t["evento"].select("pessoa_id", "numero_recibo"), "pessoa_id", "left")
+        .drop("pessoa_id")
+    )
+
+
+# Values the target can't hold: a salary and a score that are too large, a cycle and an event id that are too long.
+_REJECT_ROWS = f"""{padded('c_custkey')} AS cpf, c_name AS nome, c_mktsegment AS cargo, 'ORG' AS sigla_orgao,
+  'efetivo' AS tipo_vinculo, 'ativo' AS status_servidor,
+  c_acctbal * CASE WHEN c_nationkey = 3 THEN 1e12 ELSE 1 END AS salario_base,
+  CASE WHEN c_nationkey = 4 THEN 1234.5 WHEN c_nationkey = 6 THEN NULL ELSE 4.5 END AS avaliacao_desempenho,
+  CASE WHEN c_nationkey IN (5, 6) THEN repeat('2', 17) WHEN c_nationkey = 7 THEN NULL ELSE '2023' END AS ciclo_avaliacao"""
+_REJECT_EVENTS = f"""{padded('user_id')} AS cpf, 'admissao' AS tipo_evento,
+  CASE WHEN hour(ts) = 0 THEN repeat('x', 128) || CAST(event_id AS STRING) ELSE 'e' || CAST(event_id AS STRING) END AS id_evento,
+  CAST(CAST(ts AS DATE) AS STRING) AS data_evento, event_type AS codigo_categoria, 'original' AS indicador_retificacao,
+  CAST(event_id AS STRING) AS numero_recibo"""
+
+
+@query(
+    "load_rejects",
+    f"""WITH given AS (SELECT {_REJECT_ROWS} FROM customer), marked AS (
+      SELECT *, CASE WHEN abs(salario_base) >= 999999999999.995 THEN 'salario_base'
+        WHEN avaliacao_desempenho > 999.9 AND ciclo_avaliacao IS NOT NULL THEN 'avaliacao_desempenho'
+        WHEN avaliacao_desempenho IS NOT NULL AND length(ciclo_avaliacao) > 16 THEN 'ciclo_avaliacao' END AS reason
+      FROM given), events_given AS (SELECT {_REJECT_EVENTS} FROM events)
+    SELECT 'row' AS kind, cpf AS ref, reason FROM marked WHERE reason IS NOT NULL
+    UNION ALL
+    SELECT 'event', numero_recibo, CASE WHEN p.cpf IS NULL THEN 'pessoa_desconhecida' ELSE 'id_evento_longo' END
+    FROM events_given e LEFT JOIN (SELECT cpf FROM marked WHERE reason IS NULL) p ON e.cpf = p.cpf
+    WHERE p.cpf IS NULL OR length(id_evento) > 128""",
+)
+def load_rejects(spark, sf_dir):
+    people = derive(spark, sf_dir, "customer", _REJECT_ROWS)
+    events = derive(spark, sf_dir, "events", _REJECT_EVENTS)
+    load = load_model(
+        spark, people, events, new_folder(spark, "model"), on_violation="quarantine", event_order=("numero_recibo",)
+    )
+    rows = load.violations.select(F.lit("row").alias("kind"), F.col("cpf").alias("ref"), F.col(VIOLATION).alias("reason"))
+    skipped = load.skipped_events.select(F.lit("event"), "numero_recibo", SKIP_REASON)
+    return rows.union(skipped)
+
+
 @query(
     "relational_events",
     f"""WITH {_LOADABLE}, eventos AS (
