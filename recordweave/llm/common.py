@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recordweave.llm.files import write_file
 from recordweave.operators.lookup import broadcast_if_small
-from recordweave.storage import materialize
+from recordweave.storage import materialize, new_folder
 
 #: Words are what stands between these characters (space and the ASCII controls tab to carriage return).
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -24,20 +25,21 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each application."""
+    """Send this package's source to the executors, once for each application, by way of the shared folder."""
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="recordweave-source-")
-    archive = os.path.join(folder, f"recordweave-{application}.zip")
-    with zipfile.ZipFile(archive, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for top, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     path = os.path.join(top, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(archive)
+    folder, name = new_folder(spark, "source"), f"recordweave-{application}.zip"
+    write_file(folder, name, [packed.getvalue()])
+    spark.sparkContext.addPyFile(f"{folder}/{name}")
     _shipped.add(application)
 
 

@@ -15,7 +15,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -35,6 +35,8 @@ RECORD_NAME = "urn:recordweave:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+#: Header lines that every record has.
+_REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 _READ = 1 << 16
 
 
@@ -148,7 +150,9 @@ def _record_at(data: bytes, at: int) -> tuple[Found | None, str]:
         if not mark:
             return None, "header line without colon"
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    length = headers.get("content-length", "")
+    if not _REQUIRED <= headers.keys():
+        return None, "a required header line is missing"
+    length = headers["content-length"]
     if not length.isdecimal():
         return None, "no length"
     first, last = end + 4, end + 4 + int(length)
@@ -212,14 +216,12 @@ def salvage(data: bytes) -> Iterator[Found]:
             raw, end, whole = _unpack(data, at)
             if whole:
                 for found in _plain(raw, 0):
-                    found.start, found.end = at, end
-                    yield found
+                    yield replace(found, start=at, end=end)
                 at = end
                 continue
             for found in _plain(raw, 0):
                 if not found.reason:
-                    found.start = found.end = at
-                    yield found
+                    yield replace(found, start=at, end=at)
             reason = "member is damaged"
         elif data.startswith(b"WARC/", at):
             found, reason = _record_at(data, at)

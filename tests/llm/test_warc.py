@@ -33,7 +33,8 @@ def test_later_records_survive_damage(packed):
     for _ in range(60):
         data, hurt = bytearray(b"".join(parts)), random.randrange(12)
         start = ends[hurt] - len(parts[hurt])
-        place = random.randrange(start + (12 if packed else 0), ends[hurt] - 8)
+        # of a plain record the block has a digest, the values of its header lines have none
+        place = random.randrange(start + (12 if packed else parts[hurt].index(b"\r\n\r\n") + 4), ends[hurt] - 8)
         data[place] ^= 0x55
         records, gaps = found(bytes(data))
         assert [i for i in records if i != hurt] == [i for i in range(12) if i != hurt]
@@ -60,7 +61,7 @@ def test_a_file_packed_as_one_stream_gives_what_comes_before_the_break():
 def test_bad_lengths_and_headers():
     good = one(7)
     for bad in (good.replace(b"Content-Length: 2", b"Content-Length: 9"), good.replace(b"Content-Length", b"Content Length"),
-                good.replace(b"WARC-Type:", b"WARC-Type"), b"WARC/1.1\r\n\r\n", b"WARC/1.1\r\nContent-Length: x\r\n\r\n"):
+                good.replace(b"WARC-Type:", b"WARC-Type"), good.replace(b"WARC-Date:", b"WARC-Dart:"), b"WARC/1.1\r\n\r\n", b"WARC/1.1\r\nContent-Length: x\r\n\r\n"):
         assert found(bad + good)[0] == [7]
     assert found(b"") == ([], [])
 
