@@ -99,6 +99,6 @@ def test_pieces_and_places(docs_of):
 def test_edge_rows(edge, docs_of, monkeypatch):
     monkeypatch.setattr(packing, "NUMBERED", 2)
     rows = packing.pack(edge).collect()
-    assert len(rows) == 10 and sum(r.doc_id is None for r in rows) == 2
-    assert len({(r.sequence_id, r.offset) for r in rows}) == 10
+    assert len(rows) == 11 and sum(r.doc_id is None for r in rows) == 2  # the long text takes two pieces
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 11
     assert packing.pack(docs_of([])).count() == 0
