@@ -91,6 +91,34 @@ def test_symbol_texts_are_rejected_and_prose_is_kept(spark):
     assert {r.level for r in found.values()} == {2}
 
 
+def test_each_statistic_rejects_alone(spark):
+    """Texts that stand out in symbols, repeated lines or repeated words only, with words of usual length."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+
+    def lines(n):
+        return [" ".join(rng.sample(words, 2)) for _ in range(n)]
+
+    prose = ["\n".join(lines(rng.randint(30, 100))) for _ in range(400)]
+    symbols = ["".join(rng.choice("#$|") if c.isalpha() and rng.random() < 0.15 else c for c in "\n".join(lines(60))) for _ in range(10)]
+    repeated_lines = []
+    for _ in range(10):
+        some = lines(40)
+        some += some[:25]
+        rng.shuffle(some)
+        repeated_lines.append("\n".join(some))
+    repeats = []
+    for _ in range(10):
+        phrase = " ".join(rng.sample(words, 12))
+        repeats.append(f"{phrase} " + " ".join(rng.sample(words, 40)) + f" {phrase} " + " ".join(rng.sample(words, 40)) + f" {phrase}")
+    texts = prose + symbols + repeated_lines + repeats
+    frame = spark.createDataFrame([(i, t, "en", "web") for i, t in enumerate(texts)], "doc_id int, text string, lang string, source string")
+    found = {r.doc_id: r for r in robust.quality(frame).collect()}
+    assert sum(found[i].kept for i in range(400)) >= 398
+    assert not any(r.base_failed for r in found.values())
+    assert [i for i in range(400, 430) if found[i].kept] == []
+
+
 def test_edge_rows(edge, docs_of):
     rows = robust.quality(edge).collect()
     assert len(rows) == 10 and all(r.base_failed and not r.kept and r.level is None for r in rows)
