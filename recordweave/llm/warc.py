@@ -169,17 +169,38 @@ def _record_at(data: bytes, at: int) -> tuple[Found | None, str]:
 
 
 def _unpack(data: bytes, at: int) -> tuple[bytes, int, bool]:
-    """What the gzip member here holds, where it ends, and whether it is whole."""
-    stream, out, place = zlib.decompressobj(31), [], at
+    """What the gzip member here holds, where it ends or fails, and whether it is whole.
+
+    Of a stride that fails, what comes before the fault is read in smaller and smaller steps.
+    """
+    stream, out, place, step = zlib.decompressobj(31), [], at, _READ
+    while place < len(data):
+        before = stream.copy()
+        try:
+            out.append(stream.decompress(data[place : place + step]))
+        except zlib.error:
+            stream = before
+            if step > 1:
+                step = 256 if step > 256 else 1
+                continue
+            out.append(_last_bytes(stream, data[place : place + 1]))
+            return b"".join(out), place, False
+        place = min(place + step, len(data))
+        if stream.eof:
+            return b"".join(out), place - len(stream.unused_data), True
+    return b"".join(out), len(data), False
+
+
+def _last_bytes(stream, raw: bytes) -> bytes:
+    """What a stream still gives for bytes at which it fails."""
+    out = []
     try:
-        while place < len(data):
-            out.append(stream.decompress(data[place : place + _READ]))
-            place += _READ
-            if stream.eof:
-                return b"".join(out), min(place, len(data)) - len(stream.unused_data), True
+        while made := stream.decompress(raw, 1):
+            out.append(made)
+            raw = stream.unconsumed_tail
     except zlib.error:
-        return b"".join(out), place, False
-    return b"".join(out), len(data), False
+        pass
+    return b"".join(out)
 
 
 def _plain(data: bytes, at: int, stop: int | None = None) -> Iterator[Found]:
@@ -212,6 +233,7 @@ def salvage(data: bytes) -> Iterator[Found]:
     """
     at = 0
     while at < len(data):
+        known, broken = [], at
         if data.startswith(_MEMBER, at):
             raw, end, whole = _unpack(data, at)
             if whole:
@@ -219,9 +241,9 @@ def salvage(data: bytes) -> Iterator[Found]:
                     yield replace(found, start=at, end=end)
                 at = end
                 continue
-            for found in _plain(raw, 0):
-                if not found.reason:
-                    yield replace(found, start=at, end=at)
+            known, broken = [found for found in _plain(raw, 0) if not found.reason], end
+            for found in known:
+                yield replace(found, start=at, end=at)
             reason = "member is damaged"
         elif data.startswith(b"WARC/", at):
             found, reason = _record_at(data, at)
@@ -231,21 +253,27 @@ def salvage(data: bytes) -> Iterator[Found]:
                 continue
         else:
             reason = "no member or version line"
-        follow = _next_valid(data, at + 1)
+        follow = _next_valid(data, at + 1, known, broken)
         yield Found(at, follow, reason=reason)
         at = follow
 
 
-def _next_valid(data: bytes, at: int) -> int:
-    """The next place where a member unpacks or a record passes its checks; the end of the data if there is none."""
+def _next_valid(data: bytes, at: int, known: list[Found], broken: int) -> int:
+    """The next place where a member unpacks or gives a record, or a record passes its checks; the end of the data if there is none.
+
+    Before ``broken``, the place where a member has failed, its ``known`` records may stand in plain; they are not found again.
+    """
+    given = {(tuple(sorted(f.headers.items())), f.block) for f in known}
     member, version = data.find(_MEMBER, at), _VERSION.search(data, at)
     while member >= 0 or version:
         if member >= 0 and (not version or member < version.start()):
-            if _unpack(data, member)[2]:
+            raw, _, whole = _unpack(data, member)
+            if whole or any(not f.reason for f in _plain(raw, 0)):
                 return member
             member = data.find(_MEMBER, member + 1)
         else:
-            if _record_at(data, version.start())[0]:
+            found = _record_at(data, version.start())[0]
+            if found and not (found.start < broken and (tuple(sorted(found.headers.items())), found.block) in given):
                 return version.start()
             version = _VERSION.search(data, version.start() + 1)
     return len(data)

@@ -58,6 +58,32 @@ def test_a_file_packed_as_one_stream_gives_what_comes_before_the_break():
     assert records == list(range(len(records))) and len(records) > 15 and gaps == [(0, len(data) // 2)]
 
 
+def test_a_fault_late_in_a_short_member_keeps_the_records_before_it():
+    records = [one(i, bytes(random.Random(i).randbytes(700))) for i in range(50)]
+    whole = gzip.compress(b"".join(records))
+    assert len(whole) < warc._READ
+    for place in [*range(len(whole) // 4, len(whole) - 8, 997), len(whole) - 6]:
+        data = bytearray(whole)
+        data[place] ^= 0x55
+        sure = place * 50 // len(whole) - 2
+        assert found(bytes(data))[0][:sure] == list(range(sure)), place
+    assert found(whole[:-6] + bytes([whole[-6] ^ 1]) + whole[-5:])[0] == list(range(50))
+
+
+def test_two_damaged_members_in_a_row():
+    members = [gzip.compress(b"".join(one(10 * k + i, bytes(random.Random(i).randbytes(700))) for i in range(10))) for k in range(3)]
+    hurt = [m[:-6] + bytes([m[-6] ^ 1]) + m[-5:] for m in members]
+    got, gaps = found(b"".join(hurt))
+    assert got == list(range(30))
+    ends = [0, *[sum(map(len, hurt[: i + 1])) for i in range(3)]]
+    assert gaps == list(zip(ends, ends[1:], strict=False))
+
+
+def test_records_of_a_damaged_stored_member_are_given_once():
+    whole = gzip.compress(b"".join(one(i) for i in range(5)), compresslevel=0)
+    assert found(whole[:-6] + bytes([whole[-6] ^ 1]) + whole[-5:]) == (list(range(5)), [(0, len(whole))])
+
+
 def test_bad_lengths_and_headers():
     good = one(7)
     for bad in (good.replace(b"Content-Length: 2", b"Content-Length: 9"), good.replace(b"Content-Length", b"Content Length"),
