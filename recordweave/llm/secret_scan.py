@@ -52,8 +52,10 @@ _STREAMS = (
     (b"BZh", bz2.BZ2Decompressor),
     (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
 )
-#: Bytes that all decoded layers of a text may take together; a text that needs more is marked ``unfinished``.
+#: Bytes that the compressed streams of a text may unpack to together.  Other layers are no longer than what they come
+#: from; as many characters, and ``DEPTH`` copies of the text, are taken of them.  A text that needs more is marked ``unfinished``.
 LAYER_BYTES = 64 << 20
+DEPTH = 64
 REDACTED = "[REDACTED]"
 
 
@@ -131,8 +133,8 @@ def _in_place(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | N
     """
     pieces, starts, ends, at = [], [], [], 0
     size = len(layer.text)
-    start = np.arange(size) if layer.start is None else layer.start
-    end = np.arange(1, size + 1) if layer.end is None else layer.end
+    start = np.arange(size, dtype=np.int32) if layer.start is None else layer.start
+    end = np.arange(1, size + 1, dtype=np.int32) if layer.end is None else layer.end
     for m in pattern.finditer(layer.text):
         made = decode(m.group())
         if made == m.group() or not made:
@@ -141,7 +143,7 @@ def _in_place(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | N
         pieces += [layer.text[at:a], made]
         unit, rest = divmod(b - a, len(made))
         if rest or m.group()[:: max(1, unit)] != m.group()[0] * len(made):
-            first, last = np.full(len(made), start[a]), np.full(len(made), end[b - 1])
+            first, last = np.full(len(made), start[a], np.int32), np.full(len(made), end[b - 1], np.int32)
         else:
             first, last = start[a:b:unit], end[a + unit - 1 : b : unit]
         starts += [start[at:a], first]
@@ -176,9 +178,22 @@ def _unpack(raw: bytes, room: int) -> tuple[bytes | None, bool]:
     return None, False
 
 
-def _decoded_runs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
-    made, unfinished = [], False
+class Room:
+    """What is left of ``LAYER_BYTES`` for streams, the runs decoded so far, and the parts of the text with layers not taken."""
+
+    def __init__(self, size: int) -> None:
+        self.left = size
+        self.runs: set[tuple[str, tuple[int, int]]] = set()
+        self.unscanned: list[tuple[int, int]] = []
+
+
+def _decoded_runs(layer: Layer, room: Room) -> list[Layer]:
+    made = []
     for m in _BASE64.finditer(layer.text):
+        spot = (m.group(), layer.origin(*m.span()))
+        if spot in room.runs:  # a layer decoded in place has the runs of the one before
+            continue
+        room.runs.add(spot)
         run = m.group().rstrip("=")
         if len(run) % 4 == 1:
             run = run[:-1]
@@ -193,46 +208,54 @@ def _decoded_runs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
             last = np.cumsum(widths)
             first = last - widths
             quads = (len(run) + 3) // 4
-            lefts = np.array([layer.origin(a + 4 * q, a + 4 * q + 1)[0] for q in range(quads)])
-            rights = np.array([layer.origin(min(b, a + 4 * q + 4) - 1, min(b, a + 4 * q + 4))[1] for q in range(quads)])
+            lefts = np.array([layer.origin(a + 4 * q, a + 4 * q + 1)[0] for q in range(quads)], np.int32)
+            rights = np.array([layer.origin(min(b, a + 4 * q + 4) - 1, min(b, a + 4 * q + 4))[1] for q in range(quads)], np.int32)
             made.append(Layer(text, lefts[first // 3], rights[(last - 1) // 3], f"{layer.path}>base64"))
             continue
         depth = f"{layer.path}>base64"
+        left, right = layer.origin(a, m.end())
         while raw is not None:  # streams may hold streams
-            raw, short = _unpack(raw, room)
-            unfinished |= short
+            raw, short = _unpack(raw, room.left)
+            if short:
+                room.unscanned.append((left, right))
             if raw is None:
                 break
             depth += ">unpacked"
-            room -= len(raw)
+            room.left -= len(raw)
             text = _text_of(raw)
             if text is not None:
-                left, right = layer.origin(a, m.end())
-                made.append(Layer(text, np.full(len(text), left), np.full(len(text), right), depth))
+                made.append(Layer(text, np.full(len(text), left, np.int32), np.full(len(text), right, np.int32), depth))
                 break
-            if room <= 0:
-                unfinished = True
-                break
-    return made, unfinished
+    return made
+
 
+def layers(text: str, layer_bytes: int = LAYER_BYTES, unscanned: list[tuple[int, int]] | None = None) -> Iterator[tuple[Layer, bool]]:
+    """The text and all layers inside it, until no new one appears; with each, whether something in it was not taken.
 
-def layers(text: str, layer_bytes: int = LAYER_BYTES) -> Iterator[tuple[Layer, bool]]:
-    """The text and all layers inside it, until no new one appears; with each, whether the room ran out."""
+    ``unscanned`` is given the parts of the text that such layers come from.
+    """
     work, seen = deque([Layer(text, None, None)]), set()
-    room = layer_bytes
+    room, steps = Room(layer_bytes), DEPTH * len(text) + layer_bytes
     while work:
         layer = work.popleft()
+        before = len(room.unscanned)
         if layer.path:
             mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), layer.origin(0, len(layer.text)))
             if mark in seen:
                 continue
             seen.add(mark)
-            room -= len(layer.text)
-            if room <= 0:
+            # what streams hold has its own bound
+            steps -= 0 if layer.path.endswith(">unpacked") else len(layer.text)
+            if steps <= 0:
+                part = layer.origin(0, len(layer.text))
+                if unscanned is not None:
+                    unscanned.append(part)
                 yield Layer("", None, None, layer.path), True
-                return
-        found, short = _decoded_runs(layer, room)
-        yield layer, short
+                continue
+        found = _decoded_runs(layer, room)
+        if unscanned is not None:
+            unscanned += room.unscanned[before:]
+        yield layer, len(room.unscanned) > before
         if "%" in layer.text and (made := _in_place(layer, _PERCENT, _unpercent, "url")):
             found.append(made)
         if ("\\" in layer.text or "&" in layer.text) and (made := _in_place(layer, _ESCAPE, _unescape, "unicode")):
@@ -240,10 +263,12 @@ def layers(text: str, layer_bytes: int = LAYER_BYTES) -> Iterator[tuple[Layer, b
         work += [x for x in found if x.text]
 
 
-def find(text: str, layer_bytes: int = LAYER_BYTES) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, str]], bool]:
+def find(
+    text: str, layer_bytes: int = LAYER_BYTES, unscanned: list[tuple[int, int]] | None = None
+) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, str]], bool]:
     """Findings of the text itself, those only its decoded layers show (with the way there), and whether room ran out."""
     base, more, unfinished = [], {}, False
-    for layer, short in layers(text, layer_bytes):
+    for layer, short in layers(text, layer_bytes, unscanned):
         unfinished |= short
         if not layer.path:
             base = scan(layer.text)
@@ -290,8 +315,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``spans`` joins kind:start:end (code points of the original text, end exclusive) of the findings in the text
     and in its decoded layers, by start, then kind, then end; equal spans once.  ``n_decoded`` counts those
     only the layers show, ``paths`` lists the ways to them.  Null and empty texts have no findings
-    and the digest of empty text.  ``unfinished`` marks a text whose layers take more than ``layer_bytes``: its
-    remaining layers are not unpacked, so that a decompression bomb is reported and costs no memory.  Repeated rows and
+    and the digest of empty text.  ``unfinished`` marks a text whose streams unpack to more than ``layer_bytes``,
+    so that a decompression bomb is reported and costs no memory, or whose other layers go deeper than ``DEPTH`` copies of a long
+    text: all that fits is scanned, also after the first layer that does not.  Repeated rows and
     null ids are answered like any other; other columns are not read.
     """
     ship_package(docs.sparkSession)
@@ -313,7 +339,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
     """``docs`` with every finding in ``text_col`` replaced by ``REDACTED``, rows and columns as they were.
 
     ``length_col`` names a column that holds the text's length in characters; it is kept true.  Null stays null.
-    Texts without findings are unchanged.
+    Texts without findings are unchanged.  A part of a text with layers that ``scan_secrets`` would report as ``unfinished``
+    is replaced too, as nobody has seen what is in it.
     """
     ship_package(docs.sparkSession)
     place = docs.columns.index(text_col)
@@ -322,8 +349,10 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
         for batch in slices(batches, text_col):
             clean = []
             for text in batch.column(place).to_pylist():
-                base, more, _ = find(text, layer_bytes) if text else ([], [], False)
-                clean.append(redact(text, base + [m[:3] for m in more]) if base or more else text)
+                unseen: list[tuple[int, int]] = []
+                base, more, _ = find(text, layer_bytes, unseen) if text else ([], [], False)
+                spans = base + [m[:3] for m in more] + [("unscanned", *part) for part in unseen]
+                clean.append(redact(text, spans) if spans else text)
             yield batch.set_column(place, batch.schema.field(place), pa.array(clean, batch.schema.field(place).type))
 
     done = docs.mapInArrow(run, docs.schema)

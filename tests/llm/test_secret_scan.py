@@ -95,6 +95,27 @@ def test_a_bomb_is_reported():
     assert not secret.find(bomb)[2]
 
 
+def test_long_and_nested_layers_use_up_no_room():
+    """Layers decoded in place are no longer than the text, so room for streams does not bound them."""
+    text = "%41 \\u0041 " + "x " * 2000 + WRAPS["url twice"](KEY)
+    _, more, unfinished = secret.find(text, layer_bytes=1000)
+    assert not unfinished and {kind for kind, *_ in more} == {"access"}
+
+
+def test_what_follows_a_bomb_is_scanned():
+    bomb = base64.b64encode(zlib.compress(b"z" * (8 << 20))).decode()
+    text = f"{bomb} {WRAPS['url'](KEY)} {WRAPS['base64'](KEY)}"
+    parts = []
+    _, more, unfinished = secret.find(text, 1 << 20, parts)
+    assert unfinished and len(more) == 2 and parts == [(0, len(bomb))]
+
+
+def test_redaction_leaves_nothing_unscanned(docs_of):
+    hidden = base64.b64encode(zlib.compress(b"z" * (8 << 20) + f" {KEY} ".encode())).decode()
+    row = secret.redact_secrets(docs_of([(1, f"x {hidden} y")]), length_col="n_chars", layer_bytes=1 << 20).first()
+    assert row.text == "x [REDACTED] y" and row.n_chars == len(row.text)
+
+
 def test_damaged_and_invalid_layers():
     packed = base64.b64encode(gzip.compress(b"x" * 100)[:20]).decode()
     for text in (packed, "%ff%fe%zz%", "\\ud800 \\uZZZZ &nosuch; &#1114112;", "A" * 17, "=" * 40, "+/" * 30):
