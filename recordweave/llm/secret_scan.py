@@ -8,13 +8,12 @@ seen before is not taken again, which also stops streams that unpack to themselv
 
 Every layer knows, for each of its characters, the part of the original text it comes from.
 A finding is reported as that part: exact for in-place decoding, the group of four characters for
-base64, and the whole run for a compressed stream.
+base64, and the whole stream for what is packed.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import html
@@ -43,15 +42,29 @@ MIN_VALUE = 8
 #: Shortest base64 run that is decoded.
 MIN_BASE64 = 16
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+#: Lines of base64 that are broken at a width.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+[\x20\t]*\r?\n[\x20\t]*)+[A-Za-z0-9+/_-]+={0,2}" % MIN_BASE64)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 #: What a stream begins with, and what unpacks it.
-_STREAMS = (
-    (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
-    (b"\x78", lambda: zlib.decompressobj(15)),
-    (b"BZh", bz2.BZ2Decompressor),
-    (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
+_STREAMS = {
+    0x1F: lambda: zlib.decompressobj(31), 0x78: lambda: zlib.decompressobj(15), 0x42: bz2.BZ2Decompressor, 0xFD: lzma.LZMADecompressor,
+}
+#: Text inside bytes that are not all text.
+_STRETCH = re.compile(
+    rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}"
 )
+#: Byte strings written with percent signs or escapes, and the tokens of one byte each.
+_PERCENT_TOKEN = r"%[0-9A-Fa-f]{2}|[!-$&-~]"
+_ESCAPE_TOKEN = r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|&#[0-9]{1,3};|&#[xX][0-9A-Fa-f]{1,2};|\\[ntr\\'"]|[\x20-\[\]-~]"""
+_BYTE_STRINGS = (
+    ("%", "url", re.compile(f"(?:{_PERCENT_TOKEN})+"), re.compile(_PERCENT_TOKEN)),
+    ("\\", "unicode", re.compile(f"(?:{_ESCAPE_TOKEN})+"), re.compile(_ESCAPE_TOKEN)),
+    ("&#", "unicode", re.compile(f"(?:{_ESCAPE_TOKEN})+"), re.compile(_ESCAPE_TOKEN)),
+)
+_NAMED = {"n": 10, "t": 9, "r": 13}
 #: Bytes that the compressed streams of a text may unpack to together.  Other layers are no longer than what they come
 #: from; as many characters, and ``DEPTH`` copies of the text, are taken of them.  A text that needs more is marked ``unfinished``.
 LAYER_BYTES = 64 << 20
@@ -164,71 +177,123 @@ def _text_of(raw: bytes) -> str | None:
     return None if re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
 
-def _unpack(raw: bytes, room: int) -> tuple[bytes | None, bool]:
-    """What a compressed stream holds, and whether it needs more than ``room`` bytes."""
-    for magic, make in _STREAMS:
-        if raw.startswith(magic):
-            stream = make()
-            try:
-                out = stream.decompress(raw, max(1, room))
-            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                continue
-            if out:
-                return out, len(out) >= room and not stream.eof
-    return None, False
-
-
 class Room:
     """What is left of ``LAYER_BYTES`` for streams, the runs decoded so far, and the parts of the text with layers not taken."""
 
     def __init__(self, size: int) -> None:
         self.left = size
         self.runs: set[tuple[str, tuple[int, int]]] = set()
+        self.streams: set[tuple[bytes, int, int]] = set()
         self.unscanned: list[tuple[int, int]] = []
 
 
+def _unpack(raw: bytes, at: int, room: int) -> tuple[bytes, int, bool, bool]:
+    """What the streams that follow each other here hold, where they end, whether they are whole, and whether they need more than ``room`` bytes."""
+    out, place, whole = [], at, False
+    while _MAGIC.match(raw, place):
+        stream, most = _STREAMS[raw[place]](), max(1, room)
+        try:
+            piece = stream.decompress(memoryview(raw)[place:], most)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            break
+        out.append(piece)
+        room -= len(piece)
+        if not stream.eof:
+            return b"".join(out), len(raw), False, len(piece) >= most
+        whole, place = True, len(raw) - len(stream.unused_data)
+    return b"".join(out), place, whole, False
+
+
+def _layer_of(raw: bytes, first: np.ndarray, last: np.ndarray, path: str) -> Layer:
+    """The text of bytes whose origins are known."""
+    text = raw.decode()
+    if len(text) == len(raw):
+        return Layer(text, first, last, path)
+    starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+    return Layer(text, first[starts], last[np.append(starts[1:], len(raw)) - 1], path)
+
+
+def _layers_of(raw: bytes, first: np.ndarray, last: np.ndarray, path: str, room: Room, texts: bool = True) -> list[Layer]:
+    """Texts in bytes (not those of the bytes themselves without ``texts``) and in the streams that begin anywhere in them."""
+    made, work = [], [(raw, first, last, path, texts)]
+    while work:
+        raw, first, last, path, texts = work.pop()
+        if texts and _text_of(raw) is not None:
+            made.append(_layer_of(raw, first, last, path))
+            continue
+        if texts:
+            made += [_layer_of(m.group(), first[slice(*m.span())], last[slice(*m.span())], path) for m in _STRETCH.finditer(raw)]
+        at = 0
+        while m := _MAGIC.search(raw, at):
+            out, end, whole, short = _unpack(raw, m.start(), room.left)
+            at = end if whole or short else m.start() + 1
+            if not out:
+                continue
+            left, right = int(first[m.start()]), int(last[end - 1])
+            mark = (hashlib.blake2b(out, digest_size=16).digest(), left, right)
+            if mark in room.streams:  # streams may hold themselves
+                continue
+            room.streams.add(mark)
+            room.left -= len(out)
+            if short:
+                room.unscanned.append((left, right))
+            work.append((out, np.full(len(out), left, np.int32), np.full(len(out), right, np.int32), f"{path}>unpacked", True))
+    return made
+
+
 def _decoded_runs(layer: Layer, room: Room) -> list[Layer]:
     made = []
-    for m in _BASE64.finditer(layer.text):
+    for m in [*_BASE64.finditer(layer.text), *(_WRAPPED.finditer(layer.text) if "\n" in layer.text else ())]:
         spot = (m.group(), layer.origin(*m.span()))
         if spot in room.runs:  # a layer decoded in place has the runs of the one before
             continue
         room.runs.add(spot)
         run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        a, b = m.start(), m.start() + len(run)
-        text = _text_of(raw)
-        if text is not None:
-            widths = np.array([len(c.encode()) for c in text]) if len(text) < len(raw) else np.ones(len(text), np.int64)
-            last = np.cumsum(widths)
-            first = last - widths
-            quads = (len(run) + 3) // 4
-            lefts = np.array([layer.origin(a + 4 * q, a + 4 * q + 1)[0] for q in range(quads)], np.int32)
-            rights = np.array([layer.origin(min(b, a + 4 * q + 4) - 1, min(b, a + 4 * q + 4))[1] for q in range(quads)], np.int32)
-            made.append(Layer(text, lefts[first // 3], rights[(last - 1) // 3], f"{layer.path}>base64"))
+        place = np.arange(m.start(), m.start() + len(run), dtype=np.int32)
+        if "\n" in run:
+            place = place[[c not in " \t\r\n" for c in run]]
+            run = "".join(run.split())
+        left = place if layer.start is None else layer.start[place]
+        right = place + 1 if layer.end is None else layer.end[place]
+        if m.group().endswith("="):  # a run has its padding
+            right = right.copy()
+            right[-1] = layer.origin(m.end() - 1, m.end())[1]
+        run = run.replace("-", "+").replace("_", "/")
+        for shift in range(4):  # characters of the same alphabet may stand before
+            size = len(run) - shift
+            size -= size % 4 == 1
+            raw = base64.b64decode(run[shift : shift + size] + "=" * (-size % 4))
+            quad = shift + 4 * (np.arange(len(raw), dtype=np.int32) // 3)
+            made += _layers_of(raw, left[quad], right[np.minimum(quad + 4, len(run)) - 1], f"{layer.path}>base64", room)
+    for mark, name, strings, token in _BYTE_STRINGS:
+        if mark not in layer.text:
             continue
-        depth = f"{layer.path}>base64"
-        left, right = layer.origin(a, m.end())
-        while raw is not None:  # streams may hold streams
-            raw, short = _unpack(raw, room.left)
-            if short:
-                room.unscanned.append((left, right))
-            if raw is None:
-                break
-            depth += ">unpacked"
-            room.left -= len(raw)
-            text = _text_of(raw)
-            if text is not None:
-                made.append(Layer(text, np.full(len(text), left, np.int32), np.full(len(text), right, np.int32), depth))
-                break
+        for m in strings.finditer(layer.text):
+            if mark not in m.group():
+                continue
+            spot = (m.group(), layer.origin(*m.span()))
+            if spot in room.runs:
+                continue
+            room.runs.add(spot)
+            tokens = [(_byte(x.group()), x.start() + m.start(), x.end() + m.start()) for x in token.finditer(m.group())]
+            raw = bytes(x[0] for x in tokens)
+            if _MAGIC.search(raw):
+                first = np.array([layer.origin(a, b)[0] for _, a, b in tokens], np.int32)
+                last = np.array([layer.origin(a, b)[1] for _, a, b in tokens], np.int32)
+                made += _layers_of(raw, first, last, f"{layer.path}>{name}", room, texts=False)
     return made
 
 
+def _byte(token: str) -> int:
+    if len(token) == 1:
+        return ord(token)
+    if token[0] == "%" or token[:2] in ("\\x", "\\u"):
+        return int(token[-2:], 16)
+    if token[0] == "&":
+        return (int(token[3:-1], 16) if token[2] in "xX" else int(token[2:-1])) & 255
+    return _NAMED.get(token[1], ord(token[1]))
+
+
 def layers(text: str, layer_bytes: int = LAYER_BYTES, unscanned: list[tuple[int, int]] | None = None) -> Iterator[tuple[Layer, bool]]:
     """The text and all layers inside it, until no new one appears; with each, whether something in it was not taken.
 

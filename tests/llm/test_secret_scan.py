@@ -116,6 +116,41 @@ def test_redaction_leaves_nothing_unscanned(docs_of):
     assert row.text == "x [REDACTED] y" and row.n_chars == len(row.text)
 
 
+@pytest.mark.parametrize("before", ["", "/", "x/", "key_", "abc", "id-12/", "https://h.example/auth/", "Basic ", "0" * 50])
+@pytest.mark.parametrize("wrap", ["base64", "gzip", "xz"])
+def test_base64_after_letters_of_its_alphabet(before, wrap):
+    found, more = spans(f"see {before}{WRAPS[wrap](KEY)} there")
+    assert found == [] or before.startswith("0")
+    assert "access" in {kind for kind, _ in more}
+
+
+@pytest.mark.parametrize("width", [20, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_wrapped_base64(width, end):
+    filler = " ".join(str(random.Random(3).random()) for _ in range(20))
+    for raw in (f"{'x ' * 18}{KEY} {filler}".encode(), gzip.compress(f"{filler} {KEY} {filler[:50]}".encode())):
+        line = base64.b64encode(raw).decode()
+        text = "begin\n" + end.join(line[i : i + width] for i in range(0, len(line), width)) + "\nend"
+        assert {kind for kind, _ in spans(text)[1]} == {"access"}
+
+
+def test_later_members_of_a_stream():
+    plain = b"nothing here at all, move on"
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        text = base64.b64encode(pack(plain) + pack(f"x {KEY}".encode())).decode()
+        assert {kind for kind, _ in spans(text)[1]} == {"access"}
+    half = base64.b64encode(gzip.compress(KEY[:10].encode()) + gzip.compress(KEY[10:].encode())).decode()
+    assert {kind for kind, _ in spans(half)[1]} == {"access"}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_streams_as_byte_strings(pack):
+    raw = pack(f"the key is {KEY} ok".encode())
+    for text in ("".join(f"%{b:02x}" for b in raw), quote(raw), "".join(f"\\x{b:02x}" for b in raw), repr(raw), "".join(f"\\u00{b:02x}" for b in raw),
+                 "".join(f"&#{b};" for b in raw)):
+        assert {kind for kind, _ in spans(f"a {text} b")[1]} == {"access"}, text
+
+
 def test_damaged_and_invalid_layers():
     packed = base64.b64encode(gzip.compress(b"x" * 100)[:20]).decode()
     for text in (packed, "%ff%fe%zz%", "\\ud800 \\uZZZZ &nosuch; &#1114112;", "A" * 17, "=" * 40, "+/" * 30):
