@@ -32,17 +32,20 @@ LANGUAGE_EXCERPTS = 64
 LANGUAGES = 256
 PIECE = 512
 UNDETERMINED = "und"
-#: A text of at least so many symbols that costs more bits per symbol in every language is no text of any of them.
-MIN_SYMBOLS, MAX_BITS = 64, 5.0
-_OTHER = 255
+#: A text of at least ``MIN_SYMBOLS`` that costs more bits per symbol than the limit of its best language is no text of any of them.
+#: The limit is ``MAX_BITS``, or what ``LIMIT_PART`` of such pieces of the language's own labelled texts cost if that is more.
+MIN_SYMBOLS, MAX_BITS, LIMIT_PART = 64, 5.0, 0.99
+#: Most letters with a column in the table of transitions; those of other letters are searched for.
+COLUMNS = 254
 
 
 @dataclass(frozen=True)
 class Sample:
-    """What is learned: the names of the languages and a text for each, in the order of the names."""
+    """What is learned: the names of the languages, a text for each, in the order of the names, and limits in bits per symbol."""
 
     names: tuple[str, ...]
     texts: tuple[str, ...]
+    limits: tuple[float, ...] = ()
 
 
 def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Sample:
@@ -75,11 +78,27 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     first = cut.groupBy("lang", "hash").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 1), "hash"))
     chosen = first.withColumn("rank", rank).where(F.col("rank") <= fetched).orderBy("lang", "rank").collect()
-    texts = {n: "" for n in names}
+    texts, outside = {n: "" for n in names}, {n: [] for n in names}
     for row in chosen:
         if len(texts[row.lang]) < share:
             texts[row.lang] += " " + row.text
-    return Sample(tuple(names), tuple(texts[n][:share] for n in names))
+        elif len(outside[row.lang]) < LANGUAGE_EXCERPTS:
+            outside[row.lang].append(row.text)
+    learned = [texts[n][:share] for n in names]
+    return Sample(tuple(names), tuple(learned), tuple(_limit(t, outside[n]) for n, t in zip(names, learned, strict=True)))
+
+
+def _limit(text: str, outside: list[str]) -> float:
+    """The limit of a language, from labelled texts outside its sample; without any, one half of the sample is parsed by the other."""
+    if not outside:
+        text, outside = text[: len(text) // 2], [text[len(text) // 2 :]]
+    pieces = [p for t in outside for i in range(0, len(t), MIN_SYMBOLS) if len(p := t[i : i + MIN_SYMBOLS]) == MIN_SYMBOLS]
+    if not pieces:
+        return MAX_BITS
+    model = Model(Sample(("",), (text,)))
+    total, sizes, letters = model.phrases(pieces)
+    cost = (total[:, 0] * model.bits[0] / np.maximum(1, sizes))[letters > 0]
+    return max(MAX_BITS, float(np.quantile(cost, LIMIT_PART, method="higher"))) if len(cost) else MAX_BITS
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -137,39 +156,64 @@ def _squeeze(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Model:
-    """Automata of all languages in one table: row of a state, column of a symbol, next row and whether a phrase ended."""
+    """Automata of all languages in one table: row of a state, column of a symbol, next row and whether a phrase ended.
+
+    The most frequent letters have a column.  Transitions by other letters stand in a sorted list; the column after the letters
+    holds what a letter that no sample has does.
+    """
 
     def __init__(self, sample: Sample) -> None:
         self.names = sample.names
+        self.limits = np.array(sample.limits or [MAX_BITS] * len(sample.names))
         lowered = [t.lower() for t in sample.texts]
         points = _points("".join(lowered))
-        known = np.unique(points[_letters()[points] == 1])
-        counts = {int(c): int((points == c).sum()) for c in known}
-        known = sorted(sorted(counts, key=lambda c: (-counts[c], c))[: _OTHER - 1])
-        self.code = np.where(_letters() == 1, _OTHER, 0).astype(np.uint8)
-        self.code[known] = np.arange(1, len(known) + 1)
-        self.code[self.code == _OTHER] = len(known) + 1
-        self.width = len(known) + 2
+        known, times = np.unique(points[_letters()[points] == 1], return_counts=True)
+        known = known[np.lexsort((known, -times))]
+        self.other = min(COLUMNS, len(known)) + 1
+        self.rare = max(0, len(known) - COLUMNS)
+        self.code = np.where(_letters() == 1, self.other, 0).astype(np.int32)
+        self.code[known[:COLUMNS]] = np.arange(1, self.other)
+        self.code[known[COLUMNS:]] = np.arange(self.other + 1, self.other + 1 + self.rare)
+        self.width = self.other + 1
         tables, self.root, self.bits, rows = [], [], [], 0
+        keys, targets = [], []
         for text in lowered:
             raw = self.code[_points(text)]
             symbols, _ = _squeeze(raw, np.array([len(raw)]))
             moves = suffix_automaton(symbols.tolist())
-            for c in [c for c in moves[0] if c == len(known) + 1]:
-                del moves[0][c]
             start = np.full(self.width, rows * self.width * 2 + 1, np.int32)
             for c, to in moves[0].items():
-                start[c] = (rows + to) * self.width * 2 + 1
+                if c < self.width:
+                    start[c] = (rows + to) * self.width * 2 + 1
             table = np.tile(start, (len(moves), 1))
             for state, to in enumerate(moves):
+                for c in [c for c in to if c > self.other] if self.rare else []:
+                    keys.append((rows + state) * self.rare + c - self.width)
+                    targets.append((rows + to.pop(c)) * self.width * 2)
                 if to:
                     table[state, list(to)] = (rows + np.fromiter(to.values(), np.int64)) * self.width * 2
-            table[:, len(known) + 1] = rows * self.width * 2 + 1  # a letter no sample has is a phrase of its own
             tables.append(table)
             self.root.append(rows * self.width * 2)
             self.bits.append(np.log2(len(symbols) + 2))
             rows += len(moves)
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.targets = np.append(np.array(targets, np.int32)[order], np.int32(0))
+
+    def _searched(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """As the table: the next row and whether a phrase ended, by language and piece, for letters without a column."""
+        roots = np.array(self.root, np.int32)[:, None]
+        rare = (letters - self.width).astype(np.int64)
+
+        def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            wanted = at // self.width * np.int64(self.rare) + rare
+            place = np.searchsorted(self.keys, wanted)
+            return self.keys[place] == wanted, self.targets[place]
+
+        there, to = look(states)
+        first, begin = look(np.broadcast_to(roots >> 1, states.shape))
+        return np.where(there, to, np.where(first, begin, roots) + 1)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: phrases by language, symbols, letters."""
@@ -178,6 +222,8 @@ class Model:
         lengths = np.fromiter(map(len, lowered), np.int64, len(lowered))
         raw = self.code[points]
         symbols, sizes = _squeeze(raw, lengths)
+        searched = self.rare > 0 and bool((symbols > self.other).any())
+        columns = np.minimum(symbols, self.other) if searched else symbols
         count = np.concatenate([[0], np.cumsum(symbols != 0)])
         ends = np.cumsum(sizes)
         letters = count[ends] - count[ends - sizes]
@@ -195,7 +241,12 @@ class Model:
             k = active[step]
             if not k:
                 break
-            found = self.table[state[:, :k] + symbols[start[:k] + step]]
+            found = self.table[state[:, :k] + columns[start[:k] + step]]
+            if searched:
+                here = symbols[start[:k] + step]
+                some = np.flatnonzero(here > self.other)
+                if len(some):
+                    found[:, some] = self._searched(state[:, some], here[some])
             broken[:, :k] += found & 1
             state[:, :k] = found >> 1
         total = np.zeros((len(texts), len(self.names)), np.int64)
@@ -223,7 +274,7 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float], lis
     score = np.clip(1 - least / np.where(second > 0, second, 1), 0, 1)
     found = letters > 0
     names = [model.names[i] if f else UNDETERMINED for i, f in zip(best, found, strict=True)]
-    strange = ~found | ((sizes >= MIN_SYMBOLS) & (least > MAX_BITS))
+    strange = ~found | ((sizes >= MIN_SYMBOLS) & (least > model.limits[best]))
     return names, np.where(found, score, 0.0).tolist(), np.where(found, least, 0.0).tolist(), strange.tolist()
 
 
@@ -232,7 +283,7 @@ def identify(docs: DataFrame, sample: Sample, id_col: str = "doc_id", text_col:
 
     Null and empty texts and texts without letters are ``und`` with score 0 and bits 0.  On a tie
     the first language by name wins with score 0.  Without labelled rows everything is ``und``.
-    Rejected are ``und`` rows and those of ``MIN_SYMBOLS`` or more above ``MAX_BITS``.  Rows with a null id and repeated rows are
+    Rejected are ``und`` rows and those of ``MIN_SYMBOLS`` or more above the limit of the language predicted.  Rows with a null id and repeated rows are
     answered like any other; other columns are not read.
     """
     ship_package(docs.sparkSession)

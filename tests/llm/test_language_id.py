@@ -48,6 +48,46 @@ def test_automaton_knows_exactly_the_substrings():
         assert known(part) == (part in word)
 
 
+def many_letters(rng, n):
+    """Text of a language with about 3,000 letters, in words of one to three."""
+    words = ["".join(chr(0x4E00 + int(3000 * rng.random() ** 2)) for _ in range(rng.randint(1, 3))) for _ in range(4000)]
+
+    def text(size):
+        out = ""
+        while len(out) < size:
+            out += words[int(len(words) * rng.random() ** 2)]
+        return out[:size]
+
+    return [text(n_) for n_ in n]
+
+
+def test_phrases_of_letters_without_a_column_equal_brute_force(monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(lang, "COLUMNS", 5)
+    model = lang.Model(SAMPLE)
+    texts = ["".join(rng.choice("thecasonlip tè.Q") for _ in range(n)) for n in [0, 1, 5, 40, 700, 1500] * 5]
+    assert model.phrases(texts)[0].tolist() == [[parse(t, s) for s in SAMPLE.texts] for t in texts]
+    monkeypatch.undo()
+    known, *texts = many_letters(rng, [3000, 10, 200, 900])
+    assert len(set(known)) > 400
+    sample = lang.Sample(("en", "zh"), (SAMPLE.texts[0], known))
+    assert lang.Model(sample).phrases(texts)[0].tolist() == [[parse(t, s) for s in sample.texts] for t in texts]
+
+
+def test_a_language_of_thousands_of_letters_is_kept_and_its_gibberish_is_not():
+    rng = random.Random(5)
+    known, *texts = many_letters(rng, [32000] + [300] * 60)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 8))) for _ in range(500)]
+    latin = " ".join(rng.choice(words) for _ in range(6000))[:32000]
+    limits = (lang._limit(latin, []), lang._limit(known, texts[:30]))
+    model = lang.Model(lang.Sample(("en", "zh"), (latin, known), limits))
+    names, _, _, rejected = lang.predict(model, texts[30:])
+    assert set(names) == {"zh"} and not any(rejected)
+    strange = "".join(rng.choice("qxzjkvwy") for _ in range(500)), "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(500))
+    assert lang.predict(model, list(strange))[3] == [True, True]
+    assert limits[0] == lang.MAX_BITS < limits[1] < 15
+
+
 def test_edge_texts():
     names, scores, _, rejected = lang.predict(lang.Model(SAMPLE), ["", "12 34 ###", "the hat", "中文", "the cat " * 5000])
     assert names[:3] == ["und", "und", "en"] and names[4] == "en"
