@@ -11,6 +11,7 @@ from recordweave.llm import chat_format, jump_shards, language_id
 from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.mixing_coder import read_ids, write_ids
 from recordweave.llm.packing import pack
+from recordweave.llm.periodic_runs import periodic_runs
 from recordweave.llm.robust_outliers import quality
 from recordweave.llm.secret_scan import scan_secrets
 from recordweave.llm.simhash_gray import simhash_groups
@@ -141,3 +142,8 @@ def op3_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "ids")
     files = write_ids(_table(spark, sf_dir, "documents"), folder)
     return read_ids(spark, folder, files)
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"), plant=True)

@@ -19,7 +19,7 @@ def test_query_equals_its_sql(spark, connection, name):
 
 
 def test_each_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
