@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordweave.llm import chat_format, jump_shards, language_id
 from recordweave.llm.decontaminate import contaminated
+from recordweave.llm.jaccard_join import jaccard_groups
 from recordweave.llm.mixing_coder import read_ids, write_ids
 from recordweave.llm.packing import pack
 from recordweave.llm.periodic_runs import periodic_runs
@@ -147,3 +148,32 @@ def op3_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
+#: DuckDB's way to lower-case A to Z alone.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_jaccard_join"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s FROM words
+), cells AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM cells a JOIN cells b USING (shingle) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least.component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) least USING (doc_id)
+"""
