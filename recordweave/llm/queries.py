@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.llm import chat_format, jump_shards, language_id
+from recordweave.llm.collocations import collocations
 from recordweave.llm.decontaminate import contaminated
 from recordweave.llm.jaccard_join import jaccard_groups
 from recordweave.llm.mixing_coder import read_ids, write_ids
@@ -161,10 +162,10 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op12_jaccard_join"] = rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s FROM words
+         ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words
 ), cells AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
 ), links AS (
@@ -177,3 +178,41 @@ WITH RECURSIVE words AS (
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least.component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) least USING (doc_id)
 """
+
+
+@_query
+def op11_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents")).drop("cut")
+
+
+SQL["op11_stripes"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), said AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM said, (VALUES (1), (2), (3), (4), (5)) sizes(m) WHERE len(w) >= m
+), f AS (
+  SELECT lang, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, phrase HAVING count(*) >= 100
+), spoken AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM said GROUP BY lang
+), inner_parts AS (
+  SELECT f.lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longest
+  FROM f, range(1, 6) starts(i), range(2, 5) sizes(m) WHERE m < len(w) AND i + m - 1 <= len(w) GROUP BY 1, 2
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, n, k,
+         CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM (SELECT f.*, k FROM f, range(1, 5) places(k) WHERE k < len(w)) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN spoken ON spoken.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(best.phrase)) AS rank,
+       best.phrase, a, l, r, n, score
+FROM best LEFT JOIN inner_parts i ON i.lang = best.lang AND i.phrase = best.phrase
+WHERE i.longest IS NULL OR i.longest < a
+QUALIFY rank <= 2000
+"""
