@@ -4,15 +4,15 @@ Every prefix of up to four words keys a stripe: an associative counter of the wo
 stripes on their own, stripes of the same prefix are merged element by element, and everything asked for is read from them:
 
 * extensions: an element is the count of the prefix with that word behind it;
-* prefix totals: the sum of a stripe, in which one element stands for all other followers and for ends of pieces, is the count
-  of the prefix itself, and that of the empty prefix is the number of words;
+* prefix totals: a prefix has its own count as an element in the stripe of its shorter prefix; the stripe of the empty prefix, in which one
+  element stands for all rare words, adds up to the number of words;
 * subsumption maxima: the largest element of a stripe, and the largest element that ends a phrase with a word in front, tell
   whether a longer phrase occurs as often.  Counts never grow with length, so phrases one word longer decide.
 
 A phrase that occurs ``least`` times holds only phrases that do.  So chunks first ask (``chunks``) which of their words, pairs and,
 where both pairs are frequent, triples are frequent everywhere, and keep elements of their stripes only for phrases made of
-those; the rest goes into the element for all others.  That only leaves out phrases below ``least``.  Merging spreads a stripe's
-elements over all tasks, so the stripe of a frequent word is never held whole.
+those.  That only leaves out phrases below ``least``.  The elements go out packed, one list for each bucket of the hash
+space, where they are added up; so the stripe of a frequent word is spread over all buckets and never held whole.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +42,11 @@ RANK_PARTS = 64
 SEPARATORS = bytes(b"."[0] if chr(c) in ".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 _STOP = b"."
 
-STRIPES = "lang string, prefix string, words array<string>, times array<bigint>"
+#: Fewer buckets than for hashes, as a logarithm: only frequent phrases are merged.
+FEWER_BITS = 3
+
+STRIPES = "bucket bigint, lang string, prefixes array<string>, words array<string>, times array<bigint>"
+ELEMENTS = "lang string, prefix string, word string, times bigint"
 
 
 class _Sequence:
@@ -55,6 +60,7 @@ class _Sequence:
         self.hashes = ch.mixed(ch.word_hashes(self.names) ^ seed)[self.numbers]
         stops = np.flatnonzero(self.numbers == self.names.index(_STOP))
         place = np.arange(len(self.numbers))
+        self.text = pa.array(self.names, pa.binary()).cast(pa.string())
         #: Words from each place to the end of its piece.
         self.room = stops[np.searchsorted(stops, place)] - place
 
@@ -69,8 +75,11 @@ class _Sequence:
         """Whether a phrase of ``size`` words starts at each place."""
         return self.room >= size
 
-    def phrase(self, at: int, size: int) -> str:
-        return b" ".join(self.names[n] for n in self.numbers[at : at + size].tolist()).decode()
+    def phrases(self, size: int, at: np.ndarray) -> pa.Array:
+        """The phrases of ``size`` words at some places, as text."""
+        if not size:
+            return pa.array([""] * len(at), pa.string())
+        return pc.binary_join_element_wise(*[self.text.take(pa.array(self.numbers[at + k])) for k in range(size)], " ")
 
     def frequent(self, told: ch.Totals, most: int, least: int) -> list[np.ndarray]:
         """Whether the phrase of 1, 2, ..., ``most`` words at each place may occur ``least`` times, as far as was told for up to ``ASKED`` words."""
@@ -108,42 +117,39 @@ def _ask_more(rows: pa.Table, chunk: int, told: ch.Totals, size: int, bits: int,
     return ch.request(chunk, *ch.counted(np.concatenate(asked)), bits)
 
 
-def _counted_stripes(rows: pa.Table, chunk: int, told: ch.Totals, most: int, least: int) -> pa.Table:
-    """The stripes of a chunk.  The empty word stands for all followers without an element."""
-    out: list[tuple] = []
+def _counted_stripes(rows: pa.Table, chunk: int, told: ch.Totals, most: int, bits: int, least: int) -> pa.Table:
+    """The elements of a chunk's stripes, in one list for each bucket.  The empty word stands for all rare words."""
+    names = ["bucket", "lang", "prefixes", "words", "times"]
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
+    out = [pa.schema(list(zip(names, kinds, strict=True))).empty_table()]
     for s in _sequences(rows):
-        may = s.frequent(told, most, least)
-        words = s.whole(1)
-        for size in range(most):
-            # All places of the prefix, the empty one at every word.
-            held = may[size] & words if size == 0 else may[size]
-            more = held & may[size + 1]
-            stripes: dict[int, tuple[list, list]] = {}
-            first: dict[int, int] = {}
-            at = np.flatnonzero(held)
+        for size, may in enumerate(s.frequent(told, most, least)[1:]):
+            at = np.flatnonzero(may)
+            cells, first, times = np.unique(s.grams(size + 1, at), return_index=True, return_counts=True)
+            bucket = (cells >> np.uint64(64 - bits) if bits else np.zeros(len(cells), np.uint64)).astype(np.int64)
+            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else np.zeros(1, np.int64)
+            ends = pa.array(cuts, pa.int32())
+            place = at[first]
+            lists = [s.phrases(size, place), s.text.take(pa.array(s.numbers[place + size])), pa.array(times, pa.int64())]
+            columns = [pa.array(bucket[cuts[:-1]]), pa.array([s.lang] * (len(cuts) - 1), pa.string())]
+            columns += [pa.ListArray.from_arrays(ends, part) for part in lists]
+            out.append(pa.Table.from_arrays(columns, names))
+            if not size:
+                rest = int(s.whole(1).sum()) - len(at)
+                out.append(pa.Table.from_arrays([pa.array([c], k) for c, k in zip([0, s.lang, [""], [""], [rest]], kinds, strict=True)], names))
             if not len(at):
                 break
-            keys = s.grams(size, at) if size else np.zeros(len(at), np.uint64)
-            prefix, start, inverse, total = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-            there = more[at]
-            cells, place, times = np.unique(s.grams(size + 1, at[there]), return_index=True, return_counts=True)
-            owner = inverse[there][place]
-            rest = total - np.bincount(owner, weights=times, minlength=len(prefix)).astype(np.int64)
-            word = s.numbers[at[there][place] + size]
-            for i, w, n in zip(owner.tolist(), word.tolist(), times.tolist(), strict=True):
-                stripe = stripes.setdefault(i, ([], []))
-                stripe[0].append(s.names[w].decode())
-                stripe[1].append(n)
-            for i, n in enumerate(rest.tolist()):
-                if n:
-                    stripe = stripes.setdefault(i, ([], []))
-                    stripe[0].append("")
-                    stripe[1].append(n)
-                first[i] = int(at[start[i]])
-            out += [(s.lang, s.phrase(first[i], size), *stripe) for i, stripe in stripes.items()]
-    columns = list(zip(*out, strict=True)) if out else [[]] * 4
-    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "prefix", "words", "times"])
+    return pa.concat_tables([table.cast(out[0].schema) for table in out])
+
+
+def _added_up(table: pa.Table) -> pa.Table:
+    """The elements of a bucket, with the counts of all chunks."""
+    lists = [table.column(c).combine_chunks() for c in ("prefixes", "words", "times")]
+    owner = pc.list_parent_indices(lists[0])
+    flat = [table.column("lang").combine_chunks().take(owner), *[part.flatten() for part in lists]]
+    names = ["lang", "prefix", "word", "times"]
+    summed = pa.Table.from_arrays(flat, names).group_by(names[:3]).aggregate([("times", "sum")])
+    return summed.select(["lang", "prefix", "word", "times_sum"]).rename_columns(names)
 
 
 def stripe_elements(docs: DataFrame, text_col: str, lang_col: str, least: int, most: int) -> DataFrame:
@@ -155,10 +161,13 @@ def stripe_elements(docs: DataFrame, text_col: str, lang_col: str, least: int, m
     for size in range(3, min(ASKED, most) + 1):
         more = ch.with_totals(chunks, replies, bits, partial(_ask_more, size=size, bits=bits, least=least), ch.REQUESTS)
         replies = replies.unionByName(materialize(ch.tally(more, least), "collocation-replies"))
-    stripes = ch.with_totals(chunks, replies, bits, partial(_counted_stripes, most=most, least=least), STRIPES)
-    elements = stripes.select("lang", "prefix", F.explode(F.arrays_zip("words", "times")).alias("e"))
-    merged = elements.groupBy("lang", "prefix", F.col("e.words").alias("word")).agg(F.sum("e.times").alias("times"))
-    return materialize(merged, "collocation-stripes")
+    merge = max(0, bits - FEWER_BITS)
+    stripes = ch.with_totals(chunks, replies, bits, partial(_counted_stripes, most=most, bits=merge, least=least), STRIPES)
+
+    def add_up(bucket: pa.Table) -> pa.Table:
+        return _added_up(bucket)
+
+    return materialize(stripes.groupBy("bucket").applyInArrow(add_up, ELEMENTS), "collocation-stripes")
 
 
 def collocations(
@@ -178,27 +187,23 @@ def collocations(
         raise ValueError("phrases have two words at least")
     ship_package(docs.sparkSession)
     elements = stripe_elements(docs, text_col, lang_col, least, most)
-    named = F.col("word") != ""
-    totals = elements.groupBy("lang", "prefix").agg(
-        F.sum("times").alias("total"), F.max(F.when(named, F.col("times"))).alias("widest")
-    )
-    totals = materialize(totals, "collocation-totals")
-    spoken = broadcast_if_small(totals.where("prefix = ''").select("lang", F.col("total").alias("n")))
-    words = F.split("prefix", " ", -1)
-    phrases = elements.where(named & (F.col("times") >= least) & (F.col("prefix") != "")).select(
-        "lang", F.concat_ws(" ", "prefix", "word").alias("phrase"), F.col("times").alias("a"), F.concat(words, F.array("word")).alias("w")
+    spoken = elements.where("prefix = ''").groupBy("lang").agg(F.sum("times").alias("n"))
+    named = elements.where((F.col("word") != "") & (F.col("times") >= least))
+    totals = named.select(
+        "lang", F.when(F.col("prefix") == "", F.col("word")).otherwise(F.concat_ws(" ", "prefix", "word")).alias("phrase"), F.col("times").alias("total")
     )
+    phrases = totals.where(F.instr("phrase", " ") > 0).select("lang", "phrase", F.col("total").alias("a"), F.split("phrase", " ", -1).alias("w"))
     behind = lambda k: F.array_join(F.slice("w", k + 1, F.size("w")), " ")
     longer = phrases.where(F.size("w") > 2).groupBy("lang", behind(F.lit(1)).alias("phrase")).agg(F.max("a").alias("before"))
-    after = totals.select("lang", F.col("prefix").alias("phrase"), "widest")
+    after = named.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("times").alias("widest"))
     kept = phrases.join(longer, ["lang", "phrase"], "left").join(after, ["lang", "phrase"], "left").where(
         F.coalesce(F.greatest("before", "widest"), F.lit(0)) < F.col("a")
     )
     cuts = kept.select("lang", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("cut")).select(
         "lang", "phrase", "a", "cut", F.array_join(F.slice("w", F.lit(1), F.col("cut")), " ").alias("head"), behind(F.col("cut")).alias("tail")
     )
-    part = lambda name, count: totals.select("lang", F.col("prefix").alias(name), F.col("total").alias(count))
-    scored = cuts.join(part("head", "l"), ["lang", "head"]).join(part("tail", "r"), ["lang", "tail"]).join(spoken, "lang")
+    part = lambda name, count: totals.select("lang", F.col("phrase").alias(name), F.col("total").alias(count))
+    scored = cuts.join(part("head", "l"), ["lang", "head"]).join(part("tail", "r"), ["lang", "tail"]).join(broadcast_if_small(spoken), "lang")
     whole = lambda name: f"cast({name} as decimal(19, 0))"
     score = F.expr(f"(1000 * {whole('a')} * {whole('n')}) div ({whole('l')} * {whole('r')})")
     best = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("best"))
