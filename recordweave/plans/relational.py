@@ -1,15 +1,15 @@
 """The normalised relational model: catalogs, person, employment, evaluation and event.
 
-Every load writes a version folder and switches to it at the end, so a failed load
-leaves the current version as it was.  The folder of an incremental load holds only the rows
-that came in: new catalog entries, persons and events, and the employments and scores that were replaced or
-updated.  A version is read as its base, the last whole load, with the folders after it laid over: rows of
-tables that only grow are stacked, of the others the one of the highest version counts.  After ``COMPACT_AFTER``
-folders a load writes everything again and is the next base.
+The tables are Parquet, cut into a fixed number of buckets of their key (``buckets``).  A full load writes all of them
+into a folder of its own and switches to it at the end, so a failed load leaves the tables as they were.  An incremental load first writes what
+comes in: new catalog entries, persons and events, and the employments and scores that replace or update others.  After the audit it
+rewrites the buckets these rows fall into, in place; files of other buckets stay.  Both go on where they were cut: stages
+that are finished are kept, and of a stage or table that was being written, the buckets that have a commit record.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -40,20 +40,18 @@ from recordweave.operators.lookup import (
     resolve_events,
     split_checked,
 )
-from recordweave.operators.dedupe import keep_one
-from recordweave.operators.numbering import assign_ids
+from recordweave.operators.numbering import number_rows
 from recordweave.operators.sampling import head_n, restrict_to_keys
 from recordweave.operators.writes import (
     absent_rows,
     cascade_delete,
-    replace_by_key,
     replaced_rows,
-    upsert_latest,
     upserted_rows,
 )
-from recordweave.plans.stages import StageStore, describe_frame, side_by_side
+from recordweave.plans.buckets import BUCKET, Buckets, laid_over, present, read_buckets, touched, write_buckets
+from recordweave.plans.stages import ResumeError, StageStore, describe_frame, side_by_side
 from recordweave.sources.tables import empty_table, read_record, write_record
-from recordweave.storage import delete_folder
+from recordweave.storage import child_names, delete_folder, materialize
 
 # Table columns of the target model.
 CODE_SCHEMA = "id long, codigo string"
@@ -115,13 +113,21 @@ RULES = (
 # Precision and scale of numbers, length of a cycle.
 SALARY, SCORE, CYCLE_LENGTH = (14, 2), (4, 1), 16
 
-# Key of the tables whose rows are replaced or updated; the others only grow.
-MUTABLE: Mapping[str, tuple[str, ...]] = {
+# Unique key of every loaded table, and the part of it that tells the bucket.
+KEYS: Mapping[str, tuple[str, ...]] = {
+    "orgao": ("sigla",),
+    "cargo": ("nome",),
+    "pessoa": ("cpf",),
     "vinculo": ("pessoa_id",),
     "avaliacao_desempenho": ("pessoa_id", "ciclo_avaliacao"),
+    "evento": ("id_evento_origem",),
 }
-VERSION = "_version"
-COMPACT_AFTER = 32
+BUCKET_KEYS = {name: key[:1] for name, key in KEYS.items()}
+CATALOGS = ("orgao", "cargo")
+#: Buckets of a model, unless its first load says otherwise.  Enough that one of them is a matter of minutes.
+BUCKETS = 16
+
+_STATE = "version long, generation long, buckets int, highest string"
 
 ROW_ORDER, EVENT_ORDER = "_row_order", "_event_order"
 
@@ -268,52 +274,80 @@ def without_people(tables: Tables, removed: DataFrame) -> dict[str, DataFrame]:
 # --- the load -------------------------------------------------------------------------
 
 
-def current_version(spark: SparkSession, target: str) -> int:
+@dataclass(frozen=True)
+class State:
+    """What a model consists of: its last load, the full load whose folder holds the tables, buckets, and the highest ids."""
+
+    version: int = 0
+    generation: int = 0
+    buckets: int = BUCKETS
+    highest: Mapping[str, int] | None = None
+
+    def next_id(self, name: str) -> int:
+        return (self.highest or {}).get(name, 0)
+
+
+def read_state(spark: SparkSession, target: str) -> State:
     record = read_record(spark, f"{target}/current")
-    return 0 if record is None else record["version"]
+    if record is None:
+        return State()
+    return State(record["version"], record["generation"], record["buckets"], json.loads(record["highest"]))
+
 
+def current_version(spark: SparkSession, target: str) -> int:
+    return read_state(spark, target).version
 
-def base_of(spark: SparkSession, target: str, version: int) -> int:
-    """The whole load a version builds on."""
-    record = read_record(spark, f"{target}/v{version}/base")
-    return version if record is None else record["base"]
 
+def table_path(target: str, state: State, name: str) -> str:
+    return f"{target}/v{state.generation}/stages/{name}"
+
+
+def bucket_count(state: State, name: str) -> int:
+    """Catalogs are small and kept in one bucket."""
+    return 1 if name in CATALOGS else state.buckets
 
-def read_model(spark: SparkSession, target: str, version: int | None = None) -> dict[str, DataFrame]:
-    """The tables of a version, by default the current one; seeds and empty tables before any."""
-    version = current_version(spark, target) if version is None else version
-    if version == 0:
-        return empty_model(spark)
-    return _laid_over(spark, target, base_of(spark, target, version), version)
 
+def read_model(spark: SparkSession, target: str, only: Mapping[str, Sequence[int]] | None = None) -> dict[str, DataFrame]:
+    """The tables as they are now; seeds and empty tables before any load.
 
-def _laid_over(spark: SparkSession, target: str, base: int, version: int) -> dict[str, DataFrame]:
-    """The tables from the folders of all versions from ``base`` on."""
+    ``only`` names buckets of tables; their others are not read.
+    """
+    state = read_state(spark, target)
+    if state.version == 0:
+        return empty_model(spark)
     tables = {name: fixed_catalog(spark, name) for name in SEEDS}
-    for name in SCHEMAS.keys() - SEEDS.keys():
-        folders = [f"{target}/v{v}/stages/{name}" for v in range(base, version + 1)]
-        if name not in MUTABLE:
-            tables[name] = spark.read.schema(SCHEMAS[name]).parquet(*folders)
-            continue
-        rows = spark.read.schema(f"{SCHEMAS[name]}, {VERSION} long").parquet(*folders)
-        latest = rows if len(folders) == 1 else keep_one(rows, MUTABLE[name], [], latest_by=VERSION)
-        tables[name] = latest.drop(VERSION)
+    for name in KEYS:
+        rows = read_buckets(spark, table_path(target, state, name), SCHEMAS[name], (only or {}).get(name))
+        tables[name] = rows.drop(BUCKET)
     return {name: tables[name] for name in SCHEMAS}
 
 
-def drop_versions(spark: SparkSession, target: str, keep: int) -> list[int]:
-    """Delete the folders that neither the current version nor the ``keep`` versions before it read; their numbers."""
-    current = current_version(spark, target)
-    first = min((base_of(spark, target, v) for v in range(max(1, current - keep), current + 1)), default=1)
-    gone = []
-    for version in range(first - 1, 0, -1):
-        if read_record(spark, f"{target}/v{version}/base") is None:
-            break  # removed before
+def drop_versions(spark: SparkSession, target: str) -> list[int]:
+    """Delete the folders of loads that the tables no longer lie in; their numbers.  Frames that earlier loads returned are gone with them."""
+    state = read_state(spark, target)
+    found = sorted(int(name[1:]) for name in child_names(spark, target) if name[:1] == "v" and name[1:].isdigit())
+    gone = [v for v in found if v <= state.version and v != state.generation]
+    for version in gone:
         delete_folder(spark, f"{target}/v{version}")
-        gone.append(version)
     return gone
 
 
+def _apply(spark: SparkSession, target: str, state: State, version: int, batches: int) -> dict[str, dict[str, int]]:
+    """Lay the rows an incremental load has written over the buckets they fall into; what was written and what was there already."""
+
+    def lay_over(name: str) -> dict[str, int]:
+        path, delta_path = table_path(target, state, name), f"{target}/v{version}/stages/{name}"
+        wanted = present(spark, delta_path)
+        if not wanted:
+            return {"buckets_written": 0, "buckets_reused": 0}
+        delta = read_buckets(spark, delta_path, SCHEMAS[name])
+        whole = laid_over(read_buckets(spark, path, SCHEMAS[name], wanted), delta, [BUCKET, *KEYS[name]])
+        done = write_buckets(whole, path, f"{target}/v{version}/applied/{name}", wanted, batches)
+        return {"buckets_written": len(done.written), "buckets_reused": len(done.reused)}
+
+    return dict(zip(KEYS, side_by_side(spark, [partial(lay_over, name) for name in KEYS]), strict=True))
+
+
 def load_model(
     spark: SparkSession,
     consolidated: DataFrame,
@@ -326,35 +360,40 @@ def load_model(
     row_order: Sequence[str] = ("cpf",),
     event_order: Sequence[str] = ("cpf",),
     check: bool = True,
-    compact_after: int = COMPACT_AFTER,
+    buckets: int = BUCKETS,
+    batches: int = 1,
 ) -> LoadResult:
-    """Load consolidated rows, and optionally events, as the next version under ``target``.
+    """Load consolidated rows, and optionally events, into the model under ``target``.
 
     A full load starts from empty tables and keeps only the fixed catalogs; an
-    incremental one from the current version.  Codes and persons are inserted if
+    incremental one adds to those that are there.  Codes and persons are inserted if
     absent, employment is replaced per person, scores are updated per person and
     cycle, events are inserted if their id is absent.  Where several rows share
     a person, ``row_order`` tells which comes first (and makes the person) and
     which last (and makes the employment and the score); ``event_order`` does
-    the same for events with one id.  The audit of an incremental load looks at the rows
-    that came in, and at the keys of all.
+    the same for events with one id.
+
+    An incremental load reads the buckets that its rows fall into and writes only those; its audit looks at the rows
+    that came in, and at the keys of those buckets.  ``buckets`` counts for a full load; an incremental one keeps what there is.  ``batches``
+    is the number of jobs that write a table; a load that was cut goes on after the last of them if ``resume`` is set.  Until it does, a model
+    whose buckets were being rewritten takes no other load.
     """
     started = time.perf_counter()
     target = target.rstrip("/")
-    before = current_version(spark, target)
-    current = read_model(spark, target, before)
-    old = current if incremental else empty_model(spark)
-    version = before + 1
-    base = base_of(spark, target, before) if incremental and before else version
-    if version - base >= compact_after:
-        base = version
-    whole = base == version
+    state = read_state(spark, target)
+    version = state.version + 1
+    whole = not incremental or not state.version
+    applying = read_record(spark, f"{target}/applying")
+    if applying is not None and applying["version"] == version and not whole and not resume:
+        raise ResumeError(f"load {version} was cut while it rewrote buckets of {target}; resume it first")
+    if whole:
+        state = State(state.version, version, buckets)
     settings = {
         "row_limit": row_limit,
         "incremental": incremental,
         "on_violation": on_violation,
-        "base_version": before,
-        "base": base,
+        "base_version": state.version,
+        "buckets": state.buckets,
         "row_order": list(row_order),
         "event_order": list(event_order),
         "consolidated": describe_frame(consolidated),
@@ -362,31 +401,37 @@ def load_model(
     }
     store = StageStore(spark, f"{target}/v{version}", settings, resume)
     rows = {"rows": F.count(F.lit(1))}
-    new: dict[str, DataFrame] = {name: old[name] for name in SEEDS}
+    empty = empty_model(spark)
+    new: dict[str, DataFrame] = {name: empty[name] for name in SEEDS}
     fresh: dict[str, DataFrame] = {}
 
-    def save(name: str, build: Callable[[], DataFrame], after: Sequence[str] = ()) -> DataFrame:
-        """Write the rows of this version; return the whole table."""
+    def old(name: str, only: Sequence[int] | None = None) -> DataFrame:
+        """The table before this load, or some buckets of it."""
+        if whole:
+            return empty[name]
+        return read_buckets(spark, table_path(target, state, name), SCHEMAS[name], only).drop(BUCKET)
 
-        def versioned() -> DataFrame:
-            df = build()
-            return df.withColumn(VERSION, F.lit(version).cast("bigint")) if name in MUTABLE else df
+    def near(name: str, incoming: DataFrame) -> DataFrame:
+        """The part of the table before this load that can share a key with incoming rows."""
+        return empty[name] if whole else old(name, touched(incoming, BUCKET_KEYS[name], state.buckets))
 
-        written = store.run(name, versioned, rows, after=after).table
-        fresh[name] = written.drop(VERSION)
-        if name not in MUTABLE:
-            new[name] = fresh[name] if whole else old[name].unionByName(fresh[name])
-        return new.get(name, fresh[name])
+    def save(name: str, build: Callable[[], DataFrame], after: Sequence[str] = ()) -> DataFrame:
+        """Write the rows of this load."""
+        cut = Buckets(BUCKET_KEYS[name], bucket_count(state, name), batches)
+        ids = {**rows, "highest": F.max("id")}
+        fresh[name] = store.run(name, build, ids, after=after, buckets=cut).table.drop(BUCKET)
+        return fresh[name]
 
-    def with_new(name: str, added: DataFrame, order: Sequence[str]) -> DataFrame:
-        numbered = assign_ids(added, old[name], order).select(*old[name].columns)
-        return old[name].unionByName(numbered) if whole else numbered
+    def numbered(name: str, added: DataFrame, order: Sequence[str]) -> DataFrame:
+        return number_rows(added, order, "id", after=state.next_id(name)).select(*empty[name].columns)
 
     limited = consolidated if row_limit is None else head_n(consolidated, row_order, row_limit)
     people = loadable_people(limited.withColumn(ROW_ORDER, F.struct(*row_order)))
 
     def catalog(name: str, column: str, code: str) -> DataFrame:
-        return save(name, lambda: with_new(name, new_codes(people, column, old[name], code), [code]))
+        added = save(name, lambda: numbered(name, new_codes(people, column, old(name), code), [code]))
+        new[name] = laid_over(old(name), added, KEYS[name])
+        return new[name]
 
     side_by_side(
         spark,
@@ -411,29 +456,31 @@ def load_model(
     if on_violation == "fail":
         require_no_violations(violations, "cpf", [*[c.refers for c in catalogs], *limits])
 
-    persons = save(
-        "pessoa",
-        lambda: with_new(
-            "pessoa",
-            absent_rows(old["pessoa"], person_rows(ok), ["cpf"], [ROW_ORDER]).drop(ROW_ORDER),
-            ["cpf"],
-        ),
-        after=["verificados"],
-    )
+    # Persons that rows or events may belong to: new ones, and those there are in the same buckets.
+    known = empty["pessoa"]
+    if not whole:
+        keys = ok.select("cpf")
+        if events is not None:
+            keys = keys.unionByName(events.select(normalize_key(F.col("cpf")).alias("cpf")))
+        known = near("pessoa", keys)
+
+    def absent_persons() -> DataFrame:
+        absent = absent_rows(known, person_rows(ok), KEYS["pessoa"], [ROW_ORDER])
+        return numbered("pessoa", absent.drop(ROW_ORDER), KEYS["pessoa"])
+
+    persons = laid_over(known, save("pessoa", absent_persons, after=["verificados"]), KEYS["pessoa"])
 
     def employment() -> DataFrame:
-        table, key = old["vinculo"], MUTABLE["vinculo"]
-        number = partial(assign_ids, existing=table, order_by=key)
-        incoming = employment_rows(ok, persons)
-        if whole:
-            return replace_by_key(table, incoming, key, [ROW_ORDER], number)
-        return replaced_rows(incoming, key, [ROW_ORDER], number).select(*table.columns)
+        number = partial(numbered_rows, "vinculo")
+        return replaced_rows(employment_rows(ok, persons), KEYS["vinculo"], [ROW_ORDER], number).select(*empty["vinculo"].columns)
+
+    def numbered_rows(name: str, added: DataFrame) -> DataFrame:
+        return number_rows(added, KEYS[name], "id", after=state.next_id(name))
 
     def evaluations() -> DataFrame:
-        table, key = old["avaliacao_desempenho"], MUTABLE["avaliacao_desempenho"]
-        number = partial(assign_ids, existing=table, order_by=key)
-        write = upsert_latest if whole else upserted_rows
-        return write(table, evaluation_rows(ok, persons), key, ["nota"], [ROW_ORDER], number)
+        name = "avaliacao_desempenho"
+        incoming = materialize(evaluation_rows(ok, persons), "evaluations")
+        return upserted_rows(near(name, incoming), incoming, KEYS[name], ["nota"], [ROW_ORDER], partial(numbered_rows, name))
 
     def resolved_events() -> DataFrame:
         chosen = events
@@ -446,19 +493,16 @@ def load_model(
 
     def load_events() -> DataFrame:
         if events is None:
-            save("evento", lambda: old["evento"] if whole else old["evento"].limit(0))
+            save("evento", lambda: empty["evento"])
             return empty_table(spark, f"cpf string, {SKIP_REASON} string")
         resolved = store.run("eventos_resolvidos", resolved_events, rows, after=["pessoa"]).table
-        key, order = ["id_evento_origem"], [EVENT_ORDER]
-        save(
-            "evento",
-            lambda: with_new(
-                "evento",
-                absent_rows(old["evento"], event_rows(resolved), key, order).drop(*order),
-                key,
-            ),
-            after=["eventos_resolvidos"],
-        )
+        key, order = KEYS["evento"], [EVENT_ORDER]
+
+        def absent_events() -> DataFrame:
+            incoming = event_rows(resolved)
+            return numbered("evento", absent_rows(near("evento", incoming), incoming, key, order).drop(*order), key)
+
+        save("evento", absent_events, after=["eventos_resolvidos"])
         return resolved.filter(F.col(SKIP_REASON).isNotNull()).drop(
             "pessoa_id", "tipo_evento_id", "_date", EVENT_ORDER
         )
@@ -472,11 +516,22 @@ def load_model(
         ],
     )
 
-    write_record(spark, f"{target}/v{version}/base", {"base": base}, "base long")
-    tables = _laid_over(spark, target, base, version)
+    if whole:
+        reached = {**new, **fresh}
+    else:
+        only = {name: present(spark, store.path(name)) for name in KEYS}
+        reached = {**new, "pessoa": persons}
+        for name in KEYS.keys() - {"pessoa", *CATALOGS}:
+            reached[name] = laid_over(old(name, only[name]), fresh[name], KEYS[name])
     if check:
-        require_integrity(audit(RULES, tables, None if whole else {**tables, **fresh}))
-    write_record(spark, f"{target}/current", {"version": version}, "version long")
+        require_integrity(audit(RULES, reached, None if whole else {**reached, **fresh}))
+    counts = dict(store.counts)
+    if not whole:
+        write_record(spark, f"{target}/applying", {"version": version}, "version long")
+        counts |= {name: {**counts[name], **done} for name, done in _apply(spark, target, state, version, batches).items()}
+    highest = {name: max(state.next_id(name), store.counts[name]["highest"]) for name in KEYS}
+    record = {"version": version, "generation": state.generation, "buckets": state.buckets, "highest": json.dumps(highest)}
+    write_record(spark, f"{target}/current", record, _STATE)
     return LoadResult(
-        tables, violations, skipped, dict(store.counts), round(time.perf_counter() - started, 3), version
+        read_model(spark, target), violations, skipped, counts, round(time.perf_counter() - started, 3), version
     )

@@ -15,6 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
+from recordweave.plans.buckets import BUCKET, Buckets, committed, forget, write_buckets
 from recordweave.sources.tables import read_record, write_record
 from recordweave.storage import delete_folder, temporary_tables
 
@@ -76,6 +77,7 @@ class StageStore:
     The marker is written after the table, so a stage cut short is run again.
     It keeps the settings of the run, the observed row counts and the schema.
     A stage is taken from disk only when the stages it comes ``after`` were.
+    A stage in buckets also keeps a record of each finished bucket, and one that was cut goes on with the others.
     """
 
     spark: SparkSession
@@ -99,9 +101,13 @@ class StageStore:
     def path(self, name: str) -> str:
         return f"{self.folder}/stages/{name}"
 
+    def log(self, name: str) -> str:
+        """Folder of a stage's commit records; records of other settings are not found."""
+        return f"{self.folder}/commits/{name}/{self.fingerprint}"
+
     def clear(self) -> None:
         """Forget all stages: markers first, so none outlives its table."""
-        for part in ("markers", "stages"):
+        for part in ("markers", "commits", "stages"):
             delete_folder(self.spark, f"{self.folder}/{part}")
 
     def _finished(self, name: str) -> Stage | None:
@@ -126,16 +132,25 @@ class StageStore:
         after: Sequence[str] = (),
         hidden: Sequence[str] = (),
         check: Callable[[Mapping[str, int]], None] | None = None,
+        buckets: Buckets | None = None,
     ) -> Stage:
         """The stage's table, from disk when it is finished, otherwise built and written.
 
         Counters are observed directly under the write, where every partition
         counts exactly once even if executors are lost.  Columns in ``hidden`` are
         for the counters only and not written.  ``check`` sees the counts before the stage counts as finished, and may raise.
+        With ``buckets`` the table is cut by its key (see ``buckets``); ``counts`` then has its rows and the buckets that were
+        there already.
         """
         may_reuse = self.resume and self._reused.issuperset(after)
         stage = self._finished(name) if may_reuse else None
-        if stage is None:
+        if stage is None and buckets:
+            if not (may_reuse and committed(self.spark, self.log(name))):
+                forget(self.spark, self.path(name), self.log(name))
+            else:
+                self._reused.add(name)
+            stage = self._write(name, build, counters, split_by, hidden, check, buckets)
+        elif stage is None:
             stage = self._write(name, build, counters, split_by, hidden, check)
         else:
             self._reused.add(name)
@@ -151,17 +166,23 @@ class StageStore:
         split_by: str | None,
         hidden: Sequence[str],
         check: Callable[[Mapping[str, int]], None] | None,
+        buckets: Buckets | None = None,
     ) -> Stage:
         started = time.perf_counter()
         with temporary_tables(self.spark):
             df = build()
-            seen = Observation(name)
-            watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()]).drop(*hidden)
-            writer = watched.write.mode("overwrite")
-            if split_by:
-                writer = writer.partitionBy(split_by)
-            writer.parquet(self.path(name))
-        counts = {n: int(v or 0) for n, v in seen.get.items()}
+            if buckets:
+                watched = df.withColumn(BUCKET, buckets.of())
+                done = write_buckets(watched, self.path(name), self.log(name), range(buckets.count), buckets.batches, counters)
+                counts = {**done.counts, "buckets_reused": len(done.reused)}
+            else:
+                seen = Observation(name)
+                watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()]).drop(*hidden)
+                writer = watched.write.mode("overwrite")
+                if split_by:
+                    writer = writer.partitionBy(split_by)
+                writer.parquet(self.path(name))
+                counts = {n: int(v or 0) for n, v in seen.get.items()}
         if check:
             check(counts)
         seconds = round(time.perf_counter() - started, 3)

@@ -54,6 +54,23 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    files, target = _located(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _located(spark, path)
+    files.mkdirs(target)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, whose being there is all it says."""
+    files, target = _located(spark, path)
+    files.create(target, True).close()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import pathlib
 from functools import reduce
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,21 +11,24 @@ from recordweave.operators.integrity import audit
 from recordweave.operators.lookup import SKIP_REASON, DomainError
 from recordweave.operators.merge import DuplicateKeyError, merge_by_joins
 from recordweave.operators.profile import duplicate_profile
+from recordweave.plans import relational
+from recordweave.plans.buckets import Buckets, present, touched
 from recordweave.plans.consolidate import SourceInput, consolidate, export
 from recordweave.plans.relational import (
+    KEYS,
     RULES,
-    base_of,
     current_version,
     drop_versions,
     load_model,
     read_model,
+    read_state,
     without_people,
 )
 from recordweave.plans.stages import ResumeError, StageStore
 from recordweave.sources.contracts import CONSOLIDATED_COLUMNS, ESOCIAL, GESTAO, RH, SOURCES, SourceSpec
 from recordweave.sources.delimited import read_delimited
 from recordweave.sources.tables import read_record
-from recordweave.storage import checkpoint_root
+from recordweave.storage import checkpoint_root, delete_folder
 
 K1, K2, K3, K4 = (f"{i}" * 11 for i in (1, 2, 3, 4))
 
@@ -270,12 +274,14 @@ def test_violations_stop_the_load(spark, run, target):
     assert read_model(spark, target)["pessoa"].count() == 0
 
 
+def contents(rows, tables, hidden=()):
+    return {name: rows(table.drop(*hidden) if name == "vinculo" else table) for name, table in tables.items()}
+
+
 def test_loading_twice_changes_nothing_but_employment_ids(spark, run, target, rows):
-    first = load(spark, run, target).tables
-    second = load(spark, run, target, incremental=True).tables
-    for name, table in first.items():
-        hidden = ["id"] if name == "vinculo" else []
-        assert rows(second[name].drop(*hidden)) == rows(table.drop(*hidden)), name
+    first = contents(rows, load(spark, run, target).tables, ["id"])
+    second = contents(rows, load(spark, run, target, incremental=True).tables, ["id"])
+    assert second == first
     assert current_version(spark, target) == 2
 
 
@@ -299,26 +305,109 @@ def test_incremental_load_modes(spark, run, target, rows):
 
 
 def test_an_incremental_load_writes_what_comes_in(spark, run, target, rows):
-    load(spark, run, target)
+    before = {name: table.count() for name, table in load(spark, run, target).tables.items()}
     one = run.consolidated.filter(F.col("cpf") == K4).withColumn("avaliacao_desempenho", F.lit(2.0))
     result = load_model(spark, one, None, target, incremental=True)
     written = {name: result.counts[name]["rows"] for name in ("orgao", "cargo", "pessoa", "vinculo", "avaliacao_desempenho", "evento")}
     assert written == {"orgao": 0, "cargo": 0, "pessoa": 0, "vinculo": 1, "avaliacao_desempenho": 1, "evento": 0}
-    assert {n: t.count() for n, t in result.tables.items()} == {n: t.count() for n, t in read_model(spark, target, 1).items()}
+    assert {n: t.count() for n, t in result.tables.items()} == before
     assert audit(RULES, result.tables).filter("violations > 0").count() == 0
     scores = {r.pessoa_id: str(r.nota) for r in result.tables["avaliacao_desempenho"].collect()}
     assert scores == {1: "3.0", 3: "2.0"}
 
 
-def test_folders_are_put_together_and_old_versions_removed(spark, run, target, rows):
+def files_of(target, name):
+    """Data files of a table by bucket, with their times."""
+    found = sorted(Path(f"{target}/v1/stages/{name}").glob("_bucket=*/*.parquet"))
+    return {(f.parent.name, f.name): f.stat().st_mtime_ns for f in found}
+
+
+def test_untouched_buckets_keep_their_files(spark, run, target, rows):
+    load(spark, run, target, buckets=64)
+    before = {name: files_of(target, name) for name in KEYS}
+    one = run.consolidated.filter(F.col("cpf") == K4).withColumn("avaliacao_desempenho", F.lit(2.0))
+    result = load_model(spark, one, None, target, incremental=True, buckets=7)
+    after = {name: files_of(target, name) for name in KEYS}
+    changed = {name for name in KEYS if before[name] != after[name]}
+    assert changed == {"vinculo", "avaliacao_desempenho"}
+    for name in changed:
+        other = {b for b, _ in before[name].keys() ^ after[name].keys()}
+        assert len(other) == 1 and result.counts[name]["buckets_written"] == 1
+    assert read_state(spark, target).buckets == 64  # a model keeps its buckets
+
+
+def test_a_load_reads_only_the_buckets_it_touches(spark, run, target):
+    load(spark, run, target, buckets=64)
+    state = read_state(spark, target)
+    near = read_model(spark, target, {"pessoa": touched(run.consolidated.filter(F.col("cpf") == K4), ["cpf"], state.buckets)})
+    assert len(near["pessoa"].inputFiles()) <= 3 and [r.cpf for r in near["pessoa"].collect()] == [K4]
+    plan = near["pessoa"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
+
+
+def test_old_folders_are_removed(spark, run, target, rows):
+    for again in (False, True, True):
+        result = load(spark, run, target, incremental=again)
+    before = contents(rows, result.tables)
+    assert drop_versions(spark, target) == [2, 3]
+    assert drop_versions(spark, target) == []
+    assert contents(rows, read_model(spark, target)) == before
     load(spark, run, target)
-    for _ in range(3):
-        result = load(spark, run, target, incremental=True, compact_after=2)
-    assert [base_of(spark, target, v) for v in (1, 2, 3, 4)] == [1, 1, 3, 3]
-    before = {name: rows(table) for name, table in result.tables.items()}
-    assert drop_versions(spark, target, 0) == [2, 1]
-    assert drop_versions(spark, target, 0) == []
-    assert {name: rows(table) for name, table in read_model(spark, target).items()} == before
+    assert drop_versions(spark, target) == [1]
+
+
+def changed_rows(run):
+    return run.consolidated.withColumns({"nome": F.concat("nome", F.lit(" X")), "avaliacao_desempenho": F.lit(1.5)})
+
+
+def test_a_load_cut_while_it_rewrites_buckets_goes_on(spark, run, target, tmp_path, rows, monkeypatch):
+    whole, options = str(tmp_path / "whole"), {"on_violation": "quarantine", "incremental": True, "batches": 4}
+    for folder in (target, whole):
+        load(spark, run, folder, buckets=8)
+    events = run.accepted["esocial"]
+    want = contents(rows, load_model(spark, changed_rows(run), events, whole, **options).tables)
+    original, calls = relational.write_buckets, []
+
+    def broken(df, path, log, wanted, batches):
+        calls.append(path)
+        if path.endswith("avaliacao_desempenho"):
+            raise RuntimeError("lost")
+        return original(df, path, log, wanted, batches)
+
+    monkeypatch.setattr(relational, "write_buckets", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        load_model(spark, changed_rows(run), events, target, **options)
+    monkeypatch.setattr(relational, "write_buckets", original)
+    assert current_version(spark, target) == 1
+    with pytest.raises(ResumeError, match="resume it first"):
+        load_model(spark, changed_rows(run), events, target, **options)
+    result = load_model(spark, changed_rows(run), events, target, resume=True, **options)
+    assert contents(rows, result.tables) == want
+    assert result.counts["vinculo"]["buckets_written"] == 0 < result.counts["vinculo"]["buckets_reused"]
+    assert result.counts["avaliacao_desempenho"]["buckets_reused"] == 0
+    assert audit(RULES, result.tables).filter("violations > 0").count() == 0
+
+
+def test_a_stage_goes_on_with_its_missing_buckets(spark, run, target, rows):
+    want = contents(rows, load(spark, run, target, buckets=8).tables)
+    lost = present(spark, f"{target}/v1/stages/pessoa")[0]
+    (log,) = Path(f"{target}/v1/commits/pessoa").iterdir()
+    for path in (f"{target}/current", f"{target}/v1/markers/pessoa", f"{log}/{lost}", f"{target}/v1/stages/pessoa/_bucket={lost}"):
+        delete_folder(spark, path)
+    before = files_of(target, "pessoa")
+    result = load(spark, run, target, buckets=8, resume=True)
+    assert contents(rows, result.tables) == want
+    assert result.counts["pessoa"] == {"rows": 3, "highest": 3, "buckets_reused": 7}
+    assert before.items() <= files_of(target, "pessoa").items()
+
+
+def test_records_of_other_settings_are_not_taken(spark, tmp_path):
+    frame = spark.range(100).selectExpr("id", "id % 7 as k")
+    for salt, reused in ((1, 0), (2, 0)):
+        store = StageStore(spark, str(tmp_path / "s"), {"salt": salt}, resume=True)
+        delete_folder(spark, str(tmp_path / "s" / "markers"))
+        stage = store.run("t", lambda: frame, {"rows": F.count(F.lit(1))}, buckets=Buckets(("k",), 4, 2))
+        assert stage.counts == {"rows": 100, "buckets_reused": reused} and stage.table.count() == 100
 
 
 def test_full_load_forgets_earlier_rows(spark, run, target, rows):

@@ -30,7 +30,7 @@ from recordweave.operators.writes import (
 )
 from recordweave.plans.relational import event_rows, fixed_catalog, load_model, new_codes
 from recordweave.sources.tables import empty_table
-from recordweave.storage import delete_folder, materialize, new_folder
+from recordweave.storage import child_names, delete_folder, materialize, new_folder
 from workload.cleaning import consolidated
 from workload.registry import query, table
 from workload.sqltext import CONSOLIDATED_CTES, sql_parse_load_date
@@ -433,17 +433,48 @@ def relational_model(spark, sf_dir):
     FROM pessoa p JOIN orgao o ON p.sigla_orgao = o.sigla""",
 )
 def resume_load(spark, sf_dir):
-    """A load that was cut after its checked rows and goes on from there."""
+    """A load that was cut while it wrote three tables, each in some of its buckets, and goes on from there."""
+    t = _cut_and_resumed(spark, sf_dir).tables
+    jobs = t["vinculo"].select(F.col("pessoa_id").alias("id"), "orgao_id", "salario_base")
+    return t["pessoa"].select("id", "cpf", "nome").join(jobs, "id")
+
+
+_CUT = {"pessoa": range(0, 16, 2), "vinculo": range(5), "evento": range(15, 16)}
+
+
+def _cut_and_resumed(spark, sf_dir):
     run = consolidated(spark, sf_dir)
     target = new_folder(spark, "model")
     given = (spark, run.consolidated, run.accepted["esocial"], target)
-    load_model(*given, on_violation="quarantine")
+    load_model(*given, on_violation="quarantine", buckets=16)
     delete_folder(spark, f"{target}/current")
-    for stage in ("pessoa", "vinculo", "evento"):
-        delete_folder(spark, f"{target}/v1/markers/{stage}")
-    t = load_model(*given, on_violation="quarantine", resume=True).tables
-    jobs = t["vinculo"].select(F.col("pessoa_id").alias("id"), "orgao_id", "salario_base")
-    return t["pessoa"].select("id", "cpf", "nome").join(jobs, "id")
+    for name, lost in _CUT.items():
+        delete_folder(spark, f"{target}/v1/markers/{name}")
+        (log,) = child_names(spark, f"{target}/v1/commits/{name}")
+        for bucket in lost:
+            delete_folder(spark, f"{target}/v1/commits/{name}/{log}/{bucket}")
+            delete_folder(spark, f"{target}/v1/stages/{name}/_bucket={bucket}")
+    return load_model(*given, on_violation="quarantine", buckets=16, resume=True, batches=3)
+
+
+@query(
+    "resume_buckets",
+    f"""WITH {_LOADABLE}, eventos AS (
+      SELECT e.id_evento FROM esocial_kept e JOIN pessoa p ON e.cpf = p.cpf WHERE e.data_evento IS NOT NULL)
+    SELECT 'pessoa' AS entity, count(*) AS rows, CAST(8 AS BIGINT) AS buckets_reused FROM pessoa
+    UNION ALL SELECT 'vinculo', count(*), 11 FROM pessoa
+    UNION ALL SELECT 'evento', count(*), 15 FROM eventos""",
+)
+def resume_buckets(spark, sf_dir):
+    """What the resumed load found of the three tables that had been cut."""
+    load = _cut_and_resumed(spark, sf_dir)
+    counts = [
+        load.tables[name].agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("entity"), "rows", F.lit(load.counts[name]["buckets_reused"]).cast("bigint").alias("buckets_reused")
+        )
+        for name in _CUT
+    ]
+    return reduce(DataFrame.union, counts)
 
 
 # The first load has half of the persons; the second all of them, with other names, salaries, scores and receipts.
@@ -554,25 +585,19 @@ def incremental_load(spark, sf_dir):
     """Row counts after a full load and after loading the same rows on top of it."""
     run = consolidated(spark, sf_dir)
     target = new_folder(spark, "model")
-    loads = [
-        load_model(
-            spark, run.consolidated, run.accepted["esocial"], target,
-            incremental=again, on_violation="quarantine",
+    frames = []
+    for again, column in ((False, "after_full"), (True, "after_repeat")):
+        load = load_model(
+            spark, run.consolidated, run.accepted["esocial"], target, incremental=again, on_violation="quarantine",
         )
-        for again in (False, True)
-    ]
-    frames = [
-        reduce(
-            DataFrame.union,
-            [
-                (load.violations if name == "violacoes" else load.tables[name])
-                .agg(F.count(F.lit(1)).alias(column))
-                .select(F.lit(name).alias("entity"), column)
-                for name in _COUNTED
-            ],
-        )
-        for load, column in zip(loads, ("after_full", "after_repeat"), strict=True)
-    ]
+        counts = [
+            (load.violations if name == "violacoes" else load.tables[name])
+            .agg(F.count(F.lit(1)).alias(column))
+            .select(F.lit(name).alias("entity"), column)
+            for name in _COUNTED
+        ]
+        # Counted before the next load rewrites the tables.
+        frames.append(materialize(reduce(DataFrame.union, counts), "counts"))
     return frames[0].join(frames[1], "entity")
 
 
