@@ -2,39 +2,105 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import count
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, StructField, StructType
 
 from recordweave.operators.lookup import broadcast_if_small
 from recordweave.operators.numbering import number_rows
 from recordweave.storage import materialize
 
+#: Rows sampled to bracket the bound, rows of a bracket that are ranked at once, and the place up to which no bracket is needed.
+SAMPLE_ROWS, RANKED_ROWS, FEW_ROWS = 1 << 12, 1 << 14, 1 << 10
+_SPOT = "_reached"
+
+
+@dataclass(frozen=True)
+class _Bound:
+    """The order columns of the n-th row, the rows before it and the rows equal to it in all of them."""
+
+    table: DataFrame
+    before: int
+    equal: int
+
+
+def _one_row(spots: DataFrame, *rows: Row | None) -> DataFrame:
+    """Values of the order columns as a table of one row: v0, v1, ..."""
+    kind = spots.schema[_SPOT].dataType
+    schema = StructType([StructField(f"v{i}", kind) for i in range(len(rows))])
+    return spots.sparkSession.createDataFrame([tuple(rows)], schema)
+
+
+def _nth(spots: DataFrame, n: int) -> _Bound | None:
+    """Where the ``n``-th of the values in column ``_reached`` lies, or None if there are fewer.
+
+    Selection without a sort: a sample of bounded size brackets the place, exact counts over one scan say in which part it lies, and so on
+    inside that part, until a bracket is small enough to be ranked.  The rows of a bracket shrink by some hundred each time.
+    """
+    spot = F.col(_SPOT)
+    low, high, skipped, inside = None, None, 0, spots.count()
+    if n > inside:
+        return None
+    for turn in count():
+        # The bracket holds the values above ``low`` and below ``high``.
+        held, place = spots, n - skipped
+        ends = _one_row(spots, low, high)
+        if low is not None:
+            held = held.filter(spot > ends.select("v0").scalar())
+        if high is not None:
+            held = held.filter(spot < ends.select("v1").scalar())
+        if inside <= max(RANKED_ROWS, SAMPLE_ROWS) or place <= FEW_ROWS:
+            found = held.orderBy(_SPOT).offset(place - 1).limit(1).first()[0]
+            bound = _one_row(spots, found)
+            here = bound.select("v0").scalar()
+            before, equal = held.agg(F.count_if(spot < here), F.count_if(spot == here)).first()
+            return _Bound(bound, skipped + before, equal)
+        sample = [r[0] for r in held.orderBy(F.xxhash64(F.lit(turn), spot), spot).limit(SAMPLE_ROWS).orderBy(_SPOT).collect()]
+        at = place * len(sample) / inside
+        margin = 4 + 4 * math.sqrt(max(1.0, at * (1 - at / len(sample))))
+        left, right = max(0, math.floor(at - margin)), min(len(sample) - 1, math.ceil(at + margin))
+        cuts = _one_row(spots, sample[left], sample[right])
+        least, most = cuts.select("v0").scalar(), cuts.select("v1").scalar()
+        under, upto, below, reached = held.agg(
+            F.count_if(spot < least), F.count_if(spot <= least), F.count_if(spot < most), F.count_if(spot <= most)
+        ).first()
+        for cut, first, last in (("v0", under, upto), ("v1", below, reached)):
+            if first < place <= last:
+                return _Bound(cuts.select(F.col(cut).alias("v0")), skipped + first, last - first)
+        # Each part leaves out the rows at a cut at least, so the bracket shrinks.
+        if place <= under:
+            high, inside = sample[left], under
+        elif place <= below:
+            low, high, inside, skipped = sample[left], sample[right], below - upto, skipped + upto
+        else:
+            low, inside, skipped = sample[right], inside - reached, skipped + reached
+
+
 def head_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in the given order, found the same way for every ``n``.
 
-    Only the order columns are sorted, by range; the place of the n-th of them is the bound, and rows up to
-    it are taken where they are.  No task collects the rows, and full rows are not shuffled.  Rows that tie in all order
+    The n-th row is found by selection on the order columns (``_nth``): nothing is sorted as a whole and nothing is written.  Rows up to
+    it are taken where they are; no task collects the rows, and full rows are not shuffled.  Rows that tie in all order
     columns come in the order of a hash of the whole row; of equal rows at the bound as many are taken as fit.
     """
+    if n <= 0:
+        return df.limit(0)
     hashable = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, MapType)]
-    names = [f"_o{i}" for i in range(len(order_by) + 1)]
     order = [*[F.col(c) for c in order_by], F.xxhash64(*hashable)]
-    spot = F.struct(*[c.alias(name) for name, c in zip(names, order, strict=True)])
-    numbered = number_rows(df.select(spot.alias("s")).select("s.*"), names, "_place")
-    here = F.struct(*names)
-    last = numbered.filter(F.col("_place") == n).select(here)
-    placed = df.withColumn("_reached", spot)
-    whole = placed.filter(F.coalesce(F.col("_reached") < last.scalar(), F.lit(True)))
-    tied = numbered.filter(here == last.scalar()).agg(F.count(F.lit(1)).alias("rows"), F.min("_place").alias("first")).first()
-    at = placed.filter(F.coalesce(F.col("_reached") == last.scalar(), F.lit(False)))
-    if tied["rows"] == 0:  # fewer rows than asked for
+    placed = df.withColumn(_SPOT, F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)]))
+    bound = _nth(placed.select(_SPOT), n)
+    if bound is None:  # fewer rows than asked for
         return df
-    if tied["rows"] == n - tied["first"] + 1:
-        return placed.filter(F.col("_reached") <= last.scalar()).select(*df.columns)
-    equal = number_rows(at, [F.rand(0)], "_turn").filter(F.col("_turn") <= n - tied["first"] + 1)
+    last, wanted = bound.table.select("v0"), n - bound.before
+    if wanted == bound.equal:
+        return placed.filter(F.col(_SPOT) <= last.scalar()).select(*df.columns)
+    whole = placed.filter(F.col(_SPOT) < last.scalar())
+    equal = number_rows(placed.filter(F.col(_SPOT) == last.scalar()), [F.rand(0)], "_turn").filter(F.col("_turn") <= wanted)
     return whole.select(*df.columns).unionByName(equal.select(*df.columns))
 
 

@@ -1,8 +1,10 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordweave.operators import sampling
 from recordweave.operators.dedupe import KEPT, discarded, keep_one, mark_kept
 from recordweave.operators.integrity import (
     IntegrityError,
@@ -367,3 +369,38 @@ def test_integrity(spark):
     with pytest.raises(IntegrityError, match="unique\\(code\\): 1"):
         require_integrity(audit(rules, tables))
     require_integrity(audit(rules[:1], tables))
+
+
+@pytest.mark.parametrize("n", [3, 37, 1234, 1999])
+def test_first_rows_by_selection(spark, monkeypatch, n):
+    """Brackets of a few rows: nulls, ties over many rows, equal rows, several columns of different types."""
+    for name, value in (("SAMPLE_ROWS", 128), ("RANKED_ROWS", 20), ("FEW_ROWS", 5)):
+        monkeypatch.setattr(sampling, name, value)
+    frame = spark.range(2000).selectExpr(
+        "CASE WHEN id % 11 > 0 THEN CASE WHEN id % 3 = 0 THEN 'tie' ELSE substr(md5(CAST(id AS STRING)), 1, 2) END END AS a",
+        "CAST(id % 7 AS DECIMAL(9,2)) AS b", "DATE '2020-01-01' + CAST(id % 5 AS INT) AS c", "id % 1000 AS d",
+    )
+    key = lambda r: [(x is not None, x) for x in r[:3]]
+    whole = sorted((tuple(r) for r in frame.collect()), key=key)
+    found = [tuple(r) for r in head_n(frame, ["a", "b", "c"], n).collect()]
+    assert len(found) == min(n, 2000)
+    assert sorted(map(key, found)) == [key(r) for r in whole[:n]]
+    # A second run takes the same rows, and more rows hold fewer.
+    more = [tuple(r) for r in head_n(frame, ["a", "b", "c"], n + 10).collect()]
+    assert not Counter(found) - Counter(more)
+
+
+def test_first_rows_of_equal_rows(spark, monkeypatch):
+    for name, value in (("SAMPLE_ROWS", 64), ("RANKED_ROWS", 20), ("FEW_ROWS", 5)):
+        monkeypatch.setattr(sampling, name, value)
+    few = spark.range(3000).selectExpr("CASE WHEN id < 100 THEN id ELSE 1000 END AS a")
+    assert sorted(r.a for r in head_n(few, ["a"], 80).collect()) == list(range(80))
+    frame = spark.range(3000).selectExpr("1 AS a", "'x' AS b")
+    assert head_n(frame, ["a"], 1700).count() == 1700
+    assert head_n(frame, ["a"], 0).count() == 0
+
+
+def test_first_rows_are_not_sorted_or_written(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "number_rows", None)
+    plan = head_n(spark.range(100000).withColumnRenamed("id", "a"), ["a"], 50000)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
