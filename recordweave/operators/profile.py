@@ -90,9 +90,20 @@ def duplicate_report(
         DataFrame.union, [df.select(F.lit(i).alias("_frame"), F.col(key).alias("_key")) for i, (_, df) in enumerate(frames)]
     )
     counted = stacked.groupBy("_key").agg(*[F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(frames))])
+    report, positions = report_of_counts(counted, [name for name, _ in frames], len(sources))
+    if consolidated is None:
+        return report
+    return report.union(to_long(duplicate_profile(consolidated, key), "consolidated", positions))
+
+
+def report_of_counts(counted: DataFrame, names: Sequence[str], sources: int) -> tuple[DataFrame, int]:
+    """The report from rows per key (columns ``_key``, ``_n0``, ``_n1``, ...) of frames, and the first position after it.
+
+    The first ``sources`` frames are those whose coverage is told.
+    """
     known = F.col("_key").isNotNull()
     sections: list[tuple[str, dict[str, Column]]] = []
-    for i, (name, _) in enumerate(frames):
+    for i, name in enumerate(names):
         n = F.col(f"_n{i}")
         total = F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
         distinct = F.count_if(known & (n > 0))
@@ -103,13 +114,13 @@ def duplicate_report(
             "excess_rows": total - distinct,
             "later_repeats": total - F.count_if(n > 0),
         }))
-    held = [F.col(f"_n{i}") > 0 for i in range(len(sources))]
+    held = [F.col(f"_n{i}") > 0 for i in range(sources)]
     alone = [
         reduce(lambda a, b: a & b, [~other for j, other in enumerate(held) if j != i], known & own) for i, own in enumerate(held)
     ]
     sections.append(("coverage", {
         "any_source": F.count_if(known & reduce(lambda a, b: a | b, held)),
-        **{f"only_{name}": F.count_if(own) for name, own in zip(sources, alone, strict=True)},
+        **{f"only_{name}": F.count_if(own) for name, own in zip(names[:sources], alone, strict=True)},
     }))
     wide = counted.agg(*[c.alias(f"{name}.{metric}") for name, metrics in sections for metric, c in metrics.items()])
     entries = [
@@ -120,10 +131,7 @@ def duplicate_report(
         for i, (name, metrics) in enumerate(sections)
         for j, metric in enumerate(metrics)
     ]
-    report = wide.select(F.inline(F.array(*entries)))
-    if consolidated is None:
-        return report
-    return report.union(to_long(duplicate_profile(consolidated, key), "consolidated", 100 * (len(sections) + 1)))
+    return wide.select(F.inline(F.array(*entries))), 100 * (len(sections) + 1)
 
 
 def require_unique(profile: DataFrame, what: str) -> None:

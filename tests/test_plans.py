@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from recordweave.operators.integrity import audit
 from recordweave.operators.lookup import SKIP_REASON, DomainError
 from recordweave.operators.merge import DuplicateKeyError, merge_by_joins
-from recordweave.operators.profile import duplicate_profile
+from recordweave.operators.profile import duplicate_profile, duplicate_report
 from recordweave.plans import relational
 from recordweave.plans.buckets import Buckets, present, touched
 from recordweave.plans.consolidate import SourceInput, consolidate, export
+from recordweave.plans.profiles import ProfileStore
 from recordweave.plans.relational import (
     KEYS,
     RULES,
@@ -500,3 +501,33 @@ def test_interrupted_load_resumes(spark, run, target, monkeypatch):
     assert written == ["evento"]
     assert result.tables["evento"].count() == 1
     assert current_version(spark, target) == 1
+
+
+# --- a report kept over loads ------------------------------------------------------------
+
+
+def test_a_kept_report_equals_one_over_all_rows(spark, tmp_path, rows):
+    make = lambda keys: spark.createDataFrame([(k,) for k in keys], "k string")
+    batches = [
+        {"a": make(["1", "1", "2", None]), "b": make(["2", "9"])},
+        {"a": make(["1", "7"]), "b": make([None, None])},
+        {"b": make(["5"])},
+    ]
+    store = ProfileStore(spark, str(tmp_path / "kept"), ["a", "b"], buckets=8)
+    for number, frames in enumerate(batches, 1):
+        store.add(number, frames, "k", batches=2)
+    whole = {
+        name: reduce(lambda x, y: x.unionByName(y), [b[name] for b in batches if name in b]) for name in ("a", "b")
+    }
+    want = rows(duplicate_report(whole, key="k"))
+    assert rows(store.report()) == want
+    # The last batch again: once with its records, once as if it was cut right before they were written.
+    assert store.add(3, batches[2], "k").written == ()
+    delete_folder(spark, str(tmp_path / "kept" / "batches" / "3"))
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "kept" / "counts").glob("_bucket=*/*.parquet")}
+    assert len(store.add(3, batches[2], "k").written) == 1
+    assert rows(store.report()) == want
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "kept" / "counts").glob("_bucket=*/*.parquet")}
+    assert len({f.parent for f in before.keys() ^ after.keys()}) == 1  # the other buckets keep their files
+    with pytest.raises(ValueError, match="unknown sources"):
+        store.add(4, {"c": batches[0]["a"]}, "k")

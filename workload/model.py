@@ -28,6 +28,7 @@ from recordweave.operators.writes import (
     replace_by_key,
     upsert_latest,
 )
+from recordweave.plans.profiles import ProfileStore
 from recordweave.plans.relational import event_rows, fixed_catalog, load_model, new_codes
 from recordweave.sources.tables import empty_table
 from recordweave.storage import child_names, delete_folder, materialize, new_folder
@@ -323,6 +324,45 @@ def cascade_delete_query(spark, sf_dir):
     return cascade_delete(table(spark, sf_dir, "orders"), removed, "o_custkey", "c_custkey")
 
 
+# --- a report kept over loads ------------------------------------------------------------
+
+_KEPT = {"customer": ("c_custkey", "c_acctbal < 0"), "orders": ("o_custkey", _BEFORE), "events": ("user_id", "event_type = 'view'")}
+
+
+def _kept_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS s, CAST({k} AS VARCHAR) AS k FROM {n}" for n, (k, _) in _KEPT.items())
+    counts = ", ".join(f"count(*) FILTER (WHERE s = '{n}') AS n_{n}" for n in _KEPT)
+    parts = []
+    for i, name in enumerate(_KEPT):
+        n = f"n_{name}"
+        distinct = f"count(*) FILTER (WHERE k IS NOT NULL AND {n} > 0)"
+        metrics = {
+            "rows": f"sum({n})", "distinct_keys": distinct, "repeated_key_rows": f"coalesce(sum({n}) FILTER (WHERE {n} > 1), 0)",
+            "excess_rows": f"sum({n}) - {distinct}", "later_repeats": f"sum({n}) - count(*) FILTER (WHERE {n} > 0)",
+        }
+        parts += [(100 * (i + 1) + j, name, m, e) for j, (m, e) in enumerate(metrics.items())]
+    alone = {
+        f"only_{name}": " AND ".join(["k IS NOT NULL", f"n_{name} > 0", *[f"n_{o} = 0" for o in _KEPT if o != name]]) for name in _KEPT
+    }
+    shown = {"any_source": "k IS NOT NULL", **alone}
+    parts += [(100 * (len(_KEPT) + 1) + j, "coverage", m, f"count(*) FILTER (WHERE {e})") for j, (m, e) in enumerate(shown.items())]
+    selects = [f"SELECT {p} AS position, '{s}' AS section, '{m}' AS metric, CAST({e} AS BIGINT) AS value FROM counts" for p, s, m, e in parts]
+    return f"WITH counts AS (SELECT k, {counts} FROM ({rows}) GROUP BY k) " + " UNION ALL ".join(selects)
+
+
+@query("profile_kept", _kept_sql())
+def profile_kept(spark, sf_dir):
+    """A report over three sources that came in two batches, the second of which was added again."""
+    store = ProfileStore(spark, new_folder(spark, "profile"), list(_KEPT))
+    given = {name: table(spark, sf_dir, name).withColumn("k", F.col(key)) for name, (key, _) in _KEPT.items()}
+    first = {name: df.filter(_KEPT[name][1]) for name, df in given.items()}
+    rest = {name: df.filter(f"NOT coalesce({_KEPT[name][1]}, false)") for name, df in given.items()}
+    store.add(1, first, "k")
+    for _ in range(2):
+        store.add(2, rest, "k")
+    return store.report()
+
+
 # --- integrity -------------------------------------------------------------------------
 
 _RULES = (
