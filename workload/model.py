@@ -28,7 +28,7 @@ from recordweave.operators.writes import (
     replace_by_key,
     upsert_latest,
 )
-from recordweave.plans.profiles import ProfileStore
+from recordweave.plans.profiles import ProfileStore, ReferenceCounts
 from recordweave.plans.relational import event_rows, fixed_catalog, load_model, new_codes
 from recordweave.sources.tables import empty_table
 from recordweave.storage import child_names, delete_folder, materialize, new_folder
@@ -363,6 +363,32 @@ def profile_kept(spark, sf_dir):
     return store.report()
 
 
+_GONE = "c_acctbal < 0"
+_DROPPED = "o_totalprice < 20000"
+_REFERENCES = {"orders": f"(SELECT o_custkey AS k FROM orders WHERE NOT ({_DROPPED}))", "events": "(SELECT user_id AS k FROM events)"}
+
+
+@query(
+    "reference_counts",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", 'referring' AS finding, count(*) AS rows FROM {rows} "
+        f"WHERE k IN (SELECT c_custkey FROM customer WHERE {_GONE}) UNION ALL "
+        f"SELECT '{name}', 'orphans', count(*) FROM {rows} WHERE k NOT IN (SELECT c_custkey FROM customer WHERE NOT ({_GONE}))"
+        for name, rows in _REFERENCES.items()
+    ),
+)
+def reference_counts(spark, sf_dir):
+    """Children come in two batches and some go with a third; then parents are deleted."""
+    orders, events, parents = (table(spark, sf_dir, n) for n in ("orders", "events", "customer"))
+    store = ReferenceCounts(spark, new_folder(spark, "references"), list(_REFERENCES))
+    store.change(1, {"orders": (orders.filter(_BEFORE), "o_custkey")})
+    store.change(2, {"orders": (orders.filter(_AFTER), "o_custkey"), "events": (events, "user_id")})
+    store.change(3, {}, {"orders": (orders.filter(_DROPPED), "o_custkey")})
+    referring = store.referring(parents.filter(_GONE), "c_custkey").withColumn("finding", F.lit("referring"))
+    orphans = store.orphans(parents.filter(f"NOT ({_GONE})"), "c_custkey").withColumn("finding", F.lit("orphans"))
+    return referring.unionByName(orphans).select("table", "finding", "rows")
+
+
 # --- integrity -------------------------------------------------------------------------
 
 _RULES = (
