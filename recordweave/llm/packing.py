@@ -37,7 +37,8 @@ ROUNDS, STEP = 120, 0.5
 #: Lengths that take a configuration in a round.
 PER_ROUND = 64
 #: Parts of the fractional solution that are tried as whole configurations before the best fit; the best one counts.
-SHARES = (1.0, 0.5, 0.2)
+#: The last is best fit alone, so a plan never takes more sequences than that.
+SHARES = (1.0, 0.5, 0.2, 0.0)
 #: Pieces of one length that one task numbers, about.
 NUMBERED = 1 << 20
 
