@@ -22,13 +22,17 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     """Broadcast hint only when the measured size is under ``limit``.
 
     Counts the rows and the bytes of their text, with room for fixed-width
-    columns.  A larger table is returned without a hint: the join then shuffles
+    columns; binary values count as their bytes, structs, arrays and maps as twice the text they are shown as.  A larger table is returned without a hint: the join then shuffles
     and adaptive execution splits its skewed partitions.
     """
     width = F.lit(16 * len(df.columns))
     for name, kind in df.dtypes:
-        if kind == "string":
-            width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+        elif kind.startswith(("struct", "array", "map")):
+            # numbers inside may be wider than their digits
+            width = width + 2 * F.coalesce(F.octet_length(value.cast("string")), F.lit(0))
     size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -69,6 +69,24 @@ def merge_by_priority(
     return _first_given(grouped, sources, key, "{row}.`{column}`", [most_as] if most_as else [])
 
 
+def merge_settled(
+    settled: DataFrame, sources: Mapping[str, DataFrame], source_col: str, key: str = KEY, most_as: str | None = None
+) -> DataFrame:
+    """The same result from one table that holds the rows of all sources, told apart by ``source_col``.
+
+    ``sources`` are its rows by source, in priority order, with the columns each has.  A table in buckets of the key is grouped where it lies.
+    """
+    names = list(sources)
+    own = [F.col(source_col) == name for name in names]
+    cells = [F.struct(*_quoted(c for c in df.columns if c != key)) for df in sources.values()]
+    found = [F.first(F.when(o, c), ignorenulls=True).alias(_row(i)) for i, (o, c) in enumerate(zip(own, cells, strict=True))]
+    if most_as:
+        counts = [F.count_if(o) for o in own]
+        found.append((F.greatest(*counts) if len(counts) > 1 else counts[0]).alias(most_as))
+    grouped = settled.groupBy(key).agg(*found)
+    return _first_given(grouped, list(sources.values()), key, "{row}.`{column}`", [most_as] if most_as else [])
+
+
 def merge_by_joins(
     sources: Sequence[DataFrame], key: str = KEY, check_unique: bool = True
 ) -> DataFrame:

@@ -96,6 +96,29 @@ def duplicate_report(
     return report.union(to_long(duplicate_profile(consolidated, key), "consolidated", positions))
 
 
+def settled_counts(settled: DataFrame, source_col: str, names: Sequence[str], key: str = KEY) -> DataFrame:
+    """Rows per key of every source (``_key``, ``_n0``, ``_n1``, ...) from one table of all sources; no shuffle if it is in buckets of the key."""
+    counts = [F.count_if(F.col(source_col) == name).alias(f"_n{i}") for i, name in enumerate(names)]
+    return settled.groupBy(key).agg(*counts).withColumnRenamed(key, "_key")
+
+
+def report_with_discarded(
+    settled: DataFrame, source_col: str, names: Sequence[str], dropped: DataFrame, dropped_from: str, consolidated: DataFrame, key: str = KEY
+) -> DataFrame:
+    """The duplicate report from the kept rows of all sources in one table, and the rows dropped for them.
+
+    A dropped row's key is also kept in its source.  Dropped keys are counted by task before they are shuffled, so
+    that one repeated any number of times is one row for each task; the kept ones stay in their buckets.
+    """
+    kept = settled_counts(settled, source_col, names, key)
+    lost = [F.count_if(F.col(dropped_from) == name).alias(f"_d{i}") for i, name in enumerate(names)]
+    joined = kept.join(dropped.groupBy(F.col(key).alias("_key")).agg(*lost), "_key", "left")
+    before = [(F.col(f"_n{i}") + F.coalesce(f"_d{i}", F.lit(0))).alias(f"_n{len(names) + i}") for i in range(len(names))]
+    counted = joined.select("_key", *[f"_n{i}" for i in range(len(names))], *before)
+    report, position = report_of_counts(counted, [*names, *[f"{name}_before_dedupe" for name in names]], len(names))
+    return report.union(to_long(duplicate_profile(consolidated, key), "consolidated", position))
+
+
 def report_of_counts(counted: DataFrame, names: Sequence[str], sources: int) -> tuple[DataFrame, int]:
     """The report from rows per key (columns ``_key``, ``_n0``, ``_n1``, ...) of frames, and the first position after it.
 

@@ -11,10 +11,11 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from recordweave.operators.dedupe import KEPT, mark_kept
-from recordweave.operators.merge import merge_by_priority, refuse_repeats, union_audit
-from recordweave.operators.profile import duplicate_report
+from recordweave.operators.merge import merge_by_priority, merge_settled, refuse_repeats, union_audit
+from recordweave.operators.profile import duplicate_report, report_with_discarded
 from recordweave.operators.quarantine import REJECT_REASON, split_rejected, with_reason
 from recordweave.operators.sampling import head_n
 from recordweave.operators.standardise import (
@@ -24,9 +25,11 @@ from recordweave.operators.standardise import (
     annotate_duplicates,
     standardise,
 )
+from recordweave.plans.clustered import Clustered, clustered_table, common_columns
 from recordweave.plans.stages import (
     OPEN_FOLDERS,
     StageStore,
+    describe_files,
     describe_frame,
     session_settings,
     side_by_side,
@@ -35,7 +38,9 @@ from recordweave.sources.contracts import KEY, SOURCES, SourceSpec, to_canonical
 from recordweave.sources.delimited import FILE_ORDER, read_delimited, write_delimited
 from recordweave.sources.tables import write_record
 
-STATUS, MOST = "_status", "_most"
+STATUS, MOST, FROM = "_status", "_most", "_source"
+#: Folder of the transformed sources when they are one table in buckets.
+SETTLED = "transformed"
 KEPT_ROW, DISCARDED_ROW, REJECTED_ROW = "kept", "discarded", "rejected"
 
 
@@ -58,9 +63,9 @@ class SourceInput:
             return self.frame
         return read_delimited(spark, self.path, KEY, self.multi_line, self.mode)
 
-    def describe(self) -> dict[str, object]:
+    def describe(self, spark: SparkSession) -> dict[str, object]:
         """Everything about the input that can change a result."""
-        given = self.path if self.frame is None else describe_frame(self.frame)
+        given = describe_files(spark, self.path) if self.frame is None else describe_frame(self.frame)
         return {"given": given, "order_by": self.order_by, "multi_line": self.multi_line, "mode": self.mode}
 
 
@@ -72,9 +77,13 @@ class Consolidation:
     rejected: DataFrame
     duplicates: DataFrame
     metrics: Mapping[str, object]
+    #: The accepted rows of all sources as one table in buckets of the key; only of runs in buckets.
+    settled: DataFrame | None = None
 
     def report(self) -> DataFrame:
         """The duplicate report of this run."""
+        if self.settled is not None:
+            return report_with_discarded(self.settled, FROM, list(self.accepted), self.duplicates, "fonte", self.consolidated, KEY)
         return duplicate_report(self.accepted, self.before_dedupe, self.consolidated)
 
 
@@ -124,35 +133,48 @@ def consolidate(
     resume: bool = False,
     reason_on_original: bool = True,
     check_digits: bool = False,
+    only_changed: bool = False,
+    buckets: int | None = None,
 ) -> Consolidation:
     """Extract, transform and merge all sources; the order of ``specs`` is the priority.
 
     Every stage is written under ``run_folder`` and can be resumed.  A resumed
-    run must use the same settings.
+    run must use the same settings.  With ``only_changed`` the run takes over an earlier one whose inputs or settings
+    may differ: sources that did not change are kept, the others are extracted and transformed again, and all are merged.
+
+    With ``buckets`` the transformed sources are one table, and the result another, in so many buckets of the key.
+    Accepted rows are shuffled once, when they are transformed; the merge, the coverage and joins of accepted and consolidated rows by
+    key then need no shuffle, nor does a merge after a source changed.  Columns of one name need one type.
     """
     started = time.perf_counter()
-    settings = {
-        "row_limit": row_limit,
-        # a list: the order of the sources is their priority
-        "sources": [{"spec": asdict(s), "input": inputs[s.name].describe()} for s in specs],
-        "reason_on_original": reason_on_original,
-        "check_digits": check_digits,
-    }
-    store = StageStore(spark, run_folder, settings, resume)
+    common = {"row_limit": row_limit, "reason_on_original": reason_on_original, "check_digits": check_digits}
+    if buckets:
+        common["buckets"] = buckets
+    described = {s.name: {"spec": asdict(s), "input": inputs[s.name].describe(spark)} for s in specs}
+    # a list: the order of the sources is their priority
+    settings = {**common, "sources": [described[s.name] for s in specs]}
+    store = StageStore(spark, run_folder, settings, resume or only_changed, only_changed)
     rows = F.count(F.lit(1))
+    layout = Clustered(KEY, buckets) if buckets else None
 
     status = F.col(STATUS)
 
     def prepare(spec: SourceSpec) -> DataFrame:
         given = inputs[spec.name]
         carried = _carried(spec, given)
+        own = {**common, "source": described[spec.name]}
         order = [spec.renames.get(c, c) for c in given.order_by]
         raw = store.run(
-            f"extract_{spec.name}", lambda: extract(spark, spec, given, row_limit), {"rows": rows}
+            f"extract_{spec.name}", lambda: extract(spark, spec, given, row_limit), {"rows": rows}, settings=own,
         ).table
+
+        def transformed() -> DataFrame:
+            df = transform(raw, spec, order, carried, reason_on_original, check_digits)
+            return layout.deal(df, status == KEPT_ROW) if layout else df
+
         return store.run(
             f"transform_{spec.name}",
-            lambda: transform(raw, spec, order, carried, reason_on_original, check_digits),
+            transformed,
             {
                 KEPT_ROW: F.count_if(status == KEPT_ROW),
                 DISCARDED_ROW: F.count_if(status == DISCARDED_ROW),
@@ -162,6 +184,9 @@ def consolidate(
             },
             split_by=STATUS,
             after=[f"extract_{spec.name}"],
+            clustered=layout,
+            place=f"{SETTLED}/{FROM}={spec.name}" if layout else None,
+            settings=own,
         ).table
 
     with session_settings(spark, OPEN_FOLDERS):
@@ -181,14 +206,29 @@ def consolidate(
         dropped = table.filter(status == DISCARDED_ROW).drop(*clean)
         duplicates.append(annotate_duplicates(dropped, spec.name, spec.discard_reason))
 
+    settled = None
+    if layout:
+        columns = {**common_columns(list(accepted.values())), FROM: StringType(), STATUS: StringType()}
+        table = clustered_table(spark, store.path(SETTLED), columns, layout, [FROM, STATUS])
+        settled = table.filter((status == KEPT_ROW) & F.col(FROM).isin(*accepted)).drop(STATUS)
+        accepted = {
+            name: settled.filter(F.col(FROM) == name).select(*[F.col(f"`{c}`") for c in df.columns]) for name, df in accepted.items()
+        }
+
+    def merge() -> DataFrame:
+        if settled is not None:
+            return merge_settled(settled, accepted, FROM, most_as=MOST)
+        return merge_by_priority(list(accepted.values()), check_unique=False, most_as=MOST)
+
     merged = store.run(
         "merge",
-        lambda: merge_by_priority(list(accepted.values()), check_unique=False, most_as=MOST),
+        merge,
         {"rows": rows, "most": F.max(MOST)},
         after=[f"transform_{spec.name}" for spec in specs],
         hidden=[MOST],
         # Two rows of a key are left only where the order column ties.
         check=lambda counts: refuse_repeats(counts["most"]),
+        clustered=layout,
     )
     return Consolidation(
         merged.table,
@@ -197,6 +237,7 @@ def consolidate(
         union_audit(rejected),
         union_audit(duplicates),
         _metrics(store, specs, time.perf_counter() - started),
+        settled,
     )
 
 

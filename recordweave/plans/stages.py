@@ -13,9 +13,11 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from recordweave.plans.buckets import BUCKET, Buckets, committed, forget, write_buckets
+from recordweave.plans.clustered import Clustered, clustered_table, write_clustered
 from recordweave.sources.tables import read_record, write_record
 from recordweave.storage import delete_folder, temporary_tables
 
@@ -70,6 +72,14 @@ def describe_frame(df: DataFrame) -> dict[str, str]:
     return {"schema": df.schema.json(), "files": files}
 
 
+def describe_files(spark: SparkSession, path: str | Sequence[str]) -> dict[str, object]:
+    """What tells one set of files from another: their number and a sum over names, sizes and times; no file is opened."""
+    listed = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+    of_file = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    count, total = listed.agg(F.count(F.lit(1)), F.sum(of_file)).first()
+    return {"path": path, "files": count, "sum": str(total)}
+
+
 @dataclass
 class StageStore:
     """Runs named stages, each written as one Parquet table plus a marker.
@@ -77,6 +87,8 @@ class StageStore:
     The marker is written after the table, so a stage cut short is run again.
     It keeps the settings of the run, the observed row counts and the schema.
     A stage is taken from disk only when the stages it comes ``after`` were.
+    A stage may have ``settings`` of its own, the ones its result depends on.  With ``rebuild`` a stage whose settings changed is
+    built again, with all that comes after it, and others are kept; without, a change is refused.
     A stage in buckets also keeps a record of each finished bucket, and one that was cut goes on with the others.
     """
 
@@ -84,6 +96,7 @@ class StageStore:
     folder: str
     settings: Mapping[str, object]
     resume: bool = False
+    rebuild: bool = False
     seconds: dict[str, float] = field(default_factory=dict)
     counts: dict[str, Mapping[str, int]] = field(default_factory=dict)
 
@@ -95,8 +108,7 @@ class StageStore:
 
     @property
     def fingerprint(self) -> str:
-        text = json.dumps(self.settings, sort_keys=True, default=str)
-        return hashlib.sha256(text.encode()).hexdigest()
+        return _fingerprint(self.settings)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/stages/{name}"
@@ -110,19 +122,28 @@ class StageStore:
         for part in ("markers", "commits", "stages"):
             delete_folder(self.spark, f"{self.folder}/{part}")
 
-    def _finished(self, name: str) -> Stage | None:
+    def _finished(
+        self, name: str, settings: Mapping[str, object], place: str, split_by: str | None, clustered: Clustered | None
+    ) -> Stage | None:
         marker = read_record(self.spark, f"{self.folder}/markers/{name}")
         if marker is None:
             return None
-        if marker["settings"] != self.fingerprint:
+        if marker["settings"] != _fingerprint(settings):
+            if self.rebuild:
+                return None
             raise ResumeError(
                 f"stage {name} was written with settings {marker['shown']}, "
-                f"now {json.dumps(self.settings, sort_keys=True, default=str)}"
+                f"now {json.dumps(settings, sort_keys=True, default=str)}"
             )
         schema = StructType.fromJson(json.loads(marker["schema"]))
-        table = self.spark.read.schema(schema).parquet(self.path(name))
+        table = self._read(schema, place, split_by, clustered)
         return Stage(name, table, json.loads(marker["counts"]), marker["seconds"], True)
 
+    def _read(self, schema: StructType, place: str, split_by: str | None, clustered: Clustered | None) -> DataFrame:
+        if clustered and not split_by:
+            return clustered_table(self.spark, self.path(place), {f.name: f.dataType for f in schema}, clustered)
+        return self.spark.read.schema(schema).parquet(self.path(place))
+
     def run(
         self,
         name: str,
@@ -133,6 +154,9 @@ class StageStore:
         hidden: Sequence[str] = (),
         check: Callable[[Mapping[str, int]], None] | None = None,
         buckets: Buckets | None = None,
+        clustered: Clustered | None = None,
+        place: str | None = None,
+        settings: Mapping[str, object] | None = None,
     ) -> Stage:
         """The stage's table, from disk when it is finished, otherwise built and written.
 
@@ -140,18 +164,20 @@ class StageStore:
         counts exactly once even if executors are lost.  Columns in ``hidden`` are
         for the counters only and not written.  ``check`` sees the counts before the stage counts as finished, and may raise.
         With ``buckets`` the table is cut by its key (see ``buckets``); ``counts`` then has its rows and the buckets that were
-        there already.
+        there already.  With ``clustered`` it is in Spark's buckets (see ``clustered``; ``build`` deals the rows), under ``place``
+        if its folder is part of a table of several stages.
         """
+        settings, place = settings or self.settings, place or name
         may_reuse = self.resume and self._reused.issuperset(after)
-        stage = self._finished(name) if may_reuse else None
+        stage = self._finished(name, settings, place, split_by, clustered) if may_reuse else None
         if stage is None and buckets:
             if not (may_reuse and committed(self.spark, self.log(name))):
                 forget(self.spark, self.path(name), self.log(name))
             else:
                 self._reused.add(name)
-            stage = self._write(name, build, counters, split_by, hidden, check, buckets)
+            stage = self._write(name, build, counters, split_by, hidden, check, settings, place, buckets)
         elif stage is None:
-            stage = self._write(name, build, counters, split_by, hidden, check)
+            stage = self._write(name, build, counters, split_by, hidden, check, settings, place, None, clustered)
         else:
             self._reused.add(name)
         self.seconds[name] = stage.seconds
@@ -166,9 +192,14 @@ class StageStore:
         split_by: str | None,
         hidden: Sequence[str],
         check: Callable[[Mapping[str, int]], None] | None,
+        settings: Mapping[str, object],
+        place: str,
         buckets: Buckets | None = None,
+        clustered: Clustered | None = None,
     ) -> Stage:
         started = time.perf_counter()
+        # no marker of other settings may outlive the table it stands for
+        delete_folder(self.spark, f"{self.folder}/markers/{name}")
         with temporary_tables(self.spark):
             df = build()
             if buckets:
@@ -178,22 +209,30 @@ class StageStore:
             else:
                 seen = Observation(name)
                 watched = df.observe(seen, *[c.alias(n) for n, c in counters.items()]).drop(*hidden)
-                writer = watched.write.mode("overwrite")
-                if split_by:
-                    writer = writer.partitionBy(split_by)
-                writer.parquet(self.path(name))
+                if clustered:
+                    write_clustered(watched, self.path(place), clustered, split_by)
+                else:
+                    writer = watched.write.mode("overwrite")
+                    if split_by:
+                        writer = writer.partitionBy(split_by)
+                    writer.parquet(self.path(place))
                 counts = {n: int(v or 0) for n, v in seen.get.items()}
         if check:
             check(counts)
         seconds = round(time.perf_counter() - started, 3)
         marker = {
             "stage": name,
-            "settings": self.fingerprint,
-            "shown": json.dumps(self.settings, sort_keys=True, default=str),
+            "settings": _fingerprint(settings),
+            "shown": json.dumps(settings, sort_keys=True, default=str),
             "seconds": seconds,
             "counts": json.dumps(counts),
             "schema": watched.schema.json(),
         }
         write_record(self.spark, f"{self.folder}/markers/{name}", marker, _MARKER)
-        table = self.spark.read.schema(watched.schema).parquet(self.path(name))
+        table = self._read(watched.schema, place, split_by, clustered)
         return Stage(name, table, counts, seconds, False)
+
+
+def _fingerprint(settings: Mapping[str, object]) -> str:
+    text = json.dumps(settings, sort_keys=True, default=str)
+    return hashlib.sha256(text.encode()).hexdigest()

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from recordweave.operators.integrity import audit
 from recordweave.operators.lookup import SKIP_REASON, DomainError
-from recordweave.operators.merge import DuplicateKeyError, merge_by_joins
-from recordweave.operators.profile import duplicate_profile, duplicate_report
+from recordweave.operators.merge import DuplicateKeyError, merge_by_joins, merge_by_priority, merge_settled
+from recordweave.operators.profile import duplicate_profile, duplicate_report, settled_counts
 from recordweave.plans import relational
 from recordweave.plans.buckets import Buckets, present, touched
 from recordweave.plans.consolidate import SourceInput, consolidate, export
@@ -179,6 +179,128 @@ def test_resume_reuses_finished_stages(spark, inputs, tmp_path, monkeypatch):
     assert len(written) == 7
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, inputs, tmp_path_factory):
+    return consolidate(spark, inputs, str(tmp_path_factory.mktemp("bucketed")), buckets=4)
+
+
+def test_buckets_change_no_result(run, bucketed):
+    assert same_rows(bucketed.consolidated, run.consolidated)
+    assert bucketed.consolidated.columns == run.consolidated.columns
+    for name, accepted in run.accepted.items():
+        assert same_rows(bucketed.accepted[name], accepted) and same_rows(bucketed.before_dedupe[name], run.before_dedupe[name])
+    assert same_rows(bucketed.rejected, run.rejected) and same_rows(bucketed.duplicates, run.duplicates)
+    assert same_rows(bucketed.report(), run.report())
+    assert {**bucketed.metrics["rows_accepted"], "all": 4} == {**run.metrics["rows_accepted"], "all": bucketed.metrics["rows_consolidated"]}
+
+
+def test_bucketed_stages_need_no_exchange_on_the_key(spark, run, bucketed):
+    merged = merge_settled(bucketed.settled, bucketed.accepted, "_source", most_as="most")
+    assert "Exchange" not in physical(merged) and "Exchange" in physical(merge_by_priority(list(run.accepted.values()), check_unique=False))
+    counts = settled_counts(bucketed.settled, "_source", list(bucketed.accepted))
+    assert "Exchange" not in physical(counts)
+    assert "Exchange hashpartitioning" not in physical(duplicate_profile(bucketed.consolidated))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = bucketed.consolidated.join(bucketed.accepted["esocial"].select("cpf", F.col("id_evento").alias("own")), "cpf", "left")
+        assert "Exchange" not in physical(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.count() == 4
+
+
+def test_a_bucket_is_one_file(tmp_path, spark, inputs):
+    consolidate(spark, inputs, str(tmp_path / "run"), buckets=3)
+    for kept in (tmp_path / "run" / "stages" / "transformed").glob("_source=*/_status=kept"):
+        buckets = [f.name.split("_")[-1].split(".")[0] for f in kept.glob("*.parquet")]
+        assert len(buckets) == len(set(buckets)) <= 3
+
+
+def test_bucketed_run_is_resumed_without_its_catalog_entries(spark, inputs, tmp_path, monkeypatch):
+    folder = str(tmp_path / "run")
+    first = [tuple(r) for r in consolidate(spark, inputs, folder, buckets=4).consolidated.orderBy("cpf").collect()]
+    for entry in spark.catalog.listTables("default"):
+        if entry.name.startswith("recordweave_"):
+            spark.sql(f"DROP TABLE {entry.name}")
+    written, original = [], StageStore._write
+    monkeypatch.setattr(StageStore, "_write", lambda self, name, *a: written.append(name) or original(self, name, *a))
+    again = consolidate(spark, inputs, folder, resume=True, buckets=4)
+    assert written == [] and [tuple(r) for r in again.consolidated.orderBy("cpf").collect()] == first
+    (tmp_path / "run" / "markers" / "transform_gestao" / "_SUCCESS").unlink()
+    again = consolidate(spark, inputs, folder, resume=True, buckets=4)
+    assert sorted(written) == ["merge", "transform_gestao"]
+    assert [tuple(r) for r in again.consolidated.orderBy("cpf").collect()] == first
+    with pytest.raises(ResumeError, match="buckets"):
+        consolidate(spark, inputs, folder, resume=True, buckets=5)
+
+
+def test_buckets_take_empty_sources_and_refuse_two_types(spark, inputs, tmp_path):
+    empty = {n: SourceInput(frame=read_delimited(spark, i.path).limit(0)) for n, i in inputs.items()}
+    got = consolidate(spark, empty, str(tmp_path / "empty"), buckets=2)
+    assert got.consolidated.count() == 0 and got.report().filter("metric = 'any_source'").first().value == 0
+    frame = spark.createDataFrame([(K1, 7, 1)], "cpf string, nome int, n int")
+    specs = [s for s in SOURCES if s.name != "gestao"] + [SourceSpec(name="gestao")]
+    with pytest.raises(ValueError, match="nome is"):
+        consolidate(spark, {**inputs, "gestao": SourceInput(frame=frame, order_by=("n",))}, str(tmp_path / "types"), specs=specs, buckets=2)
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_only_changed_sources_are_prepared_again(spark, inputs, tmp_path, monkeypatch, buckets):
+    folder = str(tmp_path / "run")
+    frame = read_delimited(spark, inputs["gestao"].path)
+    parts = [str(tmp_path / "before"), str(tmp_path / "after")]
+    # the row of K1 that won goes, a new key comes
+    frame.write.parquet(parts[0])
+    late = frame.filter(F.col("nome") != "Ana G").unionByName(
+        frame.filter(F.col("nome") == "Davi").withColumn("cpf", F.lit("11144477735")).withColumn("_row", F.col("_row") + 100)
+    )
+    late.write.parquet(parts[1])
+    before, after = ({**inputs, "gestao": SourceInput(frame=spark.read.parquet(p))} for p in parts)
+    consolidate(spark, before, folder, buckets=buckets)
+    written, original = [], StageStore._write
+    monkeypatch.setattr(StageStore, "_write", lambda self, name, *a: written.append(name) or original(self, name, *a))
+    got = consolidate(spark, after, folder, only_changed=True, buckets=buckets)
+    assert sorted(written) == ["extract_gestao", "merge", "transform_gestao"]
+    whole = consolidate(spark, after, str(tmp_path / "whole"), buckets=buckets)
+    assert same_rows(got.consolidated, whole.consolidated) and same_rows(got.report(), whole.report())
+    assert got.consolidated.filter("cpf = '11144477735'").count() == 1
+    # a cut change: the markers of what is written again are gone, so neither state is taken for the other
+    def cut(self, name, *a):
+        if name == "transform_gestao":
+            raise RuntimeError("cut")
+        return original(self, name, *a)
+
+    monkeypatch.setattr(StageStore, "_write", cut)
+    with pytest.raises(RuntimeError, match="cut"):
+        consolidate(spark, before, folder, only_changed=True, buckets=buckets)
+    monkeypatch.setattr(StageStore, "_write", original)
+    back = consolidate(spark, after, folder, only_changed=True, buckets=buckets)
+    assert same_rows(back.consolidated, whole.consolidated)
+
+
+def test_changed_files_are_noticed(spark, inputs, tmp_path):
+    copies = {}
+    for name, given in inputs.items():
+        place = tmp_path / f"{name}.csv"
+        place.write_bytes(pathlib.Path(given.path).read_bytes())
+        copies[name] = SourceInput(path=str(place))
+    consolidate(spark, copies, str(tmp_path / "run"))
+    text = (tmp_path / "rh.csv").read_text()
+    (tmp_path / "rh.csv").write_text(text.replace("Ana de novo", "Ana outra vez"))
+    with pytest.raises(ResumeError):
+        consolidate(spark, copies, str(tmp_path / "run"), resume=True)
+    got = consolidate(spark, copies, str(tmp_path / "run"), only_changed=True)
+    assert got.duplicates.filter("nome = 'Ana outra vez'").count() == 1
+
+
 def test_intermediate_tables_are_deleted(spark, inputs, tmp_path):
     scratch = pathlib.Path(checkpoint_root(spark).removeprefix("file:"))
     before = set(scratch.iterdir())

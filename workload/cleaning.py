@@ -379,14 +379,13 @@ _REPORT_SECTIONS = [
 ]
 
 
-@query(
-    "duplicate_report",
-    f"WITH {CONSOLIDATED_CTES} "
-    + " UNION ALL ".join(
-        _long_sql(name, 100 * (i + 1), sql, metrics)
-        for i, (name, sql, metrics) in enumerate(_REPORT_SECTIONS)
-    ),
+_REPORT_SQL = f"WITH {CONSOLIDATED_CTES} " + " UNION ALL ".join(
+    _long_sql(name, 100 * (i + 1), sql, metrics)
+    for i, (name, sql, metrics) in enumerate(_REPORT_SECTIONS)
 )
+
+
+@query("duplicate_report", _REPORT_SQL)
 def duplicate_report_query(spark, sf_dir):
     tables = transformed(spark, sf_dir)
     accepted = {n: _canonical(df.filter(F.col(STATUS) == KEPT_ROW)) for n, df in tables.items()}
@@ -416,6 +415,40 @@ def consolidate_end_to_end(spark, sf_dir):
     return consolidated(spark, sf_dir).consolidated
 
 
+#: Buckets of the key in the queries below.
+_BUCKETS = 8
+
+
+def bucketed(spark, sf_dir):
+    inputs = {name: SourceInput(frame=raw(spark, sf_dir), order_by=("_order",)) for name, raw in RAW.items()}
+    return consolidate(spark, inputs, new_folder(spark, "run"), buckets=_BUCKETS)
+
+
+@query("consolidate_bucketed", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
+def consolidate_bucketed(spark, sf_dir):
+    """The job over stage tables in buckets of the key, merged where they lie."""
+    return bucketed(spark, sf_dir).consolidated
+
+
+@query("duplicate_report_bucketed", _REPORT_SQL)
+def duplicate_report_bucketed(spark, sf_dir):
+    """The report of a run in buckets: kept keys are counted where they lie, only dropped keys are shuffled."""
+    return bucketed(spark, sf_dir).report()
+
+
+@query("changed_source", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
+def changed_source(spark, sf_dir):
+    """A run taken over by one whose third source changed: rows that had won every key are gone, others win instead."""
+    inputs = {name: SourceInput(frame=raw(spark, sf_dir), order_by=("_order",)) for name, raw in RAW.items()}
+    now = gestao(spark, sf_dir)
+    gone = now.withColumn("nome", F.lit("antigo")).withColumn("_order", (-F.col("_order") - 1).cast(now.schema["_order"].dataType))
+    folder, place = new_folder(spark, "run"), new_folder(spark, "before")
+    now.unionByName(gone).write.parquet(place)
+    before = SourceInput(frame=spark.read.parquet(place), order_by=("_order",))
+    consolidate(spark, {**inputs, "gestao": before}, folder, buckets=_BUCKETS)
+    return consolidate(spark, inputs, folder, only_changed=True, buckets=_BUCKETS).consolidated
+
+
 @query("resume_consolidation", f"WITH {CONSOLIDATED_CTES} SELECT * FROM consolidated")
 def resume_consolidation(spark, sf_dir):
     """A run that was cut before its last two stages and goes on from there."""
