@@ -2,7 +2,7 @@
 
 The text is the first layer.  Each layer is scanned and then unwrapped in every way that
 applies, which puts new layers on the worklist: percent signs, escapes and character references are decoded
-in place; a base64 run becomes a layer of its own, and so does what a gzip, zlib, bzip2 or xz
+in place (a sign escaped over and over is one layer, since its steps differ in nothing but their number); a base64 run becomes a layer of its own, and so does what a gzip, zlib, bzip2 or xz
 stream inside it holds.  The work ends when nothing new turns up: a layer whose content was
 seen before is not taken again, which also stops streams that unpack to themselves.
 
@@ -43,9 +43,21 @@ MIN_VALUE = 8
 MIN_BASE64 = 16
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
 #: Lines of base64 that are broken at a width.
-_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+[\x20\t]*\r?\n[\x20\t]*)+[A-Za-z0-9+/_-]+={0,2}" % MIN_BASE64)
+_BREAK = re.compile(r"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*(?:>[\x20\t]*)*")
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{%d,}+%s)+[A-Za-z0-9+/_-]+={0,2}" % (MIN_BASE64, _BREAK.pattern)
+)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
+#: A sign that was escaped again and again, and per sign the ends of an escape that gives a sign.
+_CHAIN = re.compile(
+    r"[%\\&](?:25|26|5[cC]|x(?:25|26|5[cC])|u00(?:25|26|5[cC])|(?:amp|percnt|bsol|#(?:37|38|92)|#[xX](?:25|26|5[cC]));){3,}"
+)
+_LINK = {
+    "%": re.compile(r"25|26|5[cC]"),
+    "\\": re.compile(r"x(?:25|26|5[cC])|u00(?:25|26|5[cC])"),
+    "&": re.compile(r"(?:amp|percnt|bsol|#(?:37|38|92)|#[xX](?:25|26|5[cC]));"),
+}
 #: What a stream begins with, and what unpacks it.
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
 _STREAMS = {
@@ -56,6 +68,8 @@ _STRETCH = re.compile(
     rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
     rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}"
 )
+#: Text of the ASCII characters in UTF-16, of both byte orders.
+_WIDE = re.compile(rb"(?:[\t-\r\x20-\x7e]\x00){12,}|(?:\x00[\t-\r\x20-\x7e]){12,}")
 #: Byte strings written with percent signs or escapes, and the tokens of one byte each.
 _PERCENT_TOKEN = r"%[0-9A-Fa-f]{2}|[!-$&-~]"
 _ESCAPE_TOKEN = r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|&#[0-9]{1,3};|&#[xX][0-9A-Fa-f]{1,2};|\\[ntr\\'"]|[\x20-\[\]-~]"""
@@ -138,6 +152,18 @@ def _unpercent(piece: str) -> str:
         return "".join(kept)
 
 
+def _shorten(piece: str) -> str:
+    """A chain of escapes that each give the sign of the next, down to the last sign, in one pass."""
+    sign, at = piece[0], 1
+    while link := _LINK[sign].match(piece, at):
+        if sign == "&":
+            sign = html.unescape("&" + link.group())
+        else:
+            sign = chr(int(link.group()[-2:], 16))
+        at = link.end()
+    return sign + piece[at:]
+
+
 def _in_place(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
     """The layer with every match decoded, or None if that changes nothing.
 
@@ -222,6 +248,9 @@ def _layers_of(raw: bytes, first: np.ndarray, last: np.ndarray, path: str, room:
             made.append(_layer_of(raw, first, last, path))
             continue
         if texts:
+            for m in _WIDE.finditer(raw):
+                a, b = m.span()
+                made.append(_layer_of(m.group().replace(b"\x00", b""), first[a:b:2], last[a + 1 : b : 2], path))
             made += [_layer_of(m.group(), first[slice(*m.span())], last[slice(*m.span())], path) for m in _STRETCH.finditer(raw)]
         at = 0
         while m := _MAGIC.search(raw, at):
@@ -243,16 +272,18 @@ def _layers_of(raw: bytes, first: np.ndarray, last: np.ndarray, path: str, room:
 
 def _decoded_runs(layer: Layer, room: Room) -> list[Layer]:
     made = []
-    for m in [*_BASE64.finditer(layer.text), *(_WRAPPED.finditer(layer.text) if "\n" in layer.text else ())]:
+    for m in [*_BASE64.finditer(layer.text), *(_WRAPPED.finditer(layer.text) if "\n" in layer.text or "\\n" in layer.text else ())]:
         spot = (m.group(), layer.origin(*m.span()))
         if spot in room.runs:  # a layer decoded in place has the runs of the one before
             continue
         room.runs.add(spot)
         run = m.group().rstrip("=")
         place = np.arange(m.start(), m.start() + len(run), dtype=np.int32)
-        if "\n" in run:
-            place = place[[c not in " \t\r\n" for c in run]]
-            run = "".join(run.split())
+        if _BREAK.search(run):
+            kept = np.ones(len(run), bool)
+            for gap in _BREAK.finditer(run):
+                kept[slice(*gap.span())] = False
+            place, run = place[kept], _BREAK.sub("", run)
         left = place if layer.start is None else layer.start[place]
         right = place + 1 if layer.end is None else layer.end[place]
         if m.group().endswith("="):  # a run has its padding
@@ -321,6 +352,9 @@ def layers(text: str, layer_bytes: int = LAYER_BYTES, unscanned: list[tuple[int,
         if unscanned is not None:
             unscanned += room.unscanned[before:]
         yield layer, len(room.unscanned) > before
+        if made := _in_place(layer, _CHAIN, _shorten, "chain"):
+            work += [x for x in [*found, made] if x.text]
+            continue
         if "%" in layer.text and (made := _in_place(layer, _PERCENT, _unpercent, "url")):
             found.append(made)
         if ("\\" in layer.text or "&" in layer.text) and (made := _in_place(layer, _ESCAPE, _unescape, "unicode")):
