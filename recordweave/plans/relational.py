@@ -49,6 +49,7 @@ from recordweave.operators.writes import (
     upserted_rows,
 )
 from recordweave.plans.buckets import BUCKET, Buckets, laid_over, present, read_buckets, touched, write_buckets
+from recordweave.plans.key_filter import KeyFilter
 from recordweave.plans.stages import ResumeError, StageStore, describe_frame, side_by_side
 from recordweave.sources.tables import empty_table, read_record, write_record
 from recordweave.storage import child_names, delete_folder, materialize
@@ -332,6 +333,12 @@ def drop_versions(spark: SparkSession, target: str) -> list[int]:
     return gone
 
 
+def filtered_until(spark: SparkSession, target: str, state: State) -> int | None:
+    """The last load whose event ids the filter knows."""
+    record = read_record(spark, f"{target}/v{state.generation}/filters/record")
+    return None if record is None else record["version"]
+
+
 def _apply(spark: SparkSession, target: str, state: State, version: int, batches: int) -> dict[str, dict[str, int]]:
     """Lay the rows an incremental load has written over the buckets they fall into; what was written and what was there already."""
 
@@ -362,6 +369,7 @@ def load_model(
     check: bool = True,
     buckets: int = BUCKETS,
     batches: int = 1,
+    event_filter: bool = False,
 ) -> LoadResult:
     """Load consolidated rows, and optionally events, into the model under ``target``.
 
@@ -376,7 +384,8 @@ def load_model(
     An incremental load reads the buckets that its rows fall into and writes only those; its audit looks at the rows
     that came in, and at the keys of those buckets.  ``buckets`` counts for a full load; an incremental one keeps what there is.  ``batches``
     is the number of jobs that write a table; a load that was cut goes on after the last of them if ``resume`` is set.  Until it does, a model
-    whose buckets were being rewritten takes no other load.
+    whose buckets were being rewritten takes no other load.  ``event_filter`` keeps a filter of the event ids beside the tables (``key_filter``),
+    so that an incremental load looks only for ids that may be there; a load without it makes the filter stale, and the next one with it fits it anew.
     """
     started = time.perf_counter()
     target = target.rstrip("/")
@@ -425,6 +434,9 @@ def load_model(
     def numbered(name: str, added: DataFrame, order: Sequence[str]) -> DataFrame:
         return number_rows(added, order, "id", after=state.next_id(name)).select(*empty[name].columns)
 
+    held = KeyFilter(spark, f"{target}/v{state.generation}/filters/evento", KEYS["evento"], state.buckets)
+    # An empty table needs no filter.
+    current = whole or filtered_until(spark, target, state) == state.version
     limited = consolidated if row_limit is None else head_n(consolidated, row_order, row_limit)
     people = loadable_people(limited.withColumn(ROW_ORDER, F.struct(*row_order)))
 
@@ -500,9 +512,17 @@ def load_model(
 
         def absent_events() -> DataFrame:
             incoming = event_rows(resolved)
-            return numbered("evento", absent_rows(near("evento", incoming), incoming, key, order).drop(*order), key)
-
-        save("evento", absent_events, after=["eventos_resolvidos"])
+            there = near("evento", incoming)
+            if event_filter and not whole:
+                return numbered("evento", held.absent_rows(there, incoming, order).drop(*order), key)
+            return numbered("evento", absent_rows(there, incoming, key, order).drop(*order), key)
+
+        if event_filter and not current:
+            held.fit(old("evento"))
+        added = save("evento", absent_events, after=["eventos_resolvidos"])
+        if event_filter:
+            # Before the table has them: a filter may know too many keys, never too few.
+            held.add(added, near("evento", added))
         return resolved.filter(F.col(SKIP_REASON).isNotNull()).drop(
             "pessoa_id", "tipo_evento_id", "_date", EVENT_ORDER
         )
@@ -531,6 +551,8 @@ def load_model(
         counts |= {name: {**counts[name], **done} for name, done in _apply(spark, target, state, version, batches).items()}
     highest = {name: max(state.next_id(name), store.counts[name]["highest"]) for name in KEYS}
     record = {"version": version, "generation": state.generation, "buckets": state.buckets, "highest": json.dumps(highest)}
+    if event_filter and (current or events is not None):
+        write_record(spark, f"{target}/v{state.generation}/filters/record", {"version": version}, "version long")
     write_record(spark, f"{target}/current", record, _STATE)
     return LoadResult(
         read_model(spark, target), violations, skipped, counts, round(time.perf_counter() - started, 3), version

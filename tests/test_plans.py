@@ -427,6 +427,23 @@ def test_incremental_load_modes(spark, run, target, rows):
     assert t["evento"].count() == 1
 
 
+def test_a_load_by_a_filter_of_event_ids_equals_one_without(spark, run, tmp_path, rows):
+    known = [r.cpf for r in run.consolidated.select("cpf").collect()]
+    make = lambda a, b: spark.range(a, b).select(
+        F.lit(known[0]).alias("cpf"), F.lit("admissao").alias("tipo_evento"), F.format_string("id-%d", "id").alias("id_evento"),
+        F.lit("2024-01-02").alias("data_evento"), F.format_string("%04d", "id").alias("numero_recibo"),
+    )
+    plain, kept = str(tmp_path / "plain"), str(tmp_path / "kept")
+    # The third load goes without the filter and the fourth without events; the fifth finds the filter behind the table.
+    batches = [(make(0, 60), True), (make(30, 90), True), (make(80, 120), False), (None, True), (make(100, 130), True)]
+    for number, (batch, filtered) in enumerate(batches):
+        options = {"incremental": number > 0, "on_violation": "quarantine", "check": False, "event_order": ("numero_recibo",), "buckets": 4}
+        a = load_model(spark, run.consolidated, batch, plain, **options)
+        b = load_model(spark, run.consolidated, batch, kept, event_filter=filtered, **options)
+        assert rows(a.tables["evento"]) == rows(b.tables["evento"])
+    assert b.tables["evento"].count() == 130
+
+
 def test_an_incremental_load_writes_what_comes_in(spark, run, target, rows):
     before = {name: table.count() for name, table in load(spark, run, target).tables.items()}
     one = run.consolidated.filter(F.col("cpf") == K4).withColumn("avaliacao_desempenho", F.lit(2.0))

@@ -28,6 +28,7 @@ from recordweave.operators.writes import (
     replace_by_key,
     upsert_latest,
 )
+from recordweave.plans.key_filter import KeyFilter
 from recordweave.plans.profiles import ProfileStore, ReferenceCounts
 from recordweave.plans.relational import event_rows, fixed_catalog, load_model, new_codes
 from recordweave.sources.tables import empty_table
@@ -221,14 +222,14 @@ def _resolved(spark, sf_dir) -> DataFrame:
     return resolve_events(ordered, people, fixed_catalog(spark, "tipo_evento"))
 
 
-@query(
-    "event_load",
-    f"""WITH {_EVENT_CTES}, loadable AS ({_LOADED}),
+_EVENT_LOAD = f"""WITH {_EVENT_CTES}, loadable AS ({_LOADED}),
       old AS (SELECT * FROM loadable WHERE data_evento < DATE '2024-01-11' AND place = 1)
     SELECT * EXCLUDE (place, event_id) FROM old UNION ALL
     SELECT * EXCLUDE (place, event_id) FROM loadable WHERE place = 1
-      AND id_evento_origem NOT IN (SELECT id_evento_origem FROM old)""",
-)
+      AND id_evento_origem NOT IN (SELECT id_evento_origem FROM old)"""
+
+
+@query("event_load", _EVENT_LOAD)
 def event_load(spark, sf_dir):
     loadable = materialize(event_rows(_resolved(spark, sf_dir)), "events")
     key, order = ["id_evento_origem"], ["_event_order"]
@@ -237,6 +238,19 @@ def event_load(spark, sf_dir):
     return insert_if_absent(old, loadable, key, order).drop("_event_order")
 
 
+@query("event_load_filtered", _EVENT_LOAD)
+def event_load_filtered(spark, sf_dir):
+    """The same load by a filter of the ids that are there, which two batches had been added to."""
+    loadable = materialize(event_rows(_resolved(spark, sf_dir)), "events")
+    key, order = ["id_evento_origem"], ["_event_order"]
+    old = full_refresh(loadable, key, order).filter("data_evento < date '2024-01-11'")
+    old = materialize(old, "old_events")
+    held = KeyFilter(spark, new_folder(spark, "event-filter"), tuple(key))
+    for batch in ("data_evento < date '2024-01-06'", "data_evento >= date '2024-01-06'"):
+        held.add(old.filter(batch), old)
+    return old.unionByName(held.absent_rows(old, loadable, order)).drop("_event_order")
+
+
 @query(
     "event_rejects",
     f"""WITH {_EVENT_CTES} SELECT event_id, cpf, tipo_evento, id_evento, data_evento, motivo_descarte
