@@ -37,8 +37,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(top, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(package)))
-    folder, name = new_folder(spark, "source"), f"recordweave-{application}.zip"
-    write_file(folder, name, [packed.getvalue()])
+    folder = new_folder(spark, "source")
+    name, _ = write_file(folder, f"recordweave-{application}", ".zip", [packed.getvalue()])
     spark.sparkContext.addPyFile(f"{folder}/{name}")
     _shipped.add(application)
 

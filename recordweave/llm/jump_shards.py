@@ -58,9 +58,13 @@ def jump_shard(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step, lambda s: s["bucket"].cast("int"))
 
 
-def slot_part(key: Column) -> Column:
-    """The part in which a row is numbered: the top eight bits of the generator's first number."""
-    return F.floor(next_state(unsigned(key)) / _wide(_TWO_64 // SLOT_PARTS)).cast("int")
+def slot_part(key: Column, size: Column, checksum: Column) -> Column:
+    """The part in which a row is numbered: the top eight bits of the generator's number for the id plus its text's size and checksum.
+
+    The shard follows from the id alone, the part does not, so a shard whose rows have one id is numbered by many tasks too.
+    """
+    mixed = (unsigned(key).cast(_WIDE) + checksum.cast(_WIDE) * _wide(1 << 32) + size.cast(_WIDE)) % _wide(_TWO_64)
+    return F.floor(next_state(mixed.cast("decimal(20,0)")) / _wide(_TWO_64 // SLOT_PARTS)).cast("int")
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
@@ -83,18 +87,19 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         "*", F.lit("key").alias("law"), jump_shard(key, shards).alias("shard"), jump_shard(key, shards + 1).alias("grown_shard")
     )
     order = [F.col("doc_id").asc_nulls_first(), "size", "text_crc32"]
-    numbered = number_within(placed, ["shard"], slot_part(key), order, "slot")
+    numbered = number_within(placed, ["shard"], slot_part(key, F.col("size"), F.col("text_crc32")), order, "slot")
     return numbered.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", shards: int = SHARDS) -> None:
     """Write all columns of ``docs`` as Parquet in one folder ``shard=k`` for each shard.
 
-    Rows are dealt by shard and part of the shard, so several tasks write one shard.
+    Rows are dealt by shard and a hash of the row, so several tasks write one shard, also where its rows have one id.
     """
     key = F.col(f"`{id_col}`").cast("bigint")
     placed = docs.withColumn("shard", jump_shard(key, shards))
-    placed.repartition("shard", F.pmod(slot_part(key), F.lit(8))).write.partitionBy("shard").parquet(path)
+    cells = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    placed.repartition("shard", F.pmod(F.xxhash64(*cells), F.lit(8))).write.partitionBy("shard").parquet(path)
 
 
 #: The same result in DuckDB; HUGEINT holds the products, and the checksum is taken byte by byte from a table of its 256 steps.
@@ -133,7 +138,8 @@ shards AS (
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (
          PARTITION BY shard
-         ORDER BY (base * {_MULTIPLIER}::HUGEINT + 1) % {_TWO_64}::HUGEINT >> 56, doc_id NULLS FIRST, size, text_crc32
+         ORDER BY ((base + text_crc32::HUGEINT * 4294967296::HUGEINT + size) % {_TWO_64}::HUGEINT * {_MULTIPLIER}::HUGEINT + 1) % {_TWO_64}::HUGEINT >> 56,
+           doc_id NULLS FIRST, size, text_crc32
        ) - 1 AS slot,
        grown_shard
 FROM sums JOIN shards USING (r)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordweave.llm.common import materialize, ship_package, slices
-from recordweave.llm.files import make_folder, partition_number, write_file
+from recordweave.llm.files import listed, make_folder, partition_number, write_file
 from recordweave.llm.tokens import encoder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -332,7 +332,6 @@ def write_ids(
                 total += sum(map(len, ids)) // 4
                 yield batch.column("doc_id").to_pylist(), ids
 
-        name = f"part-{partition_number():06d}.ids"
         feed = documents()
         head = next(feed, None)
         if head is None:
@@ -342,7 +341,7 @@ def write_ids(
             yield head
             yield from feed
 
-        size = write_file(folder, name, encode_file(chained()))
+        name, size = write_file(folder, f"part-{partition_number():06d}", ".ids", encode_file(chained()))
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([total]), pa.array([size])], ["file", "n_ids", "bytes"])
 
     return materialize(ranged.mapInArrow(run, "file string, n_ids bigint, bytes bigint"), "id-files")
@@ -355,6 +354,7 @@ def read_ids(spark: SparkSession, folder: str, files: DataFrame, keep_ids: bool
     """
     ship_package(spark)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder).select("path", "content")
+    found = listed(found, files)
     names = ["file", "doc_id", "local", "n_tokens", "ids_crc32"] + ["ids"] * keep_ids
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
 

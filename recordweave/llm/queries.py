@@ -113,8 +113,8 @@ FROM turns GROUP BY conv_id
 @_query
 def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
-    write_warc(_table(spark, sf_dir, "pages"), folder)
-    records = read_warc(spark, folder).where("reason IS NULL")
+    files = write_warc(_table(spark, sf_dir, "pages"), folder)
+    records = read_warc(spark, folder, files=files).where("reason IS NULL")
 
     def page(name: str) -> Column:
         number = F.regexp_extract(name, f"<{RECORD_NAME}(-?[0-9]+)>", 1)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordweave.llm.common import materialize, ship_package, slices
-from recordweave.llm.files import make_folder, partition_number, write_file
+from recordweave.llm.files import listed, make_folder, partition_number, write_file
 from recordweave.operators.lookup import broadcast_if_small
 
 #: Shortest payload that is stored once.
@@ -89,8 +89,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
         def close() -> None:
             nonlocal held, size, count, files
-            name = f"part-{part:05d}-{files:04d}.warc.gz"
-            done.append((name, count, write_file(folder, name, held)))
+            name, written = write_file(folder, f"part-{part:05d}-{files:04d}", ".warc.gz", held)
+            done.append((name, count, written))
             held, size, count, files = [], 0, 0, files + 1
 
         for batch in slices(batches, "payload"):
@@ -300,15 +300,17 @@ def _row(path: str, found: Found) -> tuple:
     return path, found.start, found.end, None, kind, h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-refers-to"), digest, size, body
 
 
-def read_warc(spark: SparkSession, folder: str, pattern: str = "*.warc*") -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, pattern: str = "*.warc*", files: DataFrame | None = None) -> DataFrame:
     """A row for every record and every gap in the files of ``folder`` (packed or plain).
 
     A gap has a ``reason`` and no record columns; ``start`` and ``end`` are bytes of the file.  A
     record has no reason; ``payload`` is null for revisits, whose digest and length are those stated.  An empty file gives no rows.
-    Each file is read by one task, as one value of Spark's binary file source.
+    Each file is read by one task, as one value of Spark's binary file source.  ``files`` is what ``write_warc`` returned: other files
+    in the folder, such as those of a task that was run again, are left out.
     """
     ship_package(spark)
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "content")
+    found = found if files is None else listed(found, files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]

@@ -1,6 +1,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -46,6 +47,19 @@ def test_edge_rows(edge, docs_of):
     assert jump.shard(docs_of([])).count() == 0
 
 
+def test_a_third_of_the_rows_under_a_null_id_are_numbered_in_parts(spark):
+    docs = spark.range(6000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "repeat('x', cast(id % 700 as int)) || id as text")
+    part = jump.slot_part(F.col("doc_id"), F.col("size"), F.col("text_crc32"))
+    rows = jump.shard(docs).withColumn("part", part).collect()
+    hot = [r for r in rows if r.doc_id is None]
+    assert len(hot) == 2000 and len({r.shard for r in hot}) == 1
+    counts = Counter(r.part for r in hot)
+    assert len(counts) > 240 and max(counts.values()) < 30
+    for k in range(16):
+        slots = sorted(r.slot for r in rows if r.shard == k)
+        assert slots == list(range(len(slots)))
+
+
 def test_files(spark, edge, tmp_path):
     jump.write_shards(edge, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from recordweave.llm import warc
+from recordweave.llm.files import write_file
 from recordweave.storage import new_folder
 
 
@@ -100,7 +101,7 @@ def test_round_trip(spark):
     folder = new_folder(spark, "warc-test")
     files = warc.write_warc(pages, folder)
     assert files.agg({"records": "sum"}).first()[0] == 12
-    back = warc.read_warc(spark, folder).collect()
+    back = warc.read_warc(spark, folder, files=files).collect()
     assert all(r.reason is None for r in back)
     number = lambda name: None if name is None or "None" in name else int(name.strip("<>").rsplit(":", 1)[1])
     got = sorted(((number(r.record_id), r.payload_bytes, r.payload_digest, r.warc_type, number(r.refers_to)) for r in back), key=str)
@@ -126,3 +127,15 @@ def test_files_are_closed_by_size(spark, monkeypatch):
     pages = spark.range(50).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 50) as html")
     warc.write_warc(pages, folder)
     assert warc.read_warc(spark, folder).count() == 50
+
+
+def test_files_of_other_attempts_are_not_read(spark):
+    folder = new_folder(spark, "warc-test")
+    pages = spark.range(20).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 50) as html")
+    files = warc.write_warc(pages, folder)
+    # A task that is run again leaves files of its own; of one that is killed, a part.
+    warc.write_warc(pages.where("page_id < 7"), folder)
+    write_file(folder, "part-00000-0000", ".warc.gz", [b"\x1f\x8b cut"])
+    back = warc.read_warc(spark, folder, files=files)
+    assert back.where("reason IS NULL").count() == back.count() == 20
+    assert warc.read_warc(spark, folder).where("reason IS NULL").count() == 27
