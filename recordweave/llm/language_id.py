@@ -28,8 +28,8 @@ from recordweave.llm.common import materialize, ship_package, slices, without
 SAMPLE_SYMBOLS = 1 << 19
 LANGUAGE_SYMBOLS = 1 << 15
 LANGUAGE_EXCERPTS = 64
-#: Most languages told apart: those with most labelled documents.
-LANGUAGES = 256
+#: Symbols a language gets at least: with more languages than the sample has room for, the sample grows with them.
+LEAST_SYMBOLS = 64
 PIECE = 512
 UNDETERMINED = "und"
 #: A text of at least ``MIN_SYMBOLS`` that costs more bits per symbol than the limit of its best language is no text of any of them.
@@ -51,26 +51,27 @@ class Sample:
 def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Sample:
     """Collect the bounded sample from the rows of ``docs`` where ``usable`` holds.
 
-    Every language gives at most ``LANGUAGE_EXCERPTS`` excerpts from the middle of distinct texts, those
+    Every value of ``lang`` is learned.  They share the symbols evenly, down to ``LEAST_SYMBOLS`` each.  Every
+    language gives at most ``LANGUAGE_EXCERPTS`` excerpts from the middle of distinct texts, those
     with the lowest text hash, so that neither copies nor file order matter.
     """
     text = F.col(f"`{text_col}`")
     rows = docs.where(usable & F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.xxhash64(text).alias("hash"), text.alias("text")
     )
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("hash").alias("texts"))
-    most = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    names = sorted(r.lang for r in most)
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("texts"))
+    every = sizes.collect()
+    names = sorted(r.lang for r in every)
     if not names:
         return Sample((), ())
-    share = min(LANGUAGE_SYMBOLS, SAMPLE_SYMBOLS // len(names))
+    share = max(LEAST_SYMBOLS, min(LANGUAGE_SYMBOLS, SAMPLE_SYMBOLS // len(names)))
     width = max(32, share // LANGUAGE_EXCERPTS)
     # short texts fill less than their excerpt, so more of them are fetched than a full share takes
     fetched = 4 * LANGUAGE_EXCERPTS
     middle = F.greatest(F.lit(1), F.floor((F.length("text") - F.lit(width)) / 2).cast("int"))
     # only hashes below a bound that some thousand distinct texts of a language are under get as far as the shuffle
     bound = F.create_map(*[
-        x for r in most for x in (F.lit(r.lang), F.lit(min((1 << 63) - 1, int((1 << 63) * 16 * fetched / max(1, r.texts)))))
+        x for r in every for x in (F.lit(r.lang), F.lit(min((1 << 63) - 1, int((1 << 63) * 16 * fetched / max(1, r.texts)))))
     ])
     low = F.shiftrightunsigned("hash", 1) <= bound[F.col("lang")]
     cut = rows.where(low).select("lang", "hash", F.substring("text", middle, F.lit(width)).alias("text"))

@@ -132,3 +132,15 @@ def test_held_out_accuracy(documents):
 def test_held_out_rows_have_no_part_in_learning(documents):
     changed = documents.withColumn("lang", F.when(lang.held_out(), F.lit("xx")).otherwise(F.col("lang")))
     assert lang.learn(changed, ~lang.held_out()) == lang.learn(documents, ~lang.held_out())
+
+
+def test_every_label_is_learned_however_many_there_are(spark):
+    rng = random.Random(4)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(10)] for _ in range(300)]
+    made = [(10 * i + j, " ".join(rng.choices(words[i], k=40)), f"l{i:03d}") for i in range(300) for j in range(4)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    sample = lang.learn(docs, F.col("doc_id") % 10 < 3)
+    assert sample.names == tuple(f"l{i:03d}" for i in range(300))
+    rest = docs.where("doc_id % 10 = 3")
+    got = {r.doc_id: r.lang_pred for r in lang.identify(rest, sample).collect()}
+    assert got == {10 * i + 3: f"l{i:03d}" for i in range(300)}
