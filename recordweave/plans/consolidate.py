@@ -28,11 +28,13 @@ from recordweave.operators.standardise import (
 from recordweave.plans.clustered import Clustered, clustered_table, common_columns
 from recordweave.plans.stages import (
     OPEN_FOLDERS,
+    WIDE_ROWS,
     StageStore,
     describe_files,
     describe_frame,
     session_settings,
     side_by_side,
+    under,
 )
 from recordweave.sources.contracts import KEY, SOURCES, SourceSpec, to_canonical
 from recordweave.sources.delimited import FILE_ORDER, read_delimited, write_delimited
@@ -124,6 +126,7 @@ def transform(
     return marked.withColumn(STATUS, status).drop(KEPT)
 
 
+@under(WIDE_ROWS)
 def consolidate(
     spark: SparkSession,
     inputs: Mapping[str, SourceInput],

@@ -50,7 +50,7 @@ from recordweave.operators.writes import (
 )
 from recordweave.plans.buckets import BUCKET, Buckets, laid_over, present, read_buckets, touched, write_buckets
 from recordweave.plans.key_filter import KeyFilter
-from recordweave.plans.stages import ResumeError, StageStore, describe_frame, side_by_side
+from recordweave.plans.stages import WIDE_ROWS, ResumeError, StageStore, describe_frame, side_by_side, under
 from recordweave.sources.tables import empty_table, read_record, write_record
 from recordweave.storage import child_names, delete_folder, materialize
 
@@ -355,6 +355,7 @@ def _apply(spark: SparkSession, target: str, state: State, version: int, batches
     return dict(zip(KEYS, side_by_side(spark, [partial(lay_over, name) for name in KEYS]), strict=True))
 
 
+@under(WIDE_ROWS)
 def load_model(
     spark: SparkSession,
     consolidated: DataFrame,

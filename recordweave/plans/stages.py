@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import wraps
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -41,6 +42,14 @@ class Stage:
 
 # A few output folders open at once save sorting every task by the split column.
 OPEN_FOLDERS = {"spark.sql.maxConcurrentOutputFileWriters": "8"}
+# Wide sources: a loop too long for the JVM to compile is left to shorter functions (HotSpot's limit), and a join whose
+# partitions turn out small on one side (shuffled size) hashes that side instead of sorting the full rows of the other.
+WIDE_ROWS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+# Row groups of stage tables: a table that one task wrote is read by as many as its size is worth.
+ROW_GROUP_BYTES = 4 * 1024 * 1024
 
 
 @contextmanager
@@ -59,6 +68,20 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
                 spark.conf.set(name, value)
 
 
+def under(settings: Mapping[str, str]) -> Callable[[Callable[..., T]], Callable[..., T]]:
+    """Run a function, whose first argument is the session, under settings of the session."""
+
+    def wrap(function: Callable[..., T]) -> Callable[..., T]:
+        @wraps(function)
+        def run(spark: SparkSession, *args: object, **options: object) -> T:
+            with session_settings(spark, settings):
+                return function(spark, *args, **options)
+
+        return run
+
+    return wrap
+
+
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
     """Run independent stages at once, so that one's last tasks do not idle the cluster."""
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
@@ -212,7 +235,7 @@ class StageStore:
                 if clustered:
                     write_clustered(watched, self.path(place), clustered, split_by)
                 else:
-                    writer = watched.write.mode("overwrite")
+                    writer = watched.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
                     if split_by:
                         writer = writer.partitionBy(split_by)
                     writer.parquet(self.path(place))

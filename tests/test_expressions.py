@@ -158,3 +158,8 @@ def test_expressions_stay_in_the_jvm(spark, function):
     frame = spark.createDataFrame([("x",)], "c string").select(function(F.col("c")))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_the_key_is_matched_by_one_pattern(spark):
+    text = spark.range(1).select(normalize_key(F.lit("1").cast("string")).alias("k"))._jdf.queryExecution().logical().toString()
+    assert "regexp_extract" not in text

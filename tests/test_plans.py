@@ -4,6 +4,7 @@ import pathlib
 from functools import reduce
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -686,3 +687,46 @@ def test_reference_counts_follow_every_change(spark, tmp_path, rows):
     near = store.counts(touched(make([2]).select(F.col("k").cast("string")), ["k"], 32))
     assert near.select(F.input_file_name()).distinct().count() == 1 < store.counts().select(F.input_file_name()).distinct().count()
     assert rows(store.referring(make([]), "k")) == [("event", 0), ("job", 0)]
+
+
+def test_a_stage_table_of_one_task_is_read_by_several(spark, tmp_path, monkeypatch):
+    from recordweave.plans import stages
+
+    monkeypatch.setattr(stages, "ROW_GROUP_BYTES", 64 * 1024)
+    df = spark.range(40_000, numPartitions=1).select(F.sha2(F.col("id").cast("string"), 256).alias("cpf"))
+    StageStore(spark, str(tmp_path), {}).run("wide", lambda: df, {"rows": F.count(F.lit(1))})
+    (written,) = (tmp_path / "stages" / "wide").glob("*.parquet")
+    assert pq.ParquetFile(written).num_row_groups > 1
+
+
+def test_wide_rows_are_not_sorted_for_a_join_with_small_partitions(spark, inputs, tmp_path, monkeypatch):
+    from recordweave.plans import consolidate as job
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    key, plans = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", []
+    before = spark.conf.get(key)
+
+    def watched(frames, **options):
+        left, right = (spark.range(500).select(F.col("id").alias("k"), F.lit(i).alias(f"v{i}")) for i in range(2))
+        joined = left.join(right, "k")
+        assert joined.count() == 500
+        joined.collect()
+        plans.append(joined._jdf.queryExecution().toString())
+        return merge_by_priority(frames, **options)
+
+    monkeypatch.setattr(job, "merge_by_priority", watched)
+    try:
+        consolidate(spark, inputs, str(tmp_path / "run"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plans[0].partition("Initial Plan")[0]
+    assert spark.conf.get(key) == before
+
+
+def test_settings_of_a_job_end_with_it(spark, tmp_path):
+    from recordweave.plans.stages import WIDE_ROWS
+
+    before = {name: spark.conf.get(name) for name in WIDE_ROWS}
+    with pytest.raises(KeyError):
+        consolidate(spark, {}, str(tmp_path / "run"))
+    assert {name: spark.conf.get(name) for name in WIDE_ROWS} == before
