@@ -43,12 +43,12 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
-def slices(batches: Iterator[pa.RecordBatch], sized: str) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the column ``sized`` of one slice stays near ``SLICE_BYTES``."""
+def slices(batches: Iterator[pa.RecordBatch], sized: str, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the column ``sized`` of one slice stays near ``size`` bytes, and its rows within ``rows``."""
     for batch in batches:
         column = batch.column(sized)
         width = max(1, column.nbytes // max(1, len(batch)))
-        step = max(1, min(SLICE_ROWS, SLICE_BYTES // width))
+        step = max(1, min(rows, size // width))
         for start in range(0, len(batch), step):
             yield batch.slice(start, step)
 

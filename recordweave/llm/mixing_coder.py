@@ -7,12 +7,15 @@ without the others.  Within a block three predictions of the next id are mixed i
 * order 1: the id that last followed the id before, likewise;
 * order 0: the ids of the segment by frequency.
 
-The interval of the range coder is divided into "as order 2 says", "as order 1 says" and "neither"; the shares
-are counts that adapt, kept for each combination of the two confidences and whether both predict the same.
-The part "neither" is divided among all ids by their order-0 frequency.
+An interval is divided into "as order 2 says", "as order 1 says" and "neither"; the shares
+adapt, and are kept for each combination of the two confidences and whether both predict the same.
+The part "neither" is divided among all ids by their order-0 frequency.  Both totals are powers of two, so the intervals
+are coded by the range variant of asymmetric numeral systems (rANS): writing goes from the last id to the first,
+reading needs no division, and a state gives off or takes in one word an id at most.
 
-A model that adapts id by id can't be run over a block at once, but many blocks can be run side by
-side: one step codes the k-th id of every block of a segment, as NumPy operations over the blocks.
+A model that adapts id by id can't be run over a block at once, but many blocks can be run side
+by side: one step codes the k-th id of every block of a segment, as NumPy operations over the blocks.
+What needs no earlier step (the places in the tables, the shares to write) is done for many steps at once.
 
 File: segments, each with header, order-0 table, a directory (ids, words, checksum) and the words of its
 blocks; then the documents (id, number of ids); at the end the place of the documents and a mark.
@@ -35,115 +38,97 @@ from recordweave.llm.files import listed, make_folder, partition_number, write_f
 from recordweave.llm.tokens import encoder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-#: Ids in a block, and blocks in a segment, which run side by side.
+#: Pieces of text whose ids a worker remembers, some 200 bytes each.
+PIECES = 1_000_000
+#: Rows, and bytes of text, whose pieces are looked up together.
+ROWS, BYTES = 1 << 14, 8 << 20
+#: Ids in a block, and blocks in a segment, which run side by side.  A file's last segment has up to half as many more, since few blocks take
+#: nearly as long as many.
 BLOCK, LANES = 2048, 2048
 #: Bits of the order-1 and order-2 table of a block.
 _HASH_1, _HASH_2 = 10, 11
-#: A state of 64 bits gives off its top 16 once they are settled, and is cut to less than ``_BOTTOM`` bits where they would not settle.
-_TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_WORD, _EDGE = np.uint64(16), np.uint64(48)
-#: The order-0 frequencies of a segment sum to two to this power.
-_SHARE_BITS = 18
-#: Counts begin here, and stay below the limit for a whole block, so that they need no halving.
-_COUNT_START, _COUNT_LIMIT = (8, 4, 8), 1 << 14
-_CONTEXTS = 128
-_SEGMENT, _FILE = b"RWS1", b"RWF1"
+#: The shares of the predictions, and the order-0 frequencies of a segment, sum to two to these powers.
+_MIX_BITS, _SHARE_BITS = 12, 18
+#: States lie between these powers of two; a word is 32 bits.
+_LEAST, _MOST, _WORD = 31, 63, np.uint64(32)
+#: An entry is an id above seven bits; order 1 has its confidence in the bits from the first on, order 2 from the fourth.
+_ID, _STEP = 7, np.array([[1 << 1], [1 << 4]], np.uint32)
+_SURE, _TRUSTED, _PLAIN = 7 * _STEP, 6 * _STEP, ~(7 * _STEP)
+_CONTEXTS = 1 << _ID
+#: Two shares of 16 bits in one number, order 2 below order 1: they lose a part of this power, and the one that was right gains this.
+_RATE, _GAIN = 5, (1 << 11) - 32
+_KEPT = np.uint32((0xFFFF >> _RATE) * 0x10001)
+_GAINS = np.array([_GAIN, _GAIN << 16, 0], np.uint32)
+#: Steps for which an array is made at once.
+_STEPS = 16
+_SEGMENT, _FILE = b"RWS2", b"RWF1"
+
+
+def _first_shares() -> np.ndarray:
+    """The shares a block begins with: more for a prediction with more hits, none for order 1 where it says the same as order 2."""
+    context = np.arange(_CONTEXTS)
+    hits_2, hits_1, same = context >> 4, context >> 1 & 7, context & 1
+    by_2 = hits_2 / (hits_2 + 3)
+    by_1 = (1 - by_2) * hits_1 / (hits_1 + 6) * (1 - same)
+    return ((by_2 * 64000).astype(np.uint32) | (by_1 * 64000).astype(np.uint32) << 16).astype(np.uint32)
 
 
 class Predictions:
-    """The order-1 and order-2 tables of all blocks, and the counts that mix them."""
-
-    def __init__(self, lanes: int, block: int) -> None:
-        step = min(24, (_COUNT_LIMIT - sum(_COUNT_START)) // block)
-        if step < 1:
-            raise ValueError(f"a block may have {_COUNT_LIMIT - sum(_COUNT_START)} ids at most")
-        # what each choice adds to the counts of order 2, order 1, neither, and to their sum
-        self.added = np.array([[step if i == j or j == 3 else 0 for j in range(4)] for i in range(3)], np.int32)
+    """The order-1 and order-2 tables of all blocks, and the shares that mix them."""
+
+    def __init__(self, lanes: int) -> None:
         at = np.arange(lanes)
-        self.first, self.second = np.zeros(lanes << _HASH_1, np.int32), np.zeros(lanes << _HASH_2, np.int32)
-        self.first_at, self.second_at, self.count_at = at << _HASH_1, at << _HASH_2, at * _CONTEXTS
-        # four numbers of 32 bits a context, moved as one value of 128 bits, which NumPy gathers and scatters much faster than rows
-        start = np.array([*_COUNT_START, sum(_COUNT_START)], np.int32)
-        self.counts = np.repeat(start.view(np.complex128), lanes * _CONTEXTS)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-
-    def predict(self, k: int) -> None:
-        """Look up what the first ``k`` blocks expect."""
-        last = self.last[:k] * 40503
-        self.i1 = self.first_at[:k] + (last >> 4 & ((1 << _HASH_1) - 1))
-        self.i2 = self.second_at[:k] + ((last + self.before[:k] * 30011) >> 3 & ((1 << _HASH_2) - 1))
-        self.e1, self.e2 = self.first.take(self.i1), self.second.take(self.i2)
-        self.p1, self.p2 = self.e1 >> 3, self.e2 >> 3
-        self.context = self.count_at[:k] + ((self.e2 & 7) << 4 | (self.e1 & 7) << 1 | (self.p1 == self.p2))
-        self.row = self.counts.take(self.context).view(np.int32).reshape(k, 4)
-        parts = self.row.T.astype(np.uint64)
-        self.c2, self.c0, self.total = parts[0], parts[2], parts[3]
-        self.edge = parts[0] + parts[1]
-
-    def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
-        """Take in the ids that came, and which prediction they were (0: order 2, 1: order 1, 2: neither)."""
-        self.counts[self.context] = (self.row + self.added.take(choice, axis=0)).view(np.complex128).ravel()
-        fresh = ids << 3 | 1
-        for table, place, entry, guess in ((self.first, self.i1, self.e1, self.p1), (self.second, self.i2, self.e2, self.p2)):
-            missed = np.where(entry & 6, entry & -8 | 1, fresh)  # an entry that has earned trust loses it first
-            table[place] = np.where(guess == ids, np.minimum(entry + 1, entry | 7), missed)
-        k = len(ids)
-        self.before[:k] = self.last[:k]
-        self.last[:k] = ids
-
-
-class RangeCoder:
-    """Carry-less range coding of many streams of 16-bit words."""
-
-    def __init__(self, lanes: int, words: np.ndarray | None = None, starts: np.ndarray | None = None, room: int = 0) -> None:
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, ~np.uint64(0), np.uint64)
-        self.words = words if words is not None else np.zeros(lanes * room, np.uint16)
-        self.starts = starts if starts is not None else np.arange(lanes, dtype=np.int64) * room
-        self.at = self.starts.copy()
-        self.code = None
-        if words is not None:
-            self.code = np.zeros(lanes, np.uint64)
-            for _ in range(4):
-                self.code = self.code << _WORD | self.words[self.at]
-                self.at += 1
-
-    def units(self, total: np.ndarray) -> np.ndarray:
-        """What one part of ``total`` << ``_SHARE_BITS`` is worth in the first streams."""
-        return self.range[: len(total)] // (total << np.uint64(_SHARE_BITS))
-
-    def values(self, unit: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Where the first streams are inside the total (reading)."""
-        k = len(unit)
-        return np.minimum((self.code[:k] - self.low[:k]) // unit, (total << np.uint64(_SHARE_BITS)) - np.uint64(1))
-
-    def narrow(self, unit: np.ndarray, below: np.ndarray, size: np.ndarray) -> None:
-        """Go on with ``size`` parts from ``below`` on, and move whole words out (or in) until every range is wide enough."""
-        k = len(unit)
-        low = self.low[:k]
-        low += unit * below
-        span = self.range[:k] = unit * size
-        who = np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
-        while len(who):
-            low, span = self.low[who], self.range[who]
-            settled = (low ^ (low + span)) < _TOP
-            span = np.where(settled, span, (~low + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            spots = self.at[who]
-            if self.code is not None:
-                self.code[who] = (self.code[who] << _WORD) | self.words[spots]
-            else:
-                self.words[spots] = low >> _EDGE
-            self.at[who] = spots + 1
-            low, span = low << _WORD, span << _WORD
-            self.low[who], self.range[who] = low, span
-            who = who[((low ^ (low + span)) < _TOP) | (span < _BOTTOM)]
-
-    def finish(self) -> None:
-        """Write out the rest of the state."""
-        for k in (48, 32, 16, 0):
-            self.words[self.at] = self.low >> np.uint64(k) & np.uint64(0xFFFF)
-            self.at += 1
+        # both tables in one array, order 1 before order 2
+        self.entries = np.zeros((lanes << _HASH_1) + (lanes << _HASH_2), np.uint32)
+        self.entry_at = np.stack([at << _HASH_1, (lanes << _HASH_1) + (at << _HASH_2)])
+        self.share_at = at * _CONTEXTS
+        self.shares = np.tile(_first_shares(), lanes)
+
+    def places(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Where the entries for the two ids before are, for order 1 and order 2; the last axis is the first blocks."""
+        k = last.shape[-1]
+        out = np.empty((*last.shape[:-1], 2, k), np.int64)
+        out[..., 0, :] = last & ((1 << _HASH_1) - 1)
+        out[..., 1, :] = (last * 30011 + before) & ((1 << _HASH_2) - 1)
+        out += self.entry_at[:, :k]
+        return out
+
+    def predict(self, places: np.ndarray) -> np.ndarray:
+        """Look up what the first blocks expect, and return the two shares of their contexts."""
+        self.at = places
+        self.found = self.entries.take(places)
+        first, second = self.found
+        same = ((first ^ second) < _CONTEXTS).astype(np.uint32)
+        self.context = ((first | second) & (_CONTEXTS - 2) | same).astype(np.int64)
+        self.context += self.share_at[: len(first)]
+        self.row = self.shares.take(self.context)
+        return self.row
+
+    def learn(self, ids: np.ndarray) -> np.ndarray:
+        """Take in the ids that came (shifted), and return which prediction they were (0: order 2, 1: order 1, 2: neither).
+
+        An entry that was right grows in confidence; one that was wrong is replaced, but loses its trust first if it has earned some.
+        """
+        found = self.found
+        hit = (found ^ ids) < _CONTEXTS
+        by_1, by_2 = hit.view(np.uint8)
+        choice = (2 - by_1) * (1 - by_2)
+        self.shares[self.context] = self.row - (self.row >> _RATE & _KEPT) + _GAINS.take(choice)
+        missed = np.where(found & _TRUSTED, found & _PLAIN, ids) | _STEP
+        self.entries[self.at] = np.where(hit, np.minimum(found + _STEP, found | _SURE), missed)
+        return choice
+
+
+def _edges(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where order 1 and "neither" begin in two to the power of ``_MIX_BITS``, from the two shares."""
+    least = ((row & 0xFFFF) >> 16 - _MIX_BITS) + 1
+    return least, least + ((row >> 32 - _MIX_BITS) + 1)
+
+
+def _interval(least: np.ndarray, edge: np.ndarray, not_2: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the interval of what came begins, and its size; sums that wrap around take half the time of a choice by ``where``."""
+    not_2, rest, middle = not_2.astype(np.uint32), rest.astype(np.uint32), edge - least
+    return not_2 * least + rest * middle, least + not_2 * (middle - least) + rest * ((1 << _MIX_BITS) - edge - middle)
 
 
 def _order_0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,42 +147,73 @@ def _blocks(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), side="left")
 
 
+def _turn(rows: np.ndarray, out: np.ndarray) -> None:
+    """Write the columns of ``rows`` as the rows of ``out``, by squares that stay in the cache."""
+    for i in range(0, rows.shape[0], 64):
+        for j in range(0, rows.shape[1], 64):
+            out[j : j + 64, i : i + 64] = rows[i : i + 64, j : j + 64].T
+
+
 def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment with all ``ids``, which are below 2^20."""
-    ids = np.ascontiguousarray(ids, np.int64)
-    starts = np.arange(0, len(ids), block)
-    lengths = np.minimum(block, len(ids) - starts)
-    order, running = _blocks(lengths)
+    ids = np.ascontiguousarray(ids, np.uint32)
+    count = -(-len(ids) // block)
+    longest = min(block, len(ids))
+    lengths = np.minimum(block, len(ids) - np.arange(count) * block)  # only the last may be shorter, so they fall
+    running = _blocks(lengths)[1].tolist()
     known, share = _order_0(ids) if len(ids) else (np.empty(0, np.int64), np.empty(0, np.int64))
-    below = np.concatenate([[0], np.cumsum(share)])
-    place_of = np.zeros(int(known[-1]) + 1 if len(known) else 1, np.int64)
-    place_of[known] = np.arange(len(known))  # of every id in the order-0 table
-    first = starts[order]
-    model, coder = Predictions(len(order), block), RangeCoder(len(order), room=3 * block + 64)
-    share_of, below_of = share.astype(np.uint64), below.astype(np.uint64)
-    bits = np.uint64(_SHARE_BITS)
-    for step, k in enumerate(running.tolist()):
-        spots = first[:k] + step
-        now = ids.take(spots)
-        model.predict(k)
-        by_2 = model.p2 == now
-        choice = np.where(by_2, 0, 2 - (model.p1 == now))
-        spot = place_of.take(now)
-        rest = choice == 2
-        low = np.where(rest, (model.edge << bits) + below_of.take(spot) * model.c0, np.where(by_2, np.uint64(0), model.c2 << bits))
-        size = np.where(rest, share_of.take(spot) * model.c0, np.where(by_2, model.c2, model.edge - model.c2) << bits)
-        coder.narrow(coder.units(model.total), low, size)
-        model.learn(now, choice)
-    coder.finish()
-    words = coder.at - coder.starts
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    parts = [coder.words[coder.starts[i] : coder.at[i]].astype("<u2").tobytes() for i in back]
-    raw = ids.astype("<u4").tobytes()
-    sums = [zlib.crc32(raw[4 * s : 4 * (s + n)]) for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+    share_of = np.zeros(int(known[-1]) + 1 if len(known) else 1, np.uint32)
+    below_of = share_of.copy()
+    share_of[known], below_of[known] = share, np.cumsum(share) - share
+    # a row for each step, after two of zeros
+    steps = np.zeros((longest + 2, count), np.uint32)
+    whole = len(ids) // max(1, longest)
+    _turn(ids[: whole * longest].reshape(whole, longest), steps[2:, :whole])
+    if whole < count:
+        steps[2 : 2 + lengths[-1], whole] = ids[whole * longest :]
+
+    model = Predictions(count)
+    rows, choices = np.zeros((longest, count), np.uint32), np.zeros((longest, count), np.uint8)
+    for start in range(0, longest, _STEPS):
+        end = min(longest, start + _STEPS)
+        places = model.places(steps[start + 1 : end + 1], steps[start:end])
+        shifted = steps[start + 2 : end + 2] << _ID
+        for step, k in enumerate(running[start:end]):
+            rows[start + step, :k] = model.predict(places[step, :, :k])
+            choices[start + step, :k] = model.learn(shifted[step, :k])
+
+    room = longest + 2
+    words, at = np.zeros(count * room, np.uint32), np.arange(1, count + 1) * room
+    state = np.full(count, 1 << _LEAST, np.uint64)
+    for start in reversed(range(0, longest, _STEPS)):
+        end = min(longest, start + _STEPS)
+        rest = choices[start:end] == 2
+        low, size = _interval(*_edges(rows[start:end]), choices[start:end] > 0, rest)
+        low, size = low.astype(np.uint64), size.astype(np.uint64)
+        now = steps[start + 2 : end + 2]
+        size_0 = np.where(rest, share_of.take(now), np.uint32(1 << _SHARE_BITS)).astype(np.uint64)
+        low_0 = np.where(rest, below_of.take(now), np.uint32(0)).astype(np.uint64)
+        limit = size * size_0 << np.uint64(_MOST - _MIX_BITS - _SHARE_BITS)
+        more, more_0 = np.uint64(1 << _MIX_BITS) - size, np.uint64(1 << _SHARE_BITS) - size_0
+        for step in reversed(range(end - start)):
+            k = running[start + step]
+            x = state[:k]
+            who = np.flatnonzero(x >= limit[step, :k])
+            if len(who):
+                full, spots = x[who], at[who] - 1
+                words[spots], at[who], x[who] = full & np.uint64(0xFFFFFFFF), spots, full >> _WORD
+            x += x // size_0[step, :k] * more_0[step, :k] + low_0[step, :k]
+            x += x // size[step, :k] * more[step, :k] + low[step, :k]
+    for part in (state >> _WORD, state & np.uint64(0xFFFFFFFF)):
+        at -= 1
+        words[at] = part
+    ends = np.arange(1, count + 1) * room
+    parts = [words[i:j].astype("<u4", copy=False).tobytes() for i, j in zip(at.tolist(), ends.tolist(), strict=True)]
+    raw = ids.astype("<u4", copy=False).tobytes()
+    sums = [zlib.crc32(raw[4 * s : 4 * (s + block)]) for s in range(0, len(ids), block)]
     table = np.stack([known, share]).astype("<u4").tobytes()
-    directory = np.stack([lengths, words[back], np.array(sums, np.int64)]).astype("<u4").tobytes()
-    head = struct.pack("<IIII", block, len(starts), len(known), zlib.crc32(table + directory))
+    directory = np.stack([lengths, ends - at, np.array(sums, np.int64)]).astype("<u4").tobytes()
+    head = struct.pack("<IIII", block, count, len(known), zlib.crc32(table + directory))
     return _SEGMENT + head + table + directory + b"".join(parts)
 
 
@@ -205,51 +221,63 @@ def decode_segment(data: bytes, at: int = 0, only: np.ndarray | None = None) ->
     """The ids of the segment that begins at ``at``, and where it ends.  ``only`` picks blocks by number."""
     if data[at : at + 4] != _SEGMENT:
         raise ValueError("no segment here")
-    block, count, size, check = struct.unpack_from("<IIII", data, at + 4)
+    _, count, size, check = struct.unpack_from("<IIII", data, at + 4)
     at += 20
     if zlib.crc32(data[at : at + 8 * size + 12 * count]) != check:
         raise ValueError("segment header is damaged")
-    known, share = np.frombuffer(data, "<u4", 2 * size, at).reshape(2, size).astype(np.int64)
+    known, share = np.frombuffer(data, "<u4", 2 * size, at).reshape(2, size).astype(np.uint32)
     at += 8 * size
     lengths, words, sums = np.frombuffer(data, "<u4", 3 * count, at).reshape(3, count).astype(np.int64)
     at += 12 * count
-    end = at + 2 * int(words.sum())
-    stream = np.concatenate([np.frombuffer(data, "<u2", int(words.sum()), at), np.zeros(4, np.uint16)])
+    end = at + 4 * int(words.sum())
+    stream = np.frombuffer(data, "<u4", int(words.sum()), at).astype(np.uint64)
     starts = np.cumsum(words) - words
     if only is not None:
         lengths, starts, sums = lengths[only], starts[only], sums[only]
     order, running = _blocks(lengths)
-    below = np.concatenate([[0], np.cumsum(share)])
-    places = np.cumsum(lengths) - lengths
-    first = places[order]
-    ids = np.zeros(int(lengths.sum()), np.int64)
-    model, coder = Predictions(len(order), block), RangeCoder(len(order), stream, starts[order])
-    share_of, below_of = share.astype(np.uint64), below.astype(np.uint64)
-    spot_at = np.repeat(np.arange(size), share)  # the id's place for every value below the total
-    bits = np.uint64(_SHARE_BITS)
+    # number, size and begin of the id's part in one, and the id's place in that table for every value below the order-0 total
+    begin = np.cumsum(share, dtype=np.uint64) - share
+    table = known.astype(np.uint64) << np.uint64(2 * _SHARE_BITS) | share.astype(np.uint64) - np.uint64(1) << np.uint64(_SHARE_BITS) | begin
+    place_at = np.repeat(np.arange(size, dtype=np.uint16 if size <= 1 << 16 else np.uint32), share)
+    below = np.uint64((1 << _SHARE_BITS) - 1)
+    steps = np.zeros((len(running) + 2, len(order)), np.uint32)
+    model, at = Predictions(len(order)), starts[order] + 2
+    state = stream[at - 2] | stream[at - 1] << _WORD
     for step, k in enumerate(running.tolist()):
-        model.predict(k)
-        unit = coder.units(model.total)
-        value = coder.values(unit, model.total)
-        least_1, least_0 = model.c2 << bits, model.edge << bits
-        by_2, rest = value < least_1, value >= least_0
-        choice = np.where(by_2, 0, 1 + rest)
-        now = np.where(by_2, model.p2, model.p1).astype(np.int64)
-        low, size = np.where(by_2, np.uint64(0), least_1), np.where(by_2, least_1, least_0 - least_1)
+        least, edge = _edges(model.predict(model.places(steps[step + 1, :k], steps[step, :k])))
+        x = state[:k]
+        value = x.astype(np.uint32) & ((1 << _MIX_BITS) - 1)
+        not_2, rest = value >= least, value >= edge
+        low, parts = _interval(least, edge, not_2, rest)
+        x >>= np.uint64(_MIX_BITS)
+        x *= parts
+        x += value - low
+        now = np.where(not_2, model.found[0], model.found[1]) >> _ID
         who = np.flatnonzero(rest)
         if len(who):
-            c0 = model.c0[who]
-            spot = spot_at[(value[who] - least_0[who]) // c0]
-            now[who] = known[spot]
-            low[who] = least_0[who] + below_of[spot] * c0
-            size[who] = share_of[spot] * c0
-        coder.narrow(unit, low, size)
-        ids[first[:k] + step] = now
-        model.learn(now, choice)
-    raw = ids.astype("<u4").tobytes()
-    for s, n, c in zip(places.tolist(), lengths.tolist(), sums.tolist(), strict=True):
-        if zlib.crc32(raw[4 * s : 4 * (s + n)]) != c:
+            own = x[who]
+            spot = own & below
+            found = table.take(place_at.take(spot.astype(np.int64)))
+            now[who] = found >> np.uint64(2 * _SHARE_BITS)
+            x[who] = ((found >> np.uint64(_SHARE_BITS) & below) + np.uint64(1)) * (own >> np.uint64(_SHARE_BITS)) + (spot - (found & below))
+        who = np.flatnonzero(x < np.uint64(1 << _LEAST))
+        if len(who):
+            spots = at[who]
+            x[who] = x[who] << _WORD | stream[spots]
+            at[who] = spots + 1
+        steps[step + 2, :k] = now
+        model.learn(now << _ID)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    streams = np.empty((len(order), len(running)), np.uint32)
+    _turn(steps[2:], streams)
+    blocks = [streams[i, :n] for i, n in zip(back.tolist(), lengths.tolist(), strict=True)]
+    ids = np.concatenate(blocks) if blocks else np.empty(0, np.uint32)
+    raw, place = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
+    for n, c in zip(lengths.tolist(), sums.tolist(), strict=True):
+        if zlib.crc32(raw[place : place + 4 * n]) != c:
             raise ValueError("block is damaged")
+        place += 4 * n
     return ids, end
 
 
@@ -263,7 +291,7 @@ def encode_file(batches: Iterator[tuple[list[int | None], list[bytes]]], block:
             counts.append(len(raw) // 4)
             held.append(raw)
             size += len(raw) // 4
-        while size >= block * lanes:
+        while 2 * size >= 3 * block * lanes:
             ids = np.frombuffer(b"".join(held), "<u4")
             part = encode_segment(ids[: block * lanes], block)
             held, size = [ids[block * lanes :].tobytes()], size - block * lanes
@@ -323,12 +351,12 @@ def write_ids(
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, total = encoder(tokenizer), 0
+        made, total = encoder(tokenizer, PIECES), 0
 
         def documents() -> Iterator[tuple[list[int | None], list[bytes]]]:
             nonlocal total
-            for batch in slices(batches, "text"):
-                ids = [raw + last for raw in made.encode(batch.column("text").to_pylist())]
+            for batch in slices(batches, "text", ROWS, BYTES):
+                ids = [raw + last for raw in made.encode_many(batch.column("text").to_pylist())]
                 total += sum(map(len, ids)) // 4
                 yield batch.column("doc_id").to_pylist(), ids
 

@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from recordweave.llm import mixing_coder as coder
+from recordweave.llm.tokens import encoder
 from recordweave.storage import new_folder
 
 
@@ -92,3 +93,40 @@ def test_edge_and_empty_tables(spark, edge, docs_of):
     for frame, size in ((edge, 10), (docs_of([]), 0)):
         folder = new_folder(spark, "ids-test")
         assert coder.read_ids(spark, folder, coder.write_ids(frame, folder)).count() == size
+
+
+def test_few_ids_over_make_no_segment_of_their_own():
+    rng = np.random.default_rng(4)
+    for size, segments in ((64 * 8 + 10, 1), (64 * 12 + 10, 2), (64 * 40, 5)):
+        ids = rng.integers(0, 50257, size).astype("<u4")
+        raw = b"".join(coder.encode_file(iter([([1], [ids.tobytes()])]), block=64, lanes=8))
+        at, blocks = 0, []
+        while raw[at : at + 4] == raw[:4]:
+            part, at = coder.decode_segment(raw, at)
+            blocks.append(-(-len(part) // 64))
+        assert len(blocks) == segments and max(blocks) <= 13 and min(blocks) >= 4
+        assert [b for _, _, b in coder.decode_file(raw)] == [ids.tobytes()]
+
+
+def test_blocks_of_any_number_and_length():
+    rng = np.random.default_rng(5)
+    for size in (2047, 2048, 2049, 3 * 2048 + 1, 70 * 300):
+        for block in (64, 300, 2048):
+            ids = np.minimum(rng.geometric(0.002, size), (1 << 20) - 1)
+            ids[rng.integers(0, size, 20)] = (1 << 20) - 1
+            back, _ = coder.decode_segment(coder.encode_segment(ids, block))
+            assert (back == ids).all()
+
+
+def test_pieces_of_many_texts_at_once():
+    random.seed(6)
+    texts = ["", " ", "a", " a", "a ", "a\nB", "a - b", "don't", "x  y", "<|endoftext|>", "a\xa0b", "日本 x", "ª º", "×÷", "...", "1a 2"]
+    texts += ["".join(random.choice("ab É÷ª.-1\n7,Z") for _ in range(random.randint(0, 40))) for _ in range(3000)]
+    random.shuffle(texts)
+    whole = Tokenizer.from_file(public_tokenizers.path(coder.TOKENIZER))
+    made = encoder(public_tokenizers.path(coder.TOKENIZER), 1000)
+    expected = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert made.encode_many(texts) == expected and made.encode_many(texts[::-1]) == expected[::-1]
+    assert made.encode_many([]) == [] and made.encode(texts) == expected
+    other = encoder("word_bpe_49k.json")
+    assert other.encode_many(texts) == other.encode(texts)
