@@ -95,13 +95,14 @@ class Predictions:
 
     def predict(self, places: np.ndarray) -> np.ndarray:
         """Look up what the first blocks expect, and return the two shares of their contexts."""
+        # all places are inside the tables; NumPy is faster when told not to raise
         self.at = places
-        self.found = self.entries.take(places)
+        self.found = self.entries.take(places, mode="clip")
         first, second = self.found
         same = ((first ^ second) < _CONTEXTS).astype(np.uint32)
         self.context = ((first | second) & (_CONTEXTS - 2) | same).astype(np.int64)
         self.context += self.share_at[: len(first)]
-        self.row = self.shares.take(self.context)
+        self.row = self.shares.take(self.context, mode="clip")
         return self.row
 
     def learn(self, ids: np.ndarray) -> np.ndarray:
@@ -113,7 +114,7 @@ class Predictions:
         hit = (found ^ ids) < _CONTEXTS
         by_1, by_2 = hit.view(np.uint8)
         choice = (2 - by_1) * (1 - by_2)
-        self.shares[self.context] = self.row - (self.row >> _RATE & _KEPT) + _GAINS.take(choice)
+        self.shares[self.context] = self.row - (self.row >> _RATE & _KEPT) + _GAINS.take(choice, mode="clip")
         missed = np.where(found & _TRUSTED, found & _PLAIN, ids) | _STEP
         self.entries[self.at] = np.where(hit, np.minimum(found + _STEP, found | _SURE), missed)
         return choice
@@ -191,8 +192,8 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
         low, size = _interval(*_edges(rows[start:end]), choices[start:end] > 0, rest)
         low, size = low.astype(np.uint64), size.astype(np.uint64)
         now = steps[start + 2 : end + 2]
-        size_0 = np.where(rest, share_of.take(now), np.uint32(1 << _SHARE_BITS)).astype(np.uint64)
-        low_0 = np.where(rest, below_of.take(now), np.uint32(0)).astype(np.uint64)
+        size_0 = np.where(rest, share_of.take(now, mode="clip"), np.uint32(1 << _SHARE_BITS)).astype(np.uint64)
+        low_0 = np.where(rest, below_of.take(now, mode="clip"), np.uint32(0)).astype(np.uint64)
         limit = size * size_0 << np.uint64(_MOST - _MIX_BITS - _SHARE_BITS)
         more, more_0 = np.uint64(1 << _MIX_BITS) - size, np.uint64(1 << _SHARE_BITS) - size_0
         for step in reversed(range(end - start)):
@@ -257,7 +258,7 @@ def decode_segment(data: bytes, at: int = 0, only: np.ndarray | None = None) ->
         if len(who):
             own = x[who]
             spot = own & below
-            found = table.take(place_at.take(spot.astype(np.int64)))
+            found = table.take(place_at.take(spot.astype(np.int64), mode="clip"), mode="clip")
             now[who] = found >> np.uint64(2 * _SHARE_BITS)
             x[who] = ((found >> np.uint64(_SHARE_BITS) & below) + np.uint64(1)) * (own >> np.uint64(_SHARE_BITS)) + (spot - (found & below))
         who = np.flatnonzero(x < np.uint64(1 << _LEAST))
